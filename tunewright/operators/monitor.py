@@ -9,12 +9,10 @@ from tunewright.constants import LIVE_SECONDS, TAIL_LINES
 from tunewright.schemas import GPU
 
 
-def parse_gpu(df: DataFrame, line: str = "line", schema=GPU) -> DataFrame:
+def parse_gpu(df: DataFrame, line: str = "line", schema: str = GPU) -> DataFrame:
     """Add the typed fields of a comma-separated telemetry line."""
-    reading = F.from_csv(
-        F.col(line), schema.simpleString()[len("struct<"):-1].replace(":", " "),
-        {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"},
-    )
+    spaces = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    reading = F.from_csv(F.col(line), schema, spaces)
     return df.withColumn("_gpu", reading).select(*df.columns, "_gpu.*")
 
 
@@ -23,36 +21,33 @@ def heartbeat(
     every: str = "5 minutes",
     by: tuple[str, ...] = (),
     watermark: str | None = None,
-    *extra: Column,
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """One snapshot per tumbling window: the number of lines, the last one, and any `extra` aggregate.
+    """One snapshot per tumbling window: the number of lines, the last one, and `extra` aggregates.
 
     Works on a table and on a stream; a stream needs `watermark`, and `ts` must be a timestamp.
     """
     if watermark:
         lines = lines.withWatermark("ts", watermark)
+    extra = extra or {}
     return (
         lines.groupBy(F.window("ts", every).alias("w"), *by)
         .agg(
             F.count(F.lit(1)).alias("lines"),
             F.max("ts").alias("last_ts"),
             F.max_by("line", F.struct("ts", "seq")).alias("last_line"),
-            *extra,
+            *[column.alias(name) for name, column in extra.items()],
         )
         .select(
             *by,
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
-            *[c for c in ("lines", "last_ts", "last_line")],
-            *[c for c in _names(extra)],
+            "lines", "last_ts", "last_line",
+            *extra,
         )
     )
 
 
-def _names(columns: tuple[Column, ...]) -> list[str]:
-    return [c._jc.toString().rsplit(" AS ", 1)[-1].strip("`") for c in columns]
-
-
 def monitor_status(snapshots: DataFrame, by: list[str], limit: int = LIVE_SECONDS) -> DataFrame:
     """Add age and status of the monitor to snapshots that carry `monitor_ts`, its last update.
 
@@ -112,7 +107,8 @@ def tail_log(df: DataFrame, n: int = TAIL_LINES, by: str = "log") -> DataFrame:
 def prefer_log(lines: DataFrame, run: str = "run", log: str = "log", priority: str = "priority") -> DataFrame:
     """Lines of each run's log of lowest priority number: the primary if it exists, else the fallback."""
     chosen = lines.groupBy(run).agg(F.min_by(log, F.struct(priority, log)).alias(log))
-    return lines.join(chosen, [run, log])
+    same = lines[run].eqNullSafe(chosen[run]) & lines[log].eqNullSafe(chosen[log])
+    return lines.join(chosen, same, "left_semi")
 
 
 def match_lines(

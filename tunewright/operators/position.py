@@ -15,20 +15,19 @@ def with_position(df: DataFrame, keys: list[str], order, segment: Column) -> Dat
     Counts are one row per (keys, segment).
     """
     order = order if isinstance(order, list) else [order]
-    marked = df.withColumn("_segment", segment)
-    counts = marked.groupBy(*keys, "_segment").agg(F.count(F.lit(1)).alias("_n"))
+    # one struct as the key of every step: null keys stay, and the large side is shuffled once
+    marked = df.withColumn("_cell", F.struct(*keys, segment.alias("_segment")))
+    counts = marked.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
     earlier = (
-        Window.partitionBy(*keys).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*[F.col(f"_cell.{key}") for key in keys])
+        .orderBy("_cell._segment")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = counts.select(
-        *keys,
-        "_segment",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-    )
-    inside = Window.partitionBy(*keys, "_segment").orderBy(*order)
+    offsets = counts.select("_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_cell").orderBy(*order)
     return (
         marked.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, [*keys, "_segment"])
+        .join(offsets, "_cell")
         .withColumn("position", F.col("_before") + F.col("_inside"))
-        .drop("_segment", "_inside", "_before")
+        .drop("_cell", "_inside", "_before")
     )

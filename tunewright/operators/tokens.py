@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tunewright.constants import IGNORE_LABEL, MAX_LENGTH
 from tunewright.functions.tokens import mask_prompt, pad_truncate, token_lengths
+from tunewright.operators.chat import TURNS_PER_PART
 
 
 def tokenize_examples(
@@ -41,18 +42,39 @@ def tokenize_examples(
 
 
 def mask_to_responses(
-    df: DataFrame,
-    column: str = "conversations",
+    turns: DataFrame,
     encode: Callable[[Column], Column] = token_lengths,
-    keep: tuple[str, ...] = (),
+    key: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    content: str = "text",
+    turns_per_part: int = TURNS_PER_PART,
 ) -> DataFrame:
-    """`input_ids` of a conversation and `labels` that keep only the assistant's tokens."""
-    ids = F.flatten(F.transform(column, lambda t: encode(t["content"])))
+    """`input_ids` of each conversation, and `labels` that keep only the assistant's tokens.
+
+    Turns are encoded as rows, so any tokenizer fits; then they are gathered in turn order, in
+    parts as in `turns_to_conversation`.
+    """
+    part = F.expr(f"`{turn}` div {int(turns_per_part)}")
+    encoded = turns.select(
+        F.col(key),
+        part.alias("part"),
+        F.struct(
+            F.col(turn).alias("turn"),
+            encode(F.col(content)).alias("ids"),
+            (F.col(role) == "assistant").alias("target"),
+        ).alias("_turn"),
+    )
+    gathered = encoded.groupBy(key, "part").agg(
+        F.sort_array(F.collect_list("_turn")).alias("_turns")
+    )
 
     def label(t):
-        hidden = F.transform(encode(t["content"]), lambda _: F.lit(IGNORE_LABEL))
-        return F.when(t["role"] == "assistant", encode(t["content"])).otherwise(hidden)
+        return F.transform(t["ids"], lambda x: F.when(t["target"], x).otherwise(F.lit(IGNORE_LABEL)))
 
-    return df.select(
-        *keep, ids.alias("input_ids"), F.flatten(F.transform(column, label)).alias("labels")
+    return gathered.select(
+        key,
+        "part",
+        F.flatten(F.transform("_turns", lambda t: t["ids"])).alias("input_ids"),
+        F.flatten(F.transform("_turns", label)).alias("labels"),
     )

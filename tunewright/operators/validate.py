@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tunewright.constants import REQUIRED_FIELDS
 
@@ -52,22 +51,15 @@ def validation_summary(report: DataFrame) -> DataFrame:
     return report.groupBy("status", "missing").agg(F.count(F.lit(1)).alias("entries"))
 
 
-def parse_records(df: DataFrame, schema: T.StructType, raw: str = "raw") -> DataFrame:
+def parse_records(df: DataFrame, schema: str, raw: str = "raw") -> DataFrame:
     """Parse a raw JSON column into `record`, with the malformed text in `corrupt`."""
-    with_reject = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = F.from_json(
-        F.col(raw), with_reject, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    )
-    return (
-        df.withColumn("_parsed", parsed)
-        .withColumn(
-            "record", F.struct(*[F.col(f"_parsed.{name}").alias(name) for name in schema.names])
-        )
-        .withColumn("corrupt", F.col("_parsed._corrupt"))
-        .drop("_parsed")
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
+    parsed = df.withColumn(
+        "record", F.from_json(F.col(raw), f"{schema}, corrupt STRING", options)
+    ).withColumn("corrupt", F.col("record.corrupt"))
+    return parsed.withColumn("record", F.col("record").dropFields("corrupt"))
 
 
-def corrupt_rows(df: DataFrame, schema: T.StructType, raw: str = "raw") -> DataFrame:
+def corrupt_rows(df: DataFrame, schema: str, raw: str = "raw") -> DataFrame:
     """The side table of malformed records."""
     return parse_records(df, schema, raw).where(F.col("corrupt").isNotNull()).drop("record")

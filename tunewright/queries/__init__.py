@@ -1,0 +1,14 @@
+"""Queries over the given tables, one per operator."""
+
+from __future__ import annotations
+
+from tunewright.queries import corpus  # noqa: F401  (registers its queries)
+from tunewright.queries.registry import QUERIES, SQL
+
+
+def all_queries():
+    return dict(QUERIES)
+
+
+def all_sql():
+    return dict(SQL)

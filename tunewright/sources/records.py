@@ -10,7 +10,7 @@ from tunewright.schemas import INTERVIEW_RECORD
 
 
 def read_records(
-    spark: SparkSession, path: str, schema: T.StructType = INTERVIEW_RECORD, array: bool = False
+    spark: SparkSession, path: str, schema: str = INTERVIEW_RECORD, array: bool = False
 ) -> DataFrame:
     """Records of JSON Lines files, or of files that hold one JSON array each (`array=True`).
 
@@ -35,12 +35,11 @@ def read_raw(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
 
 
 def read_with_rejects(
-    spark: SparkSession, path: str, schema: T.StructType = INTERVIEW_RECORD, array: bool = False
+    spark: SparkSession, path: str, schema: str = INTERVIEW_RECORD, array: bool = False
 ) -> DataFrame:
     """Records with a `corrupt` column: the text of a malformed record, null for a good one."""
-    with_reject = T.StructType([*schema.fields, T.StructField("corrupt", T.StringType())])
     return (
-        spark.read.schema(with_reject)
+        spark.read.schema(f"{schema}, corrupt STRING")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "corrupt")
         .json(path, multiLine=array)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def write_split(
@@ -20,7 +19,7 @@ def write_split(
 
 
 def read_split(
-    spark: SparkSession, path: str, split: str | None = None, schema: T.StructType | None = None
+    spark: SparkSession, path: str, split: str | None = None, schema: str | None = None
 ) -> DataFrame:
     """Read a split dataset; a named split reads only its own directory."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
