@@ -21,8 +21,12 @@ from tunewright.functions.text import preview_cell
 
 def schema_table(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
     """The schema table of some DataFrames; reads no data."""
-    rows = [(n, pos, c) for n, df in frames.items() for pos, c in enumerate(df.columns)]
-    return spark.createDataFrame(rows, "dataset STRING, pos INT, column STRING")
+    rows = [
+        F.struct(F.lit(name).alias("dataset"), F.lit(pos).alias("pos"), F.lit(c).alias("column"))
+        for name, df in frames.items()
+        for pos, c in enumerate(df.columns)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def record_schemas(records: DataFrame, dataset: str, order: str, raw: str = "raw") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunewright.queries import corpus  # noqa: F401  (registers its queries)
+from tunewright.queries import catalog, corpus, planning, runs  # noqa: F401  (they register queries)
 from tunewright.queries.registry import QUERIES, SQL
 
 
