@@ -110,15 +110,18 @@ def records_roundtrip(spark, folder):
 
 
 @query("""
-    SELECT n_chars % 11 = 0 AS is_corrupt, count(*) AS entries FROM documents GROUP BY ALL""")
+    SELECT n_chars % 11 = 0 AS is_corrupt, CASE WHEN n_chars % 11 != 0 THEN lang END AS lang,
+           count(*) AS entries
+    FROM documents GROUP BY ALL""")
 def read_with_rejects(spark, folder):
     """A JSON file with malformed records: they are counted, not fatal."""
     path = fresh_dir(spark, "damaged")
     damaged_json(spark, folder).select(F.col("raw").alias("value")).write.text(path)
     read = record_files.read_with_rejects(spark, path, DOCUMENT)
-    return read.groupBy(F.col("corrupt").isNotNull().alias("is_corrupt")).agg(
-        F.count(F.lit(1)).alias("entries")
-    )
+    bad = F.col("corrupt").isNotNull()
+    return read.groupBy(
+        bad.alias("is_corrupt"), F.when(~bad, F.col("lang")).alias("lang")
+    ).agg(F.count(F.lit(1)).alias("entries"))
 
 
 @query(f"""

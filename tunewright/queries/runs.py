@@ -33,7 +33,7 @@ def _lines(spark, folder):
 @query(f"""
     SELECT run, count(*) AS total_steps,
            round(epoch_us(max(ts)) / 1e6 - epoch_us(min(ts)) / 1e6, 3) AS seconds,
-           round((epoch_us(max(ts)) - epoch_us(min(ts))) / 6e7, 6) AS minutes,
+           round((epoch_us(max(ts)) - epoch_us(min(ts))) / 6e7, 3) AS minutes,
            round(count(*) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 0), 9)
                AS steps_per_second
     FROM ({METRICS_SQL}) m GROUP BY run""")
@@ -43,7 +43,7 @@ def run_throughput(spark, folder):
     return rates.withColumns(
         {
             "seconds": F.round("seconds", 3),
-            "minutes": F.round("minutes", 6),
+            "minutes": F.round("minutes", 3),
             "steps_per_second": F.round("steps_per_second", 9),
         }
     )
@@ -131,11 +131,14 @@ def retained_checkpoints(spark, folder):
 # ---- monitoring ----
 
 
-@query(f"""
+HEARTBEAT_SQL = f"""
     SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
            time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
            count(*) AS lines, max(ts) AS last_ts, arg_max(line, (ts, seq)) AS last_line
-    FROM ({LINES_SQL}) l GROUP BY ALL""")
+    FROM ({LINES_SQL}) l GROUP BY ALL"""
+
+
+@query(HEARTBEAT_SQL)
 def heartbeat_5m(spark, folder):
     return monitor.heartbeat(_lines(spark, folder), "5 minutes")
 
@@ -240,12 +243,8 @@ def _finish(started):
 
 
 @query(f"""
-    SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
-           time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
-           count(*) AS lines, max(ts) AS last_ts, arg_max(line, (ts, seq)) AS last_line
-    FROM ({LINES_SQL}) l GROUP BY ALL
-    HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
-           <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+    SELECT * FROM ({HEARTBEAT_SQL}) h
+    WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def stream_heartbeat(spark, folder):
     """Closed windows of a stream, appended to a report."""
     path = fresh_dir(spark, "heartbeat")
