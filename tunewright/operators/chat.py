@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 
 from tunewright.constants import CONVERSATION_COLUMNS, ROLE_NAMES, TURN_END
 from tunewright.functions.text import render_turns
-
-TURNS_PER_PART = 4096
+from tunewright.operators.gather import ROWS_PER_PART, gather
 
 
 def turns_to_conversation(
@@ -18,35 +17,18 @@ def turns_to_conversation(
     turn: str = "turn",
     role: str = "role",
     content: str = "text",
-    turns_per_part: int = TURNS_PER_PART,
+    turns_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """One array of (role, content) per conversation, in turn order.
 
-    The group key is the conversation and the part `turn div turns_per_part`, so a conversation
-    that holds a large share of all turns is built by many tasks and never becomes one row.
-    Its parts, read in order, are the whole conversation; all others have part 0 only.
+    A conversation longer than `turns_per_part` turns becomes several rows, in order by part and
+    slice, so that one with a large share of all turns is never one row or one task.
     """
-    part = F.expr(f"`{turn}` div {int(turns_per_part)}")
-    return (
-        turns.groupBy(F.col(key), part.alias("part"))
-        .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        F.col(turn).alias("turn"),
-                        F.col(role).alias("role"),
-                        F.col(content).alias("content"),
-                    )
-                )
-            ).alias("_turns")
-        )
-        .select(
-            key,
-            "part",
-            F.transform("_turns", lambda t: F.struct(t["role"], t["content"])).alias(
-                "conversations"
-            ),
-        )
+    named = turns.select(
+        key, turn, F.col(role).alias("role"), F.col(content).alias("content")
+    )
+    return gather(named, key, turn, ["role", "content"], turns_per_part).withColumnRenamed(
+        "items", "conversations"
     )
 
 

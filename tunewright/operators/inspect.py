@@ -31,9 +31,12 @@ def schema_table(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame
 
 def record_schemas(records: DataFrame, dataset: str, order: str, raw: str = "raw") -> DataFrame:
     """The schema table of JSON records: each dataset has the keys of its first record."""
-    first = records.groupBy(F.col(dataset).alias("dataset")).agg(
-        F.min_by(F.json_object_keys(F.col(raw)), F.col(order)).alias("names")
+    keys = records.select(
+        F.col(dataset).alias("dataset"),
+        F.col(order).alias("order"),
+        F.json_object_keys(F.col(raw)).alias("names"),
     )
+    first = keys.groupBy("dataset").agg(F.min_by("names", "order").alias("names"))
     return first.select("dataset", F.posexplode("names").alias("pos", "column"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tunewright.constants import IGNORE_LABEL, MAX_LENGTH
 from tunewright.functions.tokens import mask_prompt, pad_truncate, token_lengths
-from tunewright.operators.chat import TURNS_PER_PART
+from tunewright.operators.gather import ROWS_PER_PART, gather
 
 
 def tokenize_examples(
@@ -48,33 +48,24 @@ def mask_to_responses(
     turn: str = "turn",
     role: str = "role",
     content: str = "text",
-    turns_per_part: int = TURNS_PER_PART,
+    turns_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """`input_ids` of each conversation, and `labels` that keep only the assistant's tokens.
 
     Turns are encoded as rows, so any tokenizer fits; then they are gathered in turn order, in
-    parts as in `turns_to_conversation`.
+    parts and slices as in `turns_to_conversation`.
     """
-    part = F.expr(f"`{turn}` div {int(turns_per_part)}")
     encoded = turns.select(
-        F.col(key),
-        part.alias("part"),
-        F.struct(
-            F.col(turn).alias("turn"),
-            encode(F.col(content)).alias("ids"),
-            (F.col(role) == "assistant").alias("target"),
-        ).alias("_turn"),
-    )
-    gathered = encoded.groupBy(key, "part").agg(
-        F.sort_array(F.collect_list("_turn")).alias("_turns")
+        key, turn, encode(F.col(content)).alias("ids"), (F.col(role) == "assistant").alias("target")
     )
 
     def label(t):
         return F.transform(t["ids"], lambda x: F.when(t["target"], x).otherwise(F.lit(IGNORE_LABEL)))
 
-    return gathered.select(
+    return gather(encoded, key, turn, ["ids", "target"], turns_per_part).select(
         key,
         "part",
-        F.flatten(F.transform("_turns", lambda t: t["ids"])).alias("input_ids"),
-        F.flatten(F.transform("_turns", label)).alias("labels"),
+        "slice",
+        F.flatten(F.transform("items", lambda t: t["ids"])).alias("input_ids"),
+        F.flatten(F.transform("items", label)).alias("labels"),
     )

@@ -24,10 +24,10 @@ from tunewright.queries.adapt import (
 from tunewright.queries.registry import query, sql_split
 
 CHAT_SQL = """
-    SELECT conv_id, turn // 4096 AS part,
+    SELECT conv_id, turn // 4096 AS part, 0::BIGINT AS slice,
            string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
                       ORDER BY turn) AS text
-    FROM conversations GROUP BY ALL"""
+    FROM conversations GROUP BY conv_id, turn // 4096"""
 
 
 @query(f"SELECT *, {sql_split('conv_id')} AS split FROM ({CHAT_SQL}) c")
@@ -39,15 +39,16 @@ def chat_render_split(spark, folder):
 
 
 @query("""
-    SELECT conv_id, turn // 4096 AS part, count(*)::INTEGER AS n_turns,
+    SELECT conv_id, turn // 4096 AS part, 0::BIGINT AS slice, count(*)::INTEGER AS n_turns,
            string_agg(role || ':' || text, chr(10) ORDER BY turn) AS turns
-    FROM conversations GROUP BY ALL""")
+    FROM conversations GROUP BY conv_id, turn // 4096""")
 def conversation_standard(spark, folder):
     """(from, value) turns in a column of another name, brought to the standard form."""
     turns = table(spark, folder, "conversations")
     sharegpt = chat.turns_to_conversation(turns).select(
         "conv_id",
         "part",
+        "slice",
         F.transform(
             "conversations",
             lambda t: F.struct(
@@ -63,6 +64,7 @@ def conversation_standard(spark, folder):
     return standard.select(
         "conv_id",
         "part",
+        "slice",
         F.size("conversations").alias("n_turns"),
         F.array_join(
             F.transform("conversations", lambda t: F.concat_ws(":", t["role"], t["content"])), "\n"
@@ -163,7 +165,7 @@ def _joined(examples, *keys):
     WITH t AS (
         SELECT conv_id, turn, turn // 4096 AS part, role, {IDS_SQL.format('text')} AS ids
         FROM conversations)
-    SELECT conv_id, part,
+    SELECT conv_id, part, 0::BIGINT AS slice,
            coalesce(string_agg(array_to_string(ids, ' '), ' ' ORDER BY turn)
                     FILTER (WHERE len(ids) > 0), '') AS input_ids,
            coalesce(string_agg(array_to_string(CASE WHEN role = 'assistant' THEN ids
@@ -173,7 +175,7 @@ def _joined(examples, *keys):
 def response_mask(spark, folder):
     """Conversations to ids, with only the assistant's tokens as labels."""
     return _joined(
-        tokens.mask_to_responses(table(spark, folder, "conversations")), "conv_id", "part"
+        tokens.mask_to_responses(table(spark, folder, "conversations")), "conv_id", "part", "slice"
     )
 
 
@@ -405,7 +407,7 @@ def preview_rows(spark, folder):
 
 
 @query("""
-    SELECT conv_id::VARCHAR AS conv_id, (turn // 4096)::VARCHAR AS part,
+    SELECT conv_id::VARCHAR AS conv_id, (turn // 4096)::VARCHAR AS part, '0' AS slice,
            '[' || count(*)::VARCHAR || ' items] Keys: [''role'', ''content'']' AS conversations
     FROM conversations GROUP BY conv_id, turn // 4096""")
 def preview_lists(spark, folder):

@@ -69,8 +69,8 @@ def synth_round_robin(spark, folder):
 def top_up(spark, folder):
     """Records topped up to five quarters of their number."""
     existing = records(spark, folder)
-    count = table(spark, folder, "documents").count()
-    topped = synth.top_up(existing, count + count // 4, count=existing.count(), number="doc_id")
+    count = existing.count()
+    topped = synth.top_up(existing, count + count // 4, count=count, number="doc_id")
     return topped.withColumn("evaluation_criteria", _rubric_text()).withColumnRenamed(
         "evaluation_criteria", "rubric"
     )
