@@ -173,7 +173,7 @@ OVERFIT_RATIO = 1.5
 LIVE_SECONDS = 1200
 TAIL_LINES = 50
 MONITOR_TAIL_LINES = 20
-CHECKPOINT_PATTERN = r"^checkpoint-(?:.*-)?(\d+)$"
+CHECKPOINT_PATTERN = r"(?:^|/)checkpoint-(?:[^/]*-)?(\d+)/*$"
 NO_PROCESS = "no training process"
 NO_CHECKPOINTS = "no checkpoints"
 

@@ -86,7 +86,7 @@ def smooth(
     """
     keys = list(keys)
     size = max(block_rows, k)
-    segment = F.floor(F.col(order) / segment_size)
+    segment = F.expr(f"`{order}` div {segment_size}")
     index = F.col("position") - 1
     own = F.expr(f"(position - 1) div {size}")
     needed = F.when(index % size >= size - (k - 1), F.array(own, own + 1)).otherwise(F.array(own))
@@ -105,8 +105,7 @@ def smooth(
 
 def checkpoint_step(path: Column) -> Column:
     """N of a path that ends in `checkpoint-N`, null for any other path."""
-    name = F.substring_index(F.regexp_replace(path, r"/+$", ""), "/", -1)
-    return F.regexp_extract(name, CHECKPOINT_PATTERN, 1).try_cast("bigint")
+    return F.nullif(F.regexp_extract(path, CHECKPOINT_PATTERN, 1), F.lit("")).try_cast("bigint")
 
 
 def latest_checkpoint(listing: DataFrame, by: str = "run") -> DataFrame:

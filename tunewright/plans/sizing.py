@@ -82,10 +82,10 @@ def model_size(name: Column, compat: bool = False) -> Column:
     """
     if not compat:
         said = F.regexp_extract(name, r"(?<![0-9.])([0-9]+(?:\.[0-9]+)?)B(?![a-z])", 1)
-        return F.coalesce(said.try_cast("double"), F.lit(DEFAULT_SIZE))
-    found = F.when(
-        F.contains(name, F.lit("B")), F.replace(name, F.lit("B"), F.lit("")).try_cast("double")
-    )
+        return F.coalesce(F.nullif(said, F.lit("")).try_cast("double"), F.lit(DEFAULT_SIZE))
+    bare = F.replace(name, F.lit("B"), F.lit(""))
+    number = F.rlike(bare, F.lit(r"^[-+]?[0-9.]+$")) & F.contains(name, F.lit("B"))
+    found = F.when(number, bare.try_cast("double"))
     size = F.coalesce(found, F.lit(DEFAULT_SIZE))
     for text, billions in reversed(NAMED_SIZES):
         size = F.when(F.contains(name, F.lit(text)), F.lit(billions)).otherwise(size)
