@@ -233,12 +233,12 @@ RATES_SQL = """(VALUES ('t4-small', 0.75::DOUBLE, 2.0::DOUBLE), ('t4-medium', 1.
     ('a10g-largex2', 10.0, 0.6), ('a10g-largex4', 20.0, 0.4), ('a100-large', 10.0, 0.7))
     h(flavor, usd_per_hour, mult)"""
 
-REPORT_COLUMNS = """round(hours, 6) AS hours, round(hours * usd_per_hour, 6) AS cost,
-           round(hours * 1.3::DOUBLE, 6) AS timeout_hours"""
+REPORT_COLUMNS = """round(hours, 9) AS hours, round(hours * usd_per_hour, 9) AS cost,
+           round(hours * 1.3::DOUBLE, 9) AS timeout_hours"""
 
 
 def _rounded(report):
-    return report.withColumns({c: F.round(c, 6) for c in ("hours", "cost", "timeout_hours")})
+    return report.withColumns({c: F.round(c, 9) for c in ("hours", "cost", "timeout_hours")})
 
 
 @query(f"""

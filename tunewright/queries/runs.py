@@ -31,22 +31,14 @@ def _lines(spark, folder):
 
 
 @query(f"""
-    SELECT run, count(*) AS total_steps,
-           round(epoch_us(max(ts)) / 1e6 - epoch_us(min(ts)) / 1e6, 3) AS seconds,
-           round((epoch_us(max(ts)) - epoch_us(min(ts))) / 6e7, 3) AS minutes,
-           round(count(*) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 0), 9)
-               AS steps_per_second
-    FROM ({METRICS_SQL}) m GROUP BY run""")
+    SELECT run, total_steps, seconds, seconds / 60 AS minutes,
+           total_steps / nullif(seconds, 0) AS steps_per_second
+    FROM (SELECT run, count(*) AS total_steps,
+                 (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds
+          FROM ({METRICS_SQL}) m GROUP BY run) t""")
 def run_throughput(spark, folder):
     """Every event is a step."""
-    rates = metrics.throughput(_metrics(spark, folder), steps=F.count(F.lit(1)))
-    return rates.withColumns(
-        {
-            "seconds": F.round("seconds", 3),
-            "minutes": F.round("minutes", 3),
-            "steps_per_second": F.round("steps_per_second", 9),
-        }
-    )
+    return metrics.throughput(_metrics(spark, folder), steps=F.count(F.lit(1)))
 
 
 def _last(name):
@@ -55,15 +47,13 @@ def _last(name):
 
 @query(f"""
     SELECT run, train_loss, eval_loss,
-           round(CASE WHEN train_loss != 0 AND eval_loss != 0 THEN eval_loss / train_loss END, 9)
-               AS ratio,
+           CASE WHEN train_loss != 0 AND eval_loss != 0 THEN eval_loss / train_loss END AS ratio,
            CASE WHEN train_loss != 0 AND eval_loss != 0 THEN eval_loss / train_loss END > 1.5
                AS overfitting
     FROM (SELECT run, {_last('train_loss')} AS train_loss, {_last('eval_loss')} AS eval_loss
           FROM ({METRICS_SQL}) m GROUP BY run) l""")
 def overfit(spark, folder):
-    checked = metrics.overfit_check(_metrics(spark, folder))
-    return checked.withColumn("ratio", F.round("ratio", 9))
+    return metrics.overfit_check(_metrics(spark, folder))
 
 
 @query(f"""
@@ -77,11 +67,11 @@ def compare_runs(spark, folder):
 
 @query(f"""
     SELECT grp, count(*) AS runs, sum(points)::BIGINT AS points, min(last) AS best,
-           max(last) AS worst, round(avg(last), 6) AS mean
+           max(last) AS worst, round(avg(last), 9) AS mean
     FROM (SELECT grp, run, {_last('train_loss')} AS last, count(*) AS points
           FROM ({METRICS_SQL}) m GROUP BY grp, run) r GROUP BY grp""")
 def group_runs(spark, folder):
-    return metrics.group_runs(_metrics(spark, folder)).withColumn("mean", F.round("mean", 6))
+    return metrics.group_runs(_metrics(spark, folder)).withColumn("mean", F.round("mean", 9))
 
 
 @query(f"""
@@ -220,13 +210,13 @@ def parse_gpu(spark, folder):
 @query(f"""
     SELECT "index", time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
            time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end,
-           count(*) AS lines, round(avg(util), 6) AS avg_util, max(temp) AS max_temp
+           count(*) AS lines, round(avg(util), 9) AS avg_util, max(temp) AS max_temp
     FROM ({GPU_SQL}) g GROUP BY ALL""")
 def gpu_heartbeat(spark, folder):
     parsed = monitor.parse_gpu(as_gpu_lines(table(spark, folder, "events")))
     readings = monitor.heartbeat(
         parsed, "15 minutes", by=("index",),
-        extra={"avg_util": F.round(F.avg("util"), 6), "max_temp": F.max("temp")},
+        extra={"avg_util": F.round(F.avg("util"), 9), "max_temp": F.max("temp")},
     )
     return readings.drop("last_ts", "last_line")
 
