@@ -128,7 +128,7 @@ def test_inspect_reads_names_and_first_row(spark):
     df = spark.createDataFrame([(2, "b"), (1, "a")], "id INT, text STRING")
     report = inspection.inspect(spark, df, "d", "id").first()
     assert report.columns == ["id", "text"]
-    assert report.example == {"id": "1", "text": "a"}
+    assert [tuple(c) for c in report.example] == [("id", "1"), ("text", "a")]
     assert report.total_examples == "2"
     assert report.recommended == "SFT"
 

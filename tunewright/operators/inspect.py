@@ -17,6 +17,7 @@ from tunewright.constants import (
     RESPONSE_PATTERNS,
 )
 from tunewright.functions.text import preview_cell
+from tunewright.sources.catalog import choose_config, split_catalog
 
 
 def schema_table(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
@@ -235,11 +236,12 @@ def count_examples(df: DataFrame, *by: str) -> DataFrame:
 
 def inspect(
     spark: SparkSession, df: DataFrame, dataset: str, order: str,
-    config: str = "default", split: str = "train", max_chars: int = 150,
+    config="default", split: str = "train", max_chars: int = 150,
 ) -> DataFrame:
     """One report row: columns, features, checks, recommendation and a preview of the first row.
 
     The checks read names only; the preview is a top-1 and the count a scan without columns.
+    `config` is a name, or a column that holds it.
     """
     checks = method_status(recommend(check_formats(schema_table(spark, {dataset: df}))))
     features = F.array(
@@ -248,45 +250,89 @@ def inspect(
             for f in df.schema.fields
         ]
     )
-    first = preview(df.orderBy(order).limit(1), max_chars)
-    example = first.select(
-        F.map_from_arrays(
-            F.array(*[F.lit(c) for c in df.columns]),
-            F.array(*[F.col(f"`{c}`") for c in df.columns]),
-        )
-    ).scalar()
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").alias("value")) for c in df.columns]
+    )
+    example = preview(df.orderBy(order).limit(1), max_chars).select(cells).scalar()
     total = df.agg(F.format_number(F.count(F.lit(1)), 0)).scalar()
     return checks.select(
         "dataset",
-        F.lit(config).alias("config"),
+        (F.lit(config) if isinstance(config, str) else config).alias("config"),
         F.lit(split).alias("split"),
         F.coalesce(total, F.lit("Unknown")).alias("total_examples"),
         F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
         features.alias("features"),
-        "sft_status", "dpo_status", "grpo_status", "kto_status",
-        "methods", "recommended",
-        example.alias("example"),
-        F.to_json(
+        F.struct(
             F.struct(
-                F.struct(
-                    F.col("sft_ready").alias("ready"),
-                    F.col("sft_reason").alias("reason"),
-                    F.col("prompt_col").alias("possible_prompt"),
-                    F.col("response_col").alias("possible_response"),
-                    "has_context",
-                ).alias("SFT"),
-                F.struct(
-                    F.col("dpo_ready").alias("ready"),
-                    F.col("dpo_can_map").alias("can_map"),
-                    "prompt_col", "chosen_col", "rejected_col",
-                ).alias("DPO"),
-                F.struct(
-                    F.col("grpo_ready").alias("ready"),
-                    F.col("grpo_can_map").alias("can_map"),
-                    "prompt_col",
-                ).alias("GRPO"),
-                F.struct(F.col("kto_ready").alias("ready")).alias("KTO"),
-            ),
-            {"ignoreNullFields": "false"},
+                F.col("sft_ready").alias("ready"),
+                F.col("sft_reason").alias("reason"),
+                F.col("prompt_col").alias("possible_prompt"),
+                F.col("response_col").alias("possible_response"),
+                "has_context",
+            ).alias("SFT"),
+            F.struct(
+                F.col("dpo_ready").alias("ready"),
+                F.col("dpo_can_map").alias("can_map"),
+                "prompt_col", "chosen_col", "rejected_col",
+            ).alias("DPO"),
+            F.struct(
+                F.col("grpo_ready").alias("ready"),
+                F.col("grpo_can_map").alias("can_map"),
+                "prompt_col",
+            ).alias("GRPO"),
+            F.struct(F.col("kto_ready").alias("ready")).alias("KTO"),
         ).alias("compatibility"),
+        F.col("methods").alias("recommended_methods"),
+        "recommended",
+        "sft_status", "dpo_status", "grpo_status", "kto_status",
+        example.alias("example"),
+    )
+
+
+def inspect_split(
+    spark: SparkSession, df: DataFrame, dataset: str, order: str, config: str = "default",
+    split: str = "train", config_column: str = "config", split_column: str = "split",
+    max_chars: int = 150,
+) -> DataFrame:
+    """Inspect one configuration and split of a table; an absent configuration falls back to the
+    first by name."""
+    known = split_catalog(df, config_column, split_column)
+    chosen = choose_config(known, config, split).select("config").scalar()
+    part = df.where((F.col(config_column) == chosen) & (F.col(split_column) == split))
+    rows = part.drop(config_column, split_column)
+    return inspect(spark, rows, dataset, order, chosen, split, max_chars)
+
+
+def report_json(report: DataFrame) -> DataFrame:
+    """Reports as one JSON text each."""
+    fields = F.struct(
+        "dataset", "config", "split", "total_examples", "columns", "features", "compatibility",
+        "recommended_methods",
+    )
+    return report.select("dataset", F.to_json(fields, {"ignoreNullFields": "false"}).alias("report"))
+
+
+def report_text(report: DataFrame) -> DataFrame:
+    """Reports as one text each, for people."""
+
+    def line(label, value):
+        return F.concat(F.lit(label), value)
+
+    def lines(array, show):
+        return F.array_join(F.transform(array, show), "\n")
+
+    text = F.concat_ws(
+        "\n",
+        line("Dataset: ", F.col("dataset")),
+        line("Config: ", F.col("config")),
+        line("Split: ", F.col("split")),
+        line("Total examples: ", F.col("total_examples")),
+        F.lit("Columns:"),
+        lines("features", lambda f: F.concat(F.lit("  "), f["name"], F.lit(": "), f["type"])),
+        F.lit("First row:"),
+        lines("example", lambda c: F.concat(F.lit("  "), c["name"], F.lit(": "), c["value"])),
+        F.lit("Methods:"),
+        *[line(f"  {m.upper()}: ", F.col(f"{m}_status")) for m in ("sft", "dpo", "grpo", "kto")],
+        line("Recommended training methods: ", F.col("recommended")),
     )
+    return report.select("dataset", text.alias("report"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tunewright.operators import chat, infer, mapping, tokens, validate
 from tunewright.operators import split as splits
 from tunewright.operators import inspect as inspection
+from tunewright.plans import flows
 from tunewright.queries.adapt import (
     FIRST_TURNS_SQL,
     PAIRS_SQL,
@@ -33,9 +34,7 @@ CHAT_SQL = """
 @query(f"SELECT *, {sql_split('conv_id')} AS split FROM ({CHAT_SQL}) c")
 def chat_render_split(spark, folder):
     """Rows per turn to one rendered text per conversation, with its split."""
-    turns = table(spark, folder, "conversations")
-    rendered = chat.render_chat(chat.turns_to_conversation(turns))
-    return splits.train_test_split(rendered, "conv_id")
+    return flows.turns_to_text(table(spark, folder, "conversations"))
 
 
 @query("""
@@ -420,34 +419,97 @@ def count_examples(spark, folder):
     return inspection.count_examples(table(spark, folder, "documents"), "lang")
 
 
-@query("""
-    SELECT 'documents' AS dataset, format('{:,}', count(*)) AS total_examples,
-           'doc_id, text, lang, source, n_chars' AS columns,
-           'doc_id bigint, text string, lang string, source string, n_chars bigint' AS features,
-           'READY' AS sft_status, 'INCOMPATIBLE' AS dpo_status, 'INCOMPATIBLE' AS grpo_status,
-           'INCOMPATIBLE' AS kto_status, 'SFT' AS recommended,
-           'doc_id=' || min(doc_id)::VARCHAR || ' lang=' || arg_min(lang, doc_id) || ' text='
-               || arg_min(CASE WHEN length(text) > 150 THEN substr(text, 1, 150) || '...'
-                               ELSE text END, doc_id) AS example,
-           '{"SFT":{"ready":true,"reason":"text","possible_prompt":null,"possible_response":null,'
-           || '"has_context":false},"DPO":{"ready":false,"can_map":false,"prompt_col":null,'
-           || '"chosen_col":null,"rejected_col":null},"GRPO":{"ready":false,"can_map":false,'
-           || '"prompt_col":null},"KTO":{"ready":false}}' AS compatibility
-    FROM documents""")
+DOCUMENTS_SQL = f"""
+    SELECT min(lang) AS config, doc_id, text, source FROM documents
+    WHERE lang = (SELECT min(lang) FROM documents) AND {sql_split('doc_id')} = 'train'
+    GROUP BY ALL"""
+COMPATIBILITY = (
+    '{"SFT":{"ready":true,"reason":"text","possible_prompt":null,"possible_response":null,'
+    '"has_context":false},"DPO":{"ready":false,"can_map":false,"prompt_col":null,'
+    '"chosen_col":null,"rejected_col":null},"GRPO":{"ready":false,"can_map":false,'
+    '"prompt_col":null},"KTO":{"ready":false}}'
+)
+FEATURES = (
+    '[{"name":"doc_id","type":"bigint"},{"name":"text","type":"string"},'
+    '{"name":"source","type":"string"}]'
+)
+
+
+def _report(spark, folder):
+    """The report on one language of the documents, none being called `default`."""
+    documents = table(spark, folder, "documents").select(
+        "doc_id", "text", "source", F.col("lang").alias("config")
+    )
+    return inspection.inspect_split(
+        spark, splits.train_test_split(documents, "doc_id"), "documents", "doc_id"
+    )
+
+
+@query(f"""
+    SELECT 'documents' AS dataset,
+           '{{"dataset":"documents","config":"' || min(config) || '","split":"train","total_examples":"'
+           || format('{{:,}}', count(*)) || '","columns":["doc_id","text","source"],"features":'
+           || '{FEATURES}' || ',"compatibility":' || '{COMPATIBILITY}'
+           || ',"recommended_methods":["SFT"]}}' AS report
+    FROM ({DOCUMENTS_SQL}) d""")
+def inspect_json(spark, folder):
+    return inspection.report_json(_report(spark, folder))
+
+
+@query(f"""
+    SELECT 'documents' AS dataset,
+           array_to_string(['Dataset: documents', 'Config: ' || min(config), 'Split: train',
+               'Total examples: ' || format('{{:,}}', count(*)), 'Columns:', '  doc_id: bigint',
+               '  text: string', '  source: string', 'First row:',
+               '  doc_id: ' || min(doc_id)::VARCHAR,
+               '  text: ' || arg_min(CASE WHEN length(text) > 150 THEN substr(text, 1, 150) || '...'
+                                          ELSE text END, doc_id),
+               '  source: ' || arg_min(source, doc_id), 'Methods:', '  SFT: READY',
+               '  DPO: INCOMPATIBLE', '  GRPO: INCOMPATIBLE', '  KTO: INCOMPATIBLE',
+               'Recommended training methods: SFT'], chr(10)) AS report
+    FROM ({DOCUMENTS_SQL}) d""")
 def inspect_report(spark, folder):
-    documents = table(spark, folder, "documents")
-    report = inspection.inspect(spark, documents, "documents", "doc_id")
-    return report.select(
-        "dataset",
-        "total_examples",
-        F.array_join("columns", ", ").alias("columns"),
-        F.array_join(
-            F.transform("features", lambda f: F.concat_ws(" ", f["name"], f["type"])), ", "
-        ).alias("features"),
-        "sft_status", "dpo_status", "grpo_status", "kto_status", "recommended",
-        F.concat(
-            F.lit("doc_id="), F.col("example")["doc_id"], F.lit(" lang="), F.col("example")["lang"],
-            F.lit(" text="), F.col("example")["text"],
-        ).alias("example"),
-        "compatibility",
+    return inspection.report_text(_report(spark, folder))
+
+
+# ---- put together ----
+
+
+def _damaged_records(spark, folder):
+    """Records of which those of one source lack their category."""
+    return records(spark, folder).withColumn(
+        "category", F.when(F.col("category") != "src0", F.col("category"))
     )
+
+
+@query(f"""
+    WITH t AS (
+        SELECT doc_id, {IDS_SQL.format('prompt || completion')} AS ids,
+               len({IDS_SQL.format('prompt')}) AS n
+        FROM ({PAIRS_SQL}) p WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE source = 'src0')),
+    u AS (SELECT doc_id, n, list_resize(ids[1:256], 256, 0) AS ids FROM t)
+    SELECT doc_id, {sql_split('doc_id')} AS split, array_to_string(ids, ' ') AS input_ids,
+           array_to_string(list_transform(ids, lambda x, i: CASE WHEN i <= n THEN -100 ELSE x END), ' ')
+               AS labels
+    FROM u""")
+def records_to_tensors(spark, folder):
+    """Complete records to ids and labels with their split."""
+    made = flows.records_to_tensors(_damaged_records(spark, folder), "doc_id")
+    return _joined(made, "doc_id", "split")
+
+
+@query("SELECT doc_id, 'category' AS missing FROM documents WHERE source = 'src0'")
+def record_rejects(spark, folder):
+    _, rejects = flows.with_rejects(_damaged_records(spark, folder))
+    return rejects.select("doc_id", F.array_join("missing", ", ").alias("missing"))
+
+
+@query(f"""
+    SELECT split, count(*) AS examples, 8 AS effective_batch, count(*) // 8 AS steps_per_epoch,
+           count(*) // 8 * 2 AS total_steps, greatest(1, count(*) // 8 // 10) AS log_steps,
+           greatest(1, count(*) // 8 // 4) AS save_steps
+    FROM (SELECT *, {sql_split('conv_id')} AS split FROM ({CHAT_SQL}) c) s GROUP BY split""")
+def conversation_plan(spark, folder):
+    """Conversations to text, split, and the steps that training on them takes."""
+    text = flows.turns_to_text(table(spark, folder, "conversations"))
+    return flows.training_plan(text, epochs=2)

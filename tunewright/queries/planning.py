@@ -13,10 +13,12 @@ from tunewright.constants import (
 )
 from tunewright.operators import split as splits
 from tunewright.operators import synth
-from tunewright.plans import sizing
+from tunewright.plans import flows, sizing
 from tunewright.queries.adapt import PAIRS_SQL, RECORDS_SQL, records, table
 from tunewright.queries.corpus import prompt_completion
 from tunewright.queries.registry import query, sql_draw, sql_list, sql_split, sql_text
+from tunewright.session import fresh_dir
+from tunewright.sources import splits as split_files
 
 RUBRIC_SQL = "'Correctness=0.6, Clarity=0.25, Conciseness=0.15'"
 
@@ -137,6 +139,20 @@ def merge_batch(spark, folder):
     return synth.merge_batch(old.withColumnRenamed("doc_id", "k"), batch)
 
 
+@query(f"""
+    SELECT prompt, completion, {sql_split('doc_id')} AS split FROM ({PAIRS_SQL}) p
+    UNION ALL
+    SELECT prompt, completion, 'train' FROM ({_template_sql(_new_rows, _train)}) g""")
+def grow_corpus(spark, folder):
+    """A stored corpus grown to twice its size as a new version."""
+    base = fresh_dir(spark, "corpus")
+    pairs = splits.train_test_split(prompt_completion(spark, folder), "doc_id").drop("doc_id")
+    split_files.save_version(pairs, base, "20240101T000000")
+    goal = 2 * table(spark, folder, "documents").count()
+    flows.grow_corpus(spark, base, "20240102T000000", target=goal)
+    return split_files.read_version(spark, base)
+
+
 # ---- sizing ----
 
 STEPS_SQL = """

@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunewright.session import setting
+
+# a task keeps a file open per split instead of sorting its rows by split
+OPEN_FILES = ("spark.sql.maxConcurrentOutputFileWriters", "8")
+
 
 def write_split(
     df: DataFrame, path: str, mode: str = "errorifexists", max_rows_per_file: int = 5_000_000
 ) -> None:
-    """Write a dataset with a `split` column, one directory per split. No shuffle."""
-    (
-        df.write.mode(mode)
-        .partitionBy("split")
-        .option("maxRecordsPerFile", max_rows_per_file)
-        .parquet(path)
-    )
+    """Write a dataset with a `split` column, one directory per split: no shuffle and no sort."""
+    with setting(df.sparkSession, *OPEN_FILES):
+        (
+            df.write.mode(mode)
+            .partitionBy("split")
+            .option("maxRecordsPerFile", max_rows_per_file)
+            .parquet(path)
+        )
 
 
 def read_split(
@@ -40,12 +46,11 @@ def save_version(df: DataFrame, base: str, version: str) -> None:
     Readers take versions from the record, so a failed write is never read and the version
     being read is never overwritten.
     """
-    partitions = ["split"] if "split" in df.columns else []
-    (
-        df.write.mode("overwrite")
-        .partitionBy(*partitions)
-        .parquet(f"{base}/data/version={version}")
-    )
+    path = f"{base}/data/version={version}"
+    if "split" in df.columns:
+        write_split(df, path, mode="overwrite")
+    else:
+        df.write.mode("overwrite").parquet(path)
     (
         df.sparkSession.range(1)
         .select(F.lit(version).alias("version"))
