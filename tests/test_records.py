@@ -10,6 +10,7 @@ from tunewright.operators import chat, infer, mapping, tokens, validate
 from tunewright.functions.tokens import mask_prompt, pad_truncate
 from tunewright.queries.corpus import load_word_lengths
 from tunewright.schemas import INTERVIEW_RECORD
+from tunewright.session import setting
 from tunewright.sources import records, splits
 
 RECORD = {
@@ -61,6 +62,16 @@ def test_array_file_keeps_entry_numbers_and_nulls(spark, tmp_path):
     assert records.read_records(spark, str(path), array=True).count() == 3
 
 
+def test_lines_are_numbered_across_input_splits(spark, tmp_path):
+    for name, n in (("a", 500), ("b", 40)):
+        (tmp_path / f"{name}.json").write_text("".join(f'{{"n": {i + 1}}}\n' for i in range(n)))
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "700"):
+        raw = records.read_raw(spark, str(tmp_path), numbered=True)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+        rows = raw.select("entry", F.get_json_object("raw", "$.n").cast("bigint").alias("n")).collect()
+    assert len(rows) == 540 and all(r.entry == r.n for r in rows)
+
+
 def test_malformed_records_are_rejected_not_fatal(spark, tmp_path):
     path = tmp_path / "lines.json"
     path.write_text(json.dumps(RECORD) + "\n{\"category\": \n" + json.dumps(RECORD) + "\n")

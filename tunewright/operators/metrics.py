@@ -105,15 +105,16 @@ def smooth(
 
 def checkpoint_step(path: Column) -> Column:
     """N of a path that ends in `checkpoint-N`, null for any other path."""
-    return F.nullif(F.regexp_extract(path, CHECKPOINT_PATTERN, 1), F.lit("")).try_cast("bigint")
+    number = F.nullif(F.regexp_extract(path, CHECKPOINT_PATTERN, 1), F.lit(""))
+    return F.when(F.contains(path, F.lit("checkpoint-")), number.try_cast("bigint"))
 
 
 def latest_checkpoint(listing: DataFrame, by: str = "run") -> DataFrame:
     """The path of the highest checkpoint of each run, null for a run without one."""
-    step = checkpoint_step(F.col("path"))
-    return listing.groupBy(by).agg(
-        F.max_by("path", F.when(step.isNotNull(), F.struct(step, F.col("path")))).alias("path"),
-        F.max(step).alias("step"),
+    steps = listing.select(by, "path", checkpoint_step(F.col("path")).alias("step"))
+    known = F.when(F.col("step").isNotNull(), F.struct("step", "path"))
+    return steps.groupBy(by).agg(F.max(known).alias("last")).select(
+        by, F.col("last.path").alias("path"), F.col("last.step").alias("step")
     )
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunewright.constants import LIVE_SECONDS, TAIL_LINES
+from tunewright.constants import LIVE_SECONDS, NO_CHECKPOINTS, NO_PROCESS, TAIL_LINES
+from tunewright.operators.metrics import checkpoint_step
 from tunewright.schemas import GPU
 
 
@@ -48,6 +49,26 @@ def heartbeat(
     )
 
 
+def snapshot_parts(include: str, exclude: str | None = None, line: str = "line") -> dict[str, Column]:
+    """More of a snapshot, for `heartbeat`'s `extra`: matching process lines and the newest checkpoint."""
+    return {
+        "processes": F.count_if(_matching(line, include, exclude)),
+        "checkpoint": F.max(checkpoint_step(F.col(line))),
+    }
+
+
+def snapshot_notes(snapshots: DataFrame) -> DataFrame:
+    """Say so where a snapshot has no process or no checkpoint."""
+    return snapshots.withColumn(
+        "process_note", F.when(F.col("processes") == 0, F.lit(NO_PROCESS))
+    ).withColumn("checkpoint_note", F.when(F.col("checkpoint").isNull(), F.lit(NO_CHECKPOINTS)))
+
+
+def _matching(line: str, include: str, exclude: str | None) -> Column:
+    wanted = F.rlike(F.col(line), F.lit(include))
+    return wanted if exclude is None else wanted & ~F.rlike(F.col(line), F.lit(exclude))
+
+
 def monitor_status(snapshots: DataFrame, by: list[str], limit: int = LIVE_SECONDS) -> DataFrame:
     """Add age and status of the monitor to snapshots that carry `monitor_ts`, its last update.
 
@@ -119,9 +140,7 @@ def match_lines(
 
     With `by` and `none_message`, a source without any match gets one row with the message.
     """
-    wanted = F.rlike(F.col(line), F.lit(include))
-    if exclude is not None:
-        wanted = wanted & ~F.rlike(F.col(line), F.lit(exclude))
+    wanted = _matching(line, include, exclude)
     kept = df.where(wanted)
     if by is None or none_message is None:
         return kept

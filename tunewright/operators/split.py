@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tunewright.functions.draws import BUCKETS, draw32
 from tunewright.operators.position import with_position
 
-COARSE_BUCKETS = 65_536
+COARSE_BUCKETS = 2**18
 
 
 def train_test_split(
@@ -35,7 +35,7 @@ def in_smallest(
     """A condition that holds for `n` rows of `df` (or `ceil(fraction * rows)`): those of the
     smallest hashed keys.
 
-    A count per coarse hash bucket (at most 65,536 rows, whatever the table's size) finds the bucket
+    A count per coarse hash bucket (at most 262,144 rows, whatever the table's size) finds the bucket
     the cut falls in; only that bucket's keys are ranked. Copies of one key stay on one side, so
     with copies the count may exceed `n` by them.
     """

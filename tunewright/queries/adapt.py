@@ -176,7 +176,9 @@ def as_lines(events: DataFrame) -> DataFrame:
         .alias("priority"),
         F.col("event_id").alias("seq"),
         "ts",
-        F.concat_ws(" ", kind, "props").alias("line"),
+        F.when(kind == "view", F.concat(F.lit("models/checkpoint-"), F.col("event_id")))
+        .otherwise(F.concat_ws(" ", kind, "props"))
+        .alias("line"),
         "value",
     )
 
@@ -187,7 +189,9 @@ LINES_SQL = """
                 WHEN event_type = 'signup' THEN 'monitor.log' ELSE 'train.log' END AS log,
            CASE WHEN event_type IN ('view', 'click') THEN 0
                 WHEN event_type = 'signup' THEN 2 ELSE 1 END AS priority,
-           event_id AS seq, ts, event_type || ' ' || props AS line, value
+           event_id AS seq, ts,
+           CASE event_type WHEN 'view' THEN 'models/checkpoint-' || event_id::VARCHAR
+                ELSE event_type || ' ' || props END AS line, value
     FROM events"""
 
 

@@ -124,13 +124,23 @@ def retained_checkpoints(spark, folder):
 HEARTBEAT_SQL = f"""
     SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
            time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
-           count(*) AS lines, max(ts) AS last_ts, arg_max(line, (ts, seq)) AS last_line
+           count(*) AS lines, max(ts) AS last_ts, arg_max(line, (ts, seq)) AS last_line,
+           count(*) FILTER (WHERE line LIKE 'purchase%' AND NOT line LIKE '%"k": 1%') AS processes,
+           max(CASE WHEN log = 'train_fresh.log' AND line LIKE 'models/%' THEN seq END) AS checkpoint
     FROM ({LINES_SQL}) l GROUP BY ALL"""
+PARTS = {"include": "^purchase", "exclude": '"k": 1'}
 
 
-@query(HEARTBEAT_SQL)
+@query(f"""
+    SELECT *, CASE WHEN processes = 0 THEN 'no training process' END AS process_note,
+           CASE WHEN checkpoint IS NULL THEN 'no checkpoints' END AS checkpoint_note
+    FROM ({HEARTBEAT_SQL}) h""")
 def heartbeat_5m(spark, folder):
-    return monitor.heartbeat(_lines(spark, folder), "5 minutes")
+    """Snapshots with their processes and newest checkpoint."""
+    beats = monitor.heartbeat(
+        _lines(spark, folder), "5 minutes", extra=monitor.snapshot_parts(**PARTS)
+    )
+    return monitor.snapshot_notes(beats)
 
 
 @query(f"""
@@ -239,7 +249,8 @@ def stream_heartbeat(spark, folder):
     """Closed windows of a stream, appended to a report."""
     path = fresh_dir(spark, "heartbeat")
     snapshots = monitor.heartbeat(
-        as_lines(_event_stream(spark, folder)), "5 minutes", watermark="10 minutes"
+        as_lines(_event_stream(spark, folder)), "5 minutes", watermark="10 minutes",
+        extra=monitor.snapshot_parts(**PARTS),
     )
     _finish(files.append_report(snapshots, path, fresh_dir(spark, "heartbeat-state")))
     return naive(spark.read.parquet(path), "window_start", "window_end", "last_ts")

@@ -10,6 +10,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app: str = "tunewright", master: str | None = None, **conf) -> SparkSession:
     """A session with UTC, AQE and skew handling on; `conf` overrides any setting."""
@@ -24,6 +26,8 @@ def build_session(app: str = "tunewright", master: str | None = None, **conf) ->
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # collect_list over many keys: keep hashing longer before the sort fallback
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+        # streaming state larger than memory
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         **conf,
     }
     for key, value in settings.items():

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunewright.operators.position import with_position
 from tunewright.schemas import INTERVIEW_RECORD
 
 
@@ -19,18 +20,33 @@ def read_records(
     return spark.read.schema(schema).json(path, multiLine=array)
 
 
-def read_raw(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str, array: bool = False, numbered: bool = False
+) -> DataFrame:
     """Raw JSON text per record, so that a null value and a missing key stay apart.
 
-    For array files also the 1-based `entry` number in its file.
+    `numbered` adds the file and the 1-based `entry` number in it. Lines are numbered per input
+    split and shifted by the splits before, so a large file is numbered by many tasks; array files
+    are always numbered.
     """
-    if not array:
-        return spark.read.text(path).withColumnRenamed("value", "raw")
-    items = F.from_json(F.col("value"), T.ArrayType(T.StringType()))
-    return (
-        spark.read.text(path, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("file"), F.posexplode(items).alias("pos", "raw"))
-        .select("file", (F.col("pos") + 1).alias("entry"), "raw")
+    if array:
+        items = F.from_json(F.col("value"), T.ArrayType(T.StringType()))
+        return (
+            spark.read.text(path, wholetext=True)
+            .select(F.col("_metadata.file_path").alias("file"), F.posexplode(items).alias("pos", "raw"))
+            .select("file", (F.col("pos") + 1).cast("bigint").alias("entry"), "raw")
+        )
+    lines = spark.read.text(path)
+    if not numbered:
+        return lines.withColumnRenamed("value", "raw")
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_at"),
+        F.col("value").alias("raw"),
+    )
+    return with_position(placed, ["file"], "_at", F.col("_split")).select(
+        "file", F.col("position").alias("entry"), "raw"
     )
 
 
