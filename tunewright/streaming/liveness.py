@@ -11,20 +11,22 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tunewright.constants import LIVE_SECONDS
 
-STATUS = "source STRING, last_ts TIMESTAMP, status STRING"
-
-
 def newest_per_source(stream: DataFrame, source: str, ts: str = "ts") -> DataFrame:
-    """Each Arrow batch reduced to one row per source, so that a busy source is not shuffled whole."""
+    """Each Arrow batch reduced to one row per source, so that a busy source is not shuffled whole.
+
+    Times go through Python as microseconds, which no time zone changes.
+    """
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.groupby("source", as_index=False)["last_ts"].max()
+            yield batch.groupby("source", as_index=False, dropna=False)["last_us"].max()
 
     narrow = stream.select(
-        F.col(source).cast("string").alias("source"), F.col(ts).cast("timestamp").alias("last_ts")
+        F.col(source).cast("string").alias("source"),
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("last_us"),
     )
-    return narrow.mapInPandas(reduce, "source STRING, last_ts TIMESTAMP")
+    reduced = narrow.mapInPandas(reduce, "source STRING, last_us BIGINT")
+    return reduced.withColumn("last_ts", F.timestamp_micros("last_us"))
 
 
 def liveness_stream(
@@ -45,7 +47,7 @@ def liveness_stream(
             return
         last = state.get[0] if state.exists else 0
         for batch in batches:
-            last = max(last, int(batch["last_ts"].astype("datetime64[us]").astype("int64").max()))
+            last = max(last, int(batch["last_us"].max()))
         due = last // 1000 + limit_ms
         if due < state.getCurrentWatermarkMs():
             if state.exists:
@@ -57,18 +59,21 @@ def liveness_stream(
         yield row(name, last, "ACTIVE")
 
     def row(name, last, status):
-        return pd.DataFrame(
-            {"source": [name], "last_ts": [pd.Timestamp(last, unit="us")], "status": [status]}
-        )
+        return pd.DataFrame({"source": [name], "last_us": [last], "status": [status]})
 
-    return (
+    tracked = (
         newest_per_source(stream, source)
         .withWatermark("last_ts", delay)
         .groupBy("source")
         .applyInPandasWithState(
-            track, STATUS, "last_us BIGINT", "append", GroupStateTimeout.EventTimeTimeout
+            track,
+            "source STRING, last_us BIGINT, status STRING",
+            "last_us BIGINT",
+            "append",
+            GroupStateTimeout.EventTimeTimeout,
         )
     )
+    return tracked.select("source", F.timestamp_micros("last_us").alias("last_ts"), "status")
 
 
 def latest_status(reports: DataFrame) -> DataFrame:
