@@ -5,8 +5,19 @@ from __future__ import annotations
 # ---- fixed values: required keys and defaults of an interview record ----
 REQUIRED_FIELDS = ["category", "question", "example_answer", "evaluation_criteria", "correctness"]
 DEFAULT_CORRECTNESS = "Model should check correctness, clarity, and concision."
+ENTRY_VALID = "Entry {entry}: All required fields are present."
+ENTRY_MISSING = "Entry {entry} is missing fields: {missing}"
 RUBRIC = [("Correctness", 0.6), ("Clarity", 0.25), ("Conciseness", 0.15)]
 
+# ---- fixed values: texts made of a record's fields ----
+RECORD_PROMPT = "{category} Question: {question}\nAnswer:"
+RECORD_COMPLETION = " {answer}\nEvaluation: {correctness}"
+SFT_PAIR = "{prompt}\n\n{response}"
+SFT_PROMPT_PART = "Instruction: {prompt}\n\n"
+SFT_CONTEXT_PART = "Context: {context}\n\n"
+SFT_RESPONSE_PART = "Response: {response}"
+LIST_PREVIEW = "[{count} items] Keys: {keys}"
+
 # ---- fixed values: name patterns that mark a column's part in a training format ----
 PROMPT_PATTERNS = ["prompt", "instruction", "question", "input"]
 RESPONSE_PATTERNS = ["response", "completion", "output", "answer"]
@@ -68,20 +79,22 @@ QUESTION_POOL = {
     ],
 }
 
-# ---- fixed values: text before and after the question in a generated answer ----
-ANSWER_FRAMES = {
-    "HTML": ("Explanation: ", " Example answer demonstrating correct usage."),
-    "CSS": ("CSS snippet: /* example CSS */\n", ""),
-    "JavaScript": ("JS Example: // example implementation for ", ""),
-    "Node.js": ("Node.js Example: // example implementation for ", ""),
-    "Express": ("Express Example: // example implementation for ", ""),
-    "React": ("React Example: // example implementation for ", ""),
-    "MySQL": ("SQL Example: -- example query for ", ""),
+# ---- fixed values: generated answers ----
+ANSWERS = {
+    "HTML": "Explanation: {question} Example answer demonstrating correct usage.",
+    "CSS": "CSS snippet: /* example CSS */\n{question}",
+    "JavaScript": "JS Example: // example implementation for {question}",
+    "Node.js": "Node.js Example: // example implementation for {question}",
+    "Express": "Express Example: // example implementation for {question}",
+    "React": "React Example: // example implementation for {question}",
+    "MySQL": "SQL Example: -- example query for {question}",
 }
 FALLBACK_ANSWER = "Example answer"
 
-# ---- fixed values: topics and size of a corpus top-up ----
+# ---- fixed values: topics, texts and size of a corpus top-up ----
 TOPICS = ["debugging", "testing", "security practices"]
+SYNTHETIC_QUESTION = "[Synthetic] Question {number} for {category}: {topic}"
+SYNTHETIC_ANSWER = "[Answer {category}] This is a synthetic answer example for the question posed."
 TOP_UP_TARGET = 5000
 
 # ---- fixed values: code templates (problem, solution) and their variations ----
@@ -116,6 +129,7 @@ CODE_TEMPLATES = [
         "            seen.add(x)\n            out.append(x)\n    return out\n",
     ),
 ]
+CODE_PROMPT = "### Problem: {problem} (example {number})\n### Solution:\n"
 UNTYPED_SIGNATURE = "(a, b):"
 TYPED_SIGNATURE = "(a: int, b: int) -> int:"
 DOCSTRING_LINE = '"""Simple implementation"""\n'
@@ -123,7 +137,7 @@ BATCH_TARGET = 500
 BATCH_SIZE = 100
 
 # ---- fixed values: chat markers ----
-TURN_START = "<|im_start|>"
+TURN = "<|im_start|>{role}\n{content}"
 TURN_END = "<|im_end|>\n"
 CONVERSATION_COLUMNS = ["messages", "conversations", "conversation"]
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "system": "system"}

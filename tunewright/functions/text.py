@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunewright.constants import DEFAULT_CORRECTNESS, TURN_END, TURN_START
+from tunewright.constants import (
+    DEFAULT_CORRECTNESS,
+    LIST_PREVIEW,
+    RECORD_COMPLETION,
+    RECORD_PROMPT,
+    SFT_CONTEXT_PART,
+    SFT_PAIR,
+    SFT_PROMPT_PART,
+    SFT_RESPONSE_PART,
+    TURN,
+    TURN_END,
+)
+
+
+def fill(template: str, **columns: Column) -> Column:
+    """A text with `{name}` places filled by columns; null where one of them is null."""
+    parts = re.split(r"\{(\w+)\}", template)
+    pieces = [
+        columns[part].cast("string") if i % 2 else F.lit(part) for i, part in enumerate(parts) if part
+    ]
+    return F.concat(*pieces)
 
 
 def sft_text(prompt: Column, response: Column | None = None, context: Column | None = None) -> Column:
@@ -14,12 +36,12 @@ def sft_text(prompt: Column, response: Column | None = None, context: Column | N
     if response is None:
         return prompt
     if context is None:
-        return F.concat(prompt, F.lit("\n\n"), response)
-    with_context = F.when(
-        F.coalesce(context, F.lit("")) != "", F.concat(F.lit("Context: "), context, F.lit("\n\n"))
-    ).otherwise(F.lit(""))
+        return fill(SFT_PAIR, prompt=prompt, response=response)
+    given = F.coalesce(context, F.lit("")) != ""
     return F.concat(
-        F.lit("Instruction: "), prompt, F.lit("\n\n"), with_context, F.lit("Response: "), response
+        fill(SFT_PROMPT_PART, prompt=prompt),
+        F.when(given, fill(SFT_CONTEXT_PART, context=context)).otherwise(F.lit("")),
+        fill(SFT_RESPONSE_PART, response=response),
     )
 
 
@@ -28,25 +50,19 @@ def default_correctness(correctness: Column) -> Column:
 
 
 def record_prompt(category: Column, question: Column) -> Column:
-    return F.concat(category, F.lit(" Question: "), question, F.lit("\nAnswer:"))
+    return fill(RECORD_PROMPT, category=category, question=question)
 
 
 def record_completion(answer: Column, correctness: Column) -> Column:
-    return F.concat(
-        F.lit(" "), answer, F.lit("\nEvaluation: "), default_correctness(correctness)
-    )
+    return fill(RECORD_COMPLETION, answer=answer, correctness=default_correctness(correctness))
 
 
 def render_turns(turns: Column, bos: str = "", end: str = TURN_END) -> Column:
     """Chat text of an array of (role, content), with one leading `bos` removed."""
-    text = F.array_join(
-        F.transform(
-            turns,
-            lambda t: F.concat(F.lit(TURN_START), t["role"], F.lit("\n"), t["content"], F.lit(end)),
-        ),
-        "",
+    rendered = F.transform(
+        turns, lambda t: fill(TURN + end, role=t["role"], content=t["content"])
     )
-    return remove_prefix(text, bos)
+    return remove_prefix(F.array_join(rendered, ""), bos)
 
 
 def remove_prefix(text: Column, prefix: str) -> Column:
@@ -69,9 +85,7 @@ def preview_cell(cell: Column, dtype: T.DataType, max_chars: int = 150) -> Colum
         shown = clip(cell, max_chars)
     elif isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
         names = "[" + ", ".join(f"'{name}'" for name in dtype.elementType.names) + "]"
-        keys = F.concat(
-            F.lit("["), F.size(cell).cast("string"), F.lit(" items] Keys: "), F.lit(names)
-        )
+        keys = fill(LIST_PREVIEW, count=F.size(cell), keys=F.lit(names))
         shown = F.when(F.size(cell) > 0, keys).otherwise(clip(F.lit("[]"), max_chars))
     else:
         shown = clip(_literal(cell, dtype), max_chars)

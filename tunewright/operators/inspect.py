@@ -16,9 +16,17 @@ from tunewright.constants import (
     REJECTED_PATTERNS,
     RESPONSE_PATTERNS,
 )
-from tunewright.functions.text import preview_cell
+from tunewright.functions.text import fill, preview_cell
 from tunewright.sources.catalog import choose_config, split_catalog
 
+# the mappings of `functions.text.sft_text` as SQL expressions of a dataset's own columns
+PAIR_EXPRESSION = r"concat({prompt}, '\n\n', {response})"
+CONTEXT_EXPRESSION = (
+    r"concat('Instruction: ', {prompt}, '\n\n', "
+    r"if(coalesce(`context`, '') != '', concat('Context: ', `context`, '\n\n'), ''), "
+    r"'Response: ', {response})"
+)
+
 
 def schema_table(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
     """The schema table of some DataFrames; reads no data."""
@@ -184,12 +192,8 @@ def mapping_spec(checks: DataFrame) -> DataFrame:
         return F.concat(F.lit("`"), F.replace(F.col(name), F.lit("`"), F.lit("``")), F.lit("`"))
 
     p, r = quoted("prompt_col"), quoted("response_col")
-    with_context = F.concat(
-        F.lit(r"concat('Instruction: ', "), p,
-        F.lit(r", '\n\n', if(coalesce(`context`, '') != '', concat('Context: ', `context`, '\n\n'), '')"),
-        F.lit(r", 'Response: ', "), r, F.lit(")"),
-    )
-    pair = F.concat(F.lit("concat("), p, F.lit(r", '\n\n', "), r, F.lit(")"))
+    with_context = fill(CONTEXT_EXPRESSION, prompt=p, response=r)
+    pair = fill(PAIR_EXPRESSION, prompt=p, response=r)
     sft = (
         F.when(F.col("has_context") & F.col("response_col").isNotNull(), with_context)
         .when(F.col("response_col").isNotNull(), pair)

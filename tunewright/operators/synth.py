@@ -6,22 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunewright.constants import (
-    ANSWER_FRAMES,
+    ANSWERS,
     BATCH_SIZE,
     BATCH_TARGET,
     CATEGORIES,
+    CODE_PROMPT,
     CODE_TEMPLATES,
     DEFAULT_CORRECTNESS,
     DOCSTRING_LINE,
     FALLBACK_ANSWER,
     QUESTION_POOL,
     RUBRIC,
+    SYNTHETIC_ANSWER,
+    SYNTHETIC_QUESTION,
     TOP_UP_TARGET,
     TOPICS,
     TYPED_SIGNATURE,
     UNTYPED_SIGNATURE,
 )
 from tunewright.functions.draws import draw32, pick
+from tunewright.functions.text import fill
 from tunewright.operators.split import train_test_split
 
 
@@ -40,11 +44,9 @@ def attach_rubric(df: DataFrame) -> DataFrame:
 
 
 def example_answer(category: Column, question: Column) -> Column:
-    answer = None
-    for name, (before, after) in ANSWER_FRAMES.items():
-        text = F.concat(F.lit(before), question, F.lit(after))
-        answer = F.when(category == name, text) if answer is None else answer.when(category == name, text)
-    return answer.otherwise(F.lit(FALLBACK_ANSWER))
+    """The answer text of a question, by its category."""
+    known = [F.when(category == c, fill(text, question=question)) for c, text in ANSWERS.items()]
+    return F.coalesce(*known, F.lit(FALLBACK_ANSWER))
 
 
 def generate_round_robin(ids: DataFrame, key: str = "id", seed: int = 42) -> DataFrame:
@@ -74,18 +76,12 @@ def synthetic_rows(numbers: DataFrame, key: str = "id", seed: int = 42) -> DataF
         numbers.select(key, category.alias("category"), topic.alias("_topic"))
         .withColumn(
             "question",
-            F.concat(
-                F.lit("[Synthetic] Question "), F.col(key).cast("string"), F.lit(" for "),
-                F.col("category"), F.lit(": "), F.col("_topic"),
-            ),
-        )
-        .withColumn(
-            "example_answer",
-            F.concat(
-                F.lit("[Answer "), F.col("category"),
-                F.lit("] This is a synthetic answer example for the question posed."),
+            fill(
+                SYNTHETIC_QUESTION,
+                number=F.col(key), category=F.col("category"), topic=F.col("_topic"),
             ),
         )
+        .withColumn("example_answer", fill(SYNTHETIC_ANSWER, category=F.col("category")))
         .drop("_topic")
         .transform(attach_rubric)
     )
@@ -130,10 +126,7 @@ def template_batch(ids: DataFrame, start: int, key: str = "id", batch: int | Non
         .when(F.pmod(number, F.lit(7)) == 0, F.concat(F.lit(DOCSTRING_LINE), solution))
         .otherwise(solution)
     )
-    prompt = F.concat(
-        F.lit("### Problem: "), problem, F.lit(" (example "), number.cast("string"),
-        F.lit(")\n### Solution:\n"),
-    )
+    prompt = fill(CODE_PROMPT, problem=problem, number=number)
     return ids.select(key, prompt.alias("prompt"), completion.alias("completion"))
 
 

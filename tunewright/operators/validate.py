@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunewright.constants import REQUIRED_FIELDS
+from tunewright.constants import ENTRY_MISSING, ENTRY_VALID, REQUIRED_FIELDS
+from tunewright.functions.text import fill
 
 
 def missing_keys(raw: Column, required: list[str] = REQUIRED_FIELDS) -> Column:
@@ -35,13 +36,13 @@ def validation_report(
     """Per entry: the missing fields, a status and a message."""
     names = F.array_join("missing", ", ")
     ok = F.size("missing") == 0
-    number = F.col(entry).cast("string")
+    number = F.col(entry)
     return missing_fields(df, required, raw).select(
         F.col(entry),
         names.alias("missing"),
         F.when(ok, F.lit("valid")).otherwise(F.lit("missing")).alias("status"),
-        F.when(ok, F.concat(F.lit("Entry "), number, F.lit(": All required fields are present.")))
-        .otherwise(F.concat(F.lit("Entry "), number, F.lit(" is missing fields: "), names))
+        F.when(ok, fill(ENTRY_VALID, entry=number))
+        .otherwise(fill(ENTRY_MISSING, entry=number, missing=names))
         .alias("message"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tunewright.constants import (
-    ANSWER_FRAMES,
+    ANSWERS,
     CATEGORIES,
     CODE_TEMPLATES,
     QUESTION_POOL,
@@ -33,8 +33,8 @@ def _rubric_text():
 
 
 _answers = " ".join(
-    f"WHEN '{name}' THEN {sql_text(before)} || question || {sql_text(after)}"
-    for name, (before, after) in ANSWER_FRAMES.items()
+    f"WHEN '{name}' THEN replace({sql_text(text)}, '{{question}}', question)"
+    for name, text in ANSWERS.items()
 )
 _pools = " ".join(
     f"WHEN '{name}' THEN {sql_list(items)}" for name, items in QUESTION_POOL.items()
