@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tunewright.operators import chat, metrics, monitor, split
 from tunewright.operators.gather import gather
 from tunewright.operators.position import with_position
+from tunewright.session import setting
 from tunewright.sources import catalog
 
 
@@ -160,6 +161,31 @@ def test_top_rows_are_cut_before_the_shuffle(spark, plan):
     assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["chat_render_split", "cost_report", "job_report", "memory_fit", "flavor_tier", "liveness_report",
+     "prefer_log", "smooth", "schema_checks", "train_test_split_exact", "synth_round_robin"],
+)
+def test_no_query_pairs_all_rows(spark, folder, plan, name):
+    from tunewright.queries import all_queries
+
+    text = plan(all_queries()[name](spark, folder))
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def test_wide_rows_are_not_sorted_for_a_join(spark, tmp_path):
+    """Joins of large tables: hashed at run time where the other side's partitions are small."""
+    wide = spark.range(5000).withColumn("text", F.repeat(F.lit("x"), 50))
+    narrow = spark.range(5000).withColumn("q", F.col("id") % 2)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), setting(
+        spark, "spark.sql.adaptive.autoBroadcastJoinThreshold", "-1"
+    ):
+        joined = wide.join(narrow, "id", "left")
+        joined.collect()
+        final = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ShuffledHashJoin" in final
+
+
 def test_filters_and_columns_reach_the_scan(spark, folder, plan):
     from tunewright.queries import all_queries
 

@@ -44,14 +44,11 @@ def _hardware() -> Column:
 
 
 def lookup_hardware(jobs: DataFrame, hardware: DataFrame) -> DataFrame:
-    """Add rate and time multiplier by flavour; jobs of a flavour without a rate are left out.
-
-    `hardware` is the constant table of nine rows, so it is broadcast.
-    """
+    """Add rate and time multiplier by flavour; jobs of a flavour without a rate are left out."""
     rated = hardware.where(F.col("usd_per_hour").isNotNull()).select(
         "flavor", "usd_per_hour", F.coalesce("mult", F.lit(1.0)).alias("mult")
     )
-    return jobs.join(F.broadcast(rated), "flavor")
+    return jobs.join(rated, "flavor")
 
 
 def lookup_size(

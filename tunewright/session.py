@@ -26,6 +26,8 @@ def build_session(app: str = "tunewright", master: str | None = None, **conf) ->
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # collect_list over many keys: keep hashing longer before the sort fallback
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+        # join wide texts with small partitions of the other side without sorting the texts
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         # streaming state larger than memory
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         **conf,
