@@ -184,6 +184,14 @@ def test_render_and_leading_mark(spark):
     assert chat.render_chat(df, bos="<s>").first().text.startswith("<|im_start|>")
 
 
+def test_a_turn_without_content_is_not_dropped_silently(spark):
+    df = spark.sql(
+        "SELECT array(struct('user' AS role, 'hi' AS content), struct('user' AS role, NULL AS content))"
+        " AS conversations"
+    )
+    assert chat.render_chat(df).first().text is None
+
+
 def test_conversation_column(spark):
     df = spark.sql("SELECT 'text' AS messages, array(struct('human' AS from, 'hi' AS value)) AS conversation")
     named = chat.normalize_conversation_column(df)

@@ -91,6 +91,19 @@ def test_position_with_a_hot_group_and_null_keys(spark):
     assert {(r.k, r.s): r.position for r in got} == want
 
 
+@pytest.mark.parametrize("cell", [10, 64, 10**6])
+def test_position_with_many_copies(spark, cell):
+    rows = [("a", 5, "x")] * 700 + [("a", 5, "y")] * 30 + [("a", i, "z") for i in range(40)]
+    rows += [(None, 7, "x")] * 90 + [("b", i * 3, "w") for i in range(50)]
+    df = spark.createDataFrame(rows, "k STRING, s BIGINT, v STRING")
+    got = with_position(df, ["k"], "s", F.expr("s div 8"), rows_per_cell=cell).collect()
+    assert Counter((r.k, r.s, r.v) for r in got) == Counter(rows)
+    for k in ("a", "b", None):
+        mine = sorted((r.position, r.s) for r in got if r.k == k)
+        assert [p for p, _ in mine] == list(range(1, len(mine) + 1))
+        assert [s for _, s in mine] == sorted(s for _, s in mine)
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(k=st.integers(1, 9), block=st.integers(1, 40), segment=st.integers(1, 300), seed=st.integers(0, 99))
 def test_smoothing_across_blocks_is_exact(spark, k, block, segment, seed):

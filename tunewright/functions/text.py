@@ -58,11 +58,15 @@ def record_completion(answer: Column, correctness: Column) -> Column:
 
 
 def render_turns(turns: Column, bos: str = "", end: str = TURN_END) -> Column:
-    """Chat text of an array of (role, content), with one leading `bos` removed."""
+    """Chat text of an array of (role, content), with one leading `bos` removed.
+
+    Null where a turn lacks its role or content.
+    """
     rendered = F.transform(
         turns, lambda t: fill(TURN + end, role=t["role"], content=t["content"])
     )
-    return remove_prefix(F.array_join(rendered, ""), bos)
+    lacking = F.exists(turns, lambda t: t["role"].isNull() | t["content"].isNull())
+    return F.when(~lacking, remove_prefix(F.array_join(rendered, ""), bos))
 
 
 def remove_prefix(text: Column, prefix: str) -> Column:

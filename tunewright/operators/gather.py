@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tunewright.operators.hot import hot_groups
+
 ROWS_PER_PART = 4096
-MAX_HOT_CELLS = 1_000_000
 
 
 def gather(
@@ -30,7 +31,7 @@ def gather(
         F.col(order).alias("order"),
         *payload,
     )
-    hot = hot_cells(cells, rows_per_part)
+    hot = hot_groups(cells, "cell", rows_per_part)
     item = F.struct(*payload)
     whole = (
         cells.join(hot, "cell", "left_anti")
@@ -69,19 +70,3 @@ def gather(
         )
     )
     return whole.unionByName(sliced)
-
-
-def hot_cells(cells: DataFrame, rows_per_part: int) -> DataFrame:
-    """Cells with too many rows, and the number of slices to cut each into.
-
-    Too many means more than a part holds, and more than a millionth of all rows: at most a
-    million cells can be, which bounds the broadcast.
-    """
-    rows = cells.agg(F.count(F.lit(1))).scalar()
-    limit = F.greatest(F.lit(rows_per_part), F.ceil(rows / MAX_HOT_CELLS))
-    return F.broadcast(
-        cells.groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > limit)
-        .select("cell", F.ceil(F.col("n") / rows_per_part).alias("slices"))
-    )

@@ -1,0 +1,27 @@
+"""Finding the groups that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+MAX_HOT = 1_000_000
+
+
+def row_limit(df: DataFrame, rows_per_group: int) -> Column:
+    """The rows a group may have: `rows_per_group`, or a millionth of all rows if that is more.
+
+    At most a million groups can have more, which bounds a broadcast of them.
+    """
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    return F.greatest(F.lit(rows_per_group), F.ceil(rows / MAX_HOT))
+
+
+def hot_groups(df: DataFrame, group: str, rows_per_group: int) -> DataFrame:
+    """Groups over the limit, and the number of `slices` of allowed size that each needs."""
+    return F.broadcast(
+        df.groupBy(group)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > row_limit(df, rows_per_group))
+        .select(group, F.ceil(F.col("n") / rows_per_group).alias("slices"))
+    )

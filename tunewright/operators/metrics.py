@@ -91,7 +91,7 @@ def smooth(
     own = F.expr(f"(position - 1) div {size}")
     needed = F.when(index % size >= size - (k - 1), F.array(own, own + 1)).otherwise(F.array(own))
     spread = (
-        with_position(metrics, keys, order, segment)
+        with_position(metrics, keys, [order, value], segment)
         .withColumn("_own", own)
         .withColumn("_block", F.explode(needed))
     )

@@ -5,14 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tunewright.operators.hot import row_limit
 
-def with_position(df: DataFrame, keys: list[str], order, segment: Column) -> DataFrame:
+ROWS_PER_CELL = 1_000_000
+
+
+def with_position(
+    df: DataFrame, keys: list[str], order, segment: Column, rows_per_cell: int = ROWS_PER_CELL
+) -> DataFrame:
     """Add `position`, the row's 1-based number in its group by `order`.
 
     `segment` must never decrease along `order` (a day of a timestamp, a step divided by a constant).
     Rows are numbered inside (keys, segment) and shifted by the counts of the earlier segments, so a
     group with a third of all rows is spread over its segments instead of sorted by one task.
-    Counts are one row per (keys, segment).
+
+    With a segment that fits the data, only copies make a cell of more than `rows_per_cell` rows.
+    There copies are counted before the shuffle, the counts are summed up, and the copies are
+    written out again by many tasks. Without such cells adaptive execution drops that branch.
     """
     order = order if isinstance(order, list) else [order]
     # one struct as the key of every step: null keys stay, and the large side is shuffled once
@@ -23,11 +32,36 @@ def with_position(df: DataFrame, keys: list[str], order, segment: Column) -> Dat
         .orderBy("_cell._segment")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = counts.select("_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    cells = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    over = F.col("_n") > row_limit(df, rows_per_cell)
+    hot = F.broadcast(cells.where(over).select("_cell", "_before"))
+
     inside = Window.partitionBy("_cell").orderBy(*order)
-    return (
-        marked.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, "_cell")
-        .withColumn("position", F.col("_before") + F.col("_inside"))
-        .drop("_cell", "_inside", "_before")
+    single = (
+        marked.join(hot, "_cell", "left_anti")
+        .withColumn("_inside", F.row_number().over(inside))
+        .join(cells, "_cell")
+        .select(*df.columns, (F.col("_before") + F.col("_inside")).alias("position"))
+    )
+
+    before = F.sum("_copies").over(
+        Window.partitionBy("_cell")
+        .orderBy(*order, *df.columns)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    size = F.lit(rows_per_cell).cast("bigint")
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, size)
+    lots = (
+        marked.join(hot, "_cell")
+        .groupBy("_cell", "_before", *df.columns)
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_first", F.col("_before") + F.coalesce(before, F.lit(0)) + 1)
+        .withColumn("_lot", F.explode(starts))
+        .repartition("_first", "_lot")
+    )
+    last = F.least(F.col("_lot") + size, F.col("_copies")) - 1
+    copied = lots.select(
+        *df.columns,
+        F.explode(F.sequence(F.col("_first") + F.col("_lot"), F.col("_first") + last)).alias("position"),
     )
+    return single.unionByName(copied)
