@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunewright.llm import quality
+from tunewright.llm import language, quality
 from tunewright.llm.common import prepare, table
 
 QUERIES: dict = {}
@@ -22,5 +22,13 @@ def op2_quality(spark, folder):
     return quality.classify(documents, quality.train(documents, table(spark, folder, "labels")))
 
 
+@query
+def op9_language(spark, folder):
+    """Language of every document, learnt from texts that are not held out."""
+    prepare(spark)
+    documents = table(spark, folder, "documents")
+    return language.identify(documents, language.train(documents))
+
+
 def queries() -> dict:
     return dict(QUERIES)
