@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tunewright.llm import language, quality
+from tunewright.llm import jaccard, language, quality
 from tunewright.llm.common import prepare, table
 
 QUERIES: dict = {}
@@ -30,5 +30,12 @@ def op9_language(spark, folder):
     return language.identify(documents, language.train(documents))
 
 
+@query
+def op6_jaccard(spark, folder):
+    """Class of every document by links of 3-word sets with a Jaccard similarity of 0.9 or more."""
+    prepare(spark)
+    return jaccard.jaccard_classes(table(spark, folder, "documents"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
