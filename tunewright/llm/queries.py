@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tunewright.llm import jaccard, language, quality
+import public_tokenizers
+
+from tunewright.llm import jaccard, language, mixing, packing, quality
 from tunewright.llm.common import prepare, table
 
 QUERIES: dict = {}
@@ -37,5 +39,19 @@ def op6_jaccard(spark, folder):
     return jaccard.jaccard_classes(table(spark, folder, "documents"))
 
 
+@query
+def op8_mixing(spark, folder):
+    """Size, target of the source and words taken of every document."""
+    prepare(spark)
+    return mixing.mixed_sizes(table(spark, folder, "documents"))
+
+
+@query
+def op10_packing(spark, folder):
+    """Pieces of every document in packed windows."""
+    prepare(spark)
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
