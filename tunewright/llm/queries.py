@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
-from tunewright.llm import jaccard, language, mixing, packing, quality
+from pyspark.sql import functions as F
+
+from tunewright.llm import bpe_count, chat_events, embed_dedup, jaccard, language, mixing, packing, quality
 from tunewright.llm.common import prepare, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+#: What both turns of conversation -1 say.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
 def query(fn):
@@ -53,5 +58,49 @@ def op10_packing(spark, folder):
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_chat(spark, folder):
+    """Digests, read back from the formatted text, of every conversation and of one with control strings."""
+    prepare(spark)
+    control = spark.sql(
+        f"SELECT CAST(-1 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '{CONTROL}' AS text "
+        "FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)"
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(control)
+    events = rows.select(
+        F.col("conv_id").alias("conv"), F.monotonically_increasing_id().alias("msg"), F.col("turn").cast("long").alias("seq"),
+        F.lit(chat_events.MESSAGE).alias("kind"), "role", "text",
+    )
+    return chat_events.digests(chat_events.read_back(chat_events.format_chats(events))).withColumnRenamed("conv", "conv_id")
+
+
+SQL["op7_chat"] = f"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               replace(replace(coalesce(text, ''), '\\', '\\\\'), '<|', '<\\|') AS body
+        FROM (SELECT conv_id, turn, role, text FROM conversations
+              UNION ALL SELECT -1, 0, 'user', '{CONTROL}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL}') t)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum(length('<|im_start|>') + length(role) + 1 + length(body) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id"""
+
+
+@query
+def op5_tokens(spark, folder):
+    """Bytes and tokens of every document."""
+    prepare(spark)
+    return bpe_count.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op3_vectors(spark, folder):
+    """Links, class and survivor of every vector."""
+    prepare(spark)
+    return embed_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict:
-    return dict(QUERIES)
+    return {**QUERIES, "pipeline": corpus_pipeline.run}
