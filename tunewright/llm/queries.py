@@ -7,7 +7,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from tunewright.llm import bpe_count, chat_events, embed_dedup, jaccard, language, mixing, packing, quality
+from tunewright.llm import bpe_count, chat_events, embed_dedup, html_text, jaccard, language, mixing, neighbours, packing, quality
 from tunewright.llm.common import prepare, table
 
 QUERIES: dict = {}
@@ -102,5 +102,20 @@ def op3_vectors(spark, folder):
     return embed_dedup.near_duplicates(table(spark, folder, "embeddings"))
 
 
+@query
+def op4_neighbours(spark, folder):
+    """The ten nearest vectors found of every hundredth one."""
+    prepare(spark)
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query
+def op1_pages(spark, folder):
+    """Main text of every page."""
+    prepare(spark)
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def queries() -> dict:
     return {**QUERIES, "pipeline": corpus_pipeline.run}
