@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tunewright.functions.text import record_completion, record_prompt, sft_text
 
 
+#: The columns that mappings make, in order.
+TARGETS = ["text", "prompt", "chosen", "rejected"]
+
+
 def to_sft_text(
     df: DataFrame, prompt: str, response: str | None = None, context: str | None = None,
     keep: tuple[str, ...] = (),
@@ -52,12 +56,22 @@ def full_text(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return drop_source_columns(df, keep, text=F.concat("prompt", "completion"))
 
 
-def apply_mapping(df: DataFrame, spec: DataFrame, method: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def apply_mapping(
+    df: DataFrame, spec: DataFrame, method: str, keep: tuple[str, ...] = (), dataset: str | None = None
+) -> DataFrame:
     """Apply one dataset's mapping rows for `method`; without rows the data stays as it is.
 
-    The rows are metadata of one dataset: at most three for a method.
+    `spec` may hold the rows of many datasets; `dataset` names the one to apply and is needed then.
+    A target that has several expressions is an error. The rows of one dataset are a few.
     """
-    rows = spec.where(F.col("method") == method).select("target", "expression").take(3)
-    if not rows:
+    rows = spec.where(F.col("method") == method)
+    if dataset is not None:
+        rows = rows.where(F.col("dataset") == dataset)
+    found = rows.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.min("expression").alias("expression")).collect()
+    twice = sorted(row.target for row in found if row.n > 1)
+    if twice:
+        raise ValueError(f"several expressions for {', '.join(twice)}; name the dataset to apply")
+    if not found:
         return df
-    return df.select(*keep, *[F.expr(row.expression).alias(row.target) for row in rows])
+    made = sorted(found, key=lambda row: TARGETS.index(row.target) if row.target in TARGETS else len(TARGETS))
+    return df.select(*keep, *[F.expr(row.expression).alias(row.target) for row in made])

@@ -1,11 +1,12 @@
 """The given tables seen as the tables this package works on.
 
-Every function keeps all rows; the SQL texts say the same for the SQL checks.
+No function drops a turn, prompt or answer that its form of data has a place for; the SQL texts say
+the same for the SQL checks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -13,51 +14,88 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def first_turns(conversations: DataFrame) -> DataFrame:
-    """Each conversation's first user turn, first assistant turn and first system turn."""
+def _texts(conversations: DataFrame, role: str, turn: str, text: str) -> DataFrame:
+    """Texts of one role, to be met by conversation and turn."""
+    said = conversations.where(F.col("role") == role)
+    return said.select("conv_id", F.col("turn").alias(turn), F.col("text").alias(text))
 
-    def first(role):
-        return F.min_by("text", F.when(F.col("role") == role, F.col("turn")))
 
-    return conversations.groupBy("conv_id").agg(
-        first("user").alias("prompt"),
-        first("assistant").alias("response"),
-        first("system").alias("context"),
+def exchanges(conversations: DataFrame) -> DataFrame:
+    """Every assistant turn with the user turn before it and the conversation's first system turn.
+
+    Turn numbers are found first, over rows without texts; texts are then met by conversation and turn.
+    """
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    spoken = lambda role: F.when(F.col("role") == role, F.col("turn"))
+    turns = (
+        conversations.select("conv_id", "turn", "role")
+        .withColumn("asked", F.last(spoken("user"), ignorenulls=True).over(before))
+        .withColumn("framed", F.min(spoken("system")).over(Window.partitionBy("conv_id")))
+        .where(F.col("role") == "assistant")
+        .drop("role")
+    )
+    return (
+        turns.join(_texts(conversations, "assistant", "turn", "response"), ["conv_id", "turn"])
+        .join(_texts(conversations, "user", "asked", "prompt"), ["conv_id", "asked"], "left")
+        .join(_texts(conversations, "system", "framed", "context"), ["conv_id", "framed"], "left")
+        .select("conv_id", "turn", "prompt", "response", "context")
     )
 
 
-FIRST_TURNS_SQL = """
-    SELECT conv_id,
-           arg_min(text, turn) FILTER (WHERE role = 'user') AS prompt,
-           arg_min(text, turn) FILTER (WHERE role = 'assistant') AS response,
-           arg_min(text, turn) FILTER (WHERE role = 'system') AS context
-    FROM conversations GROUP BY conv_id"""
+EXCHANGES_SQL = """
+    SELECT conv_id, turn, prompt, response, context FROM (
+        SELECT conv_id, turn, role, text AS response,
+               last_value(CASE WHEN role = 'user' THEN text END IGNORE NULLS) OVER (
+                   PARTITION BY conv_id ORDER BY turn
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prompt,
+               first_value(CASE WHEN role = 'system' THEN text END IGNORE NULLS) OVER (
+                   PARTITION BY conv_id ORDER BY turn
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS context
+        FROM conversations) t
+    WHERE role = 'assistant'"""
+
+
+def prompts(conversations: DataFrame) -> DataFrame:
+    """Every user turn."""
+    return _texts(conversations, "user", "turn", "prompt")
+
+
+PROMPTS_SQL = "SELECT conv_id, turn, text AS prompt FROM conversations WHERE role = 'user'"
 
 
 def preferences(conversations: DataFrame) -> DataFrame:
-    """Prompt with the longest and the shortest assistant turn, where there are two turns."""
-    answer = F.col("role") == "assistant"
-    size = F.length("text")
+    """A conversation's first prompt, and its longest answer over each other one.
+
+    So a conversation of n answers gives n - 1 pairs; `turn` is that of the other answer. Of answers
+    of one length the earlier is better. The best is found over numbers only.
+    """
+    answers = conversations.where(F.col("role") == "assistant")
+    rank = F.shiftleft(F.coalesce(F.length("text"), F.lit(-1)).cast("bigint"), 32) - F.col("turn")
+    best = answers.groupBy("conv_id").agg(F.max(rank).alias("rank"))
+    best = best.select("conv_id", F.pmod(-F.col("rank"), F.lit(1 << 32)).alias("turn"))
+    asked = conversations.where(F.col("role") == "user").groupBy("conv_id").agg(F.min("turn").alias("asked"))
+    said = _texts(conversations, "assistant", "turn", "said")
+    winners = said.join(best, ["conv_id", "turn"]).select("conv_id", F.col("said").alias("winner"))
+    losers = said.join(best, ["conv_id", "turn"], "left_anti").withColumnRenamed("said", "loser")
     return (
-        conversations.groupBy("conv_id")
-        .agg(
-            F.min_by("text", F.when(F.col("role") == "user", F.col("turn"))).alias("question"),
-            F.max_by("text", F.when(answer, F.struct(size, -F.col("turn")))).alias("winner"),
-            F.min_by("text", F.when(answer, F.struct(size, -F.col("turn")))).alias("loser"),
-            F.count_if(answer).alias("answers"),
-        )
-        .where(F.col("answers") >= 2)
-        .drop("answers")
+        losers.join(winners, "conv_id")
+        .join(asked, "conv_id", "left")
+        .join(_texts(conversations, "user", "asked", "question"), ["conv_id", "asked"], "left")
+        .select("conv_id", "turn", "question", "winner", "loser")
     )
 
 
 PREFERENCES_SQL = """
-    SELECT conv_id,
-           arg_min(text, turn) FILTER (WHERE role = 'user') AS question,
-           arg_max(text, (length(text), -turn)) FILTER (WHERE role = 'assistant') AS winner,
-           arg_min(text, (length(text), -turn)) FILTER (WHERE role = 'assistant') AS loser
-    FROM conversations GROUP BY conv_id
-    HAVING count(*) FILTER (WHERE role = 'assistant') >= 2"""
+    SELECT o.conv_id, o.turn, u.text AS question, b.text AS winner, o.text AS loser
+    FROM (SELECT conv_id, turn, text,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, turn) AS r
+          FROM conversations WHERE role = 'assistant') o
+    JOIN (SELECT conv_id, text,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, turn) AS r
+          FROM conversations WHERE role = 'assistant') b ON b.conv_id = o.conv_id AND b.r = 1
+    LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations
+               WHERE role = 'user' GROUP BY conv_id) u ON u.conv_id = o.conv_id
+    WHERE o.r > 1"""
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
