@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,19 +216,37 @@ def test_generation_failures_are_rows(spark):
     def broken_load():
         raise RuntimeError("no weights")
 
-    def generate(model, prompt, max_new_tokens, temperature, do_sample):
-        if prompt == "boom":
+    def generate(model, prompts, max_new_tokens, temperature, do_sample):
+        if "boom" in prompts:
             raise ValueError("bad prompt")
-        return f"{model}/{prompt}/{max_new_tokens}/{temperature}/{do_sample}"
+        return [f"{model}/{prompt}/{max_new_tokens}/{temperature}/{do_sample}" for prompt in prompts]
 
     df = spark.createDataFrame([(1, "hi"), (2, "boom"), (3, "")], "id BIGINT, prompt STRING")
     requests = infer.prepare_requests(df)
-    got = {r.id: tuple(r)[1:] for r in infer.batch_generate(requests, load, generate, "t1").collect()}
+    got = {r.id: tuple(r)[1:] for r in infer.batch_generate(requests, load, generate).collect()}
     assert got == {
         1: ("model/hi/64/0.0/False", None, None),
         2: (None, "generation_failed", "bad prompt"),
         3: (None, "missing prompt", None),
     }
-    broken = infer.batch_generate(requests, broken_load, generate, "t2").orderBy("id").collect()
+    broken = infer.batch_generate(requests, broken_load, generate).orderBy("id").collect()
     assert [r.error for r in broken] == ["model not loaded", "model not loaded", "missing prompt"]
     assert broken[0].detail == "no weights"
+
+
+def test_a_failed_load_is_not_tried_again(spark, tmp_path):
+    def broken_load():
+        (tmp_path / uuid.uuid4().hex).touch()
+        raise RuntimeError("no weights")
+
+    requests = infer.prepare_requests(spark.range(100).coalesce(1).selectExpr("id", "'hi' AS prompt"))
+    rows = infer.batch_generate(requests, broken_load, lambda *a: []).collect()
+    assert {r.error for r in rows} == {"model not loaded"} and len(rows) == 100
+    assert len(list(tmp_path.iterdir())) == 1
+
+
+def test_two_tokenizers_in_one_session(spark):
+    df = spark.createDataFrame([("a bb",)], "text STRING").coalesce(1)
+    for n in (1, 2):
+        ids = infer.tokenize(F.col("text"), lambda n=n: lambda texts: [[n] for _ in texts])
+        assert df.select(ids.alias("ids")).first().ids == [n]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -12,17 +13,33 @@ from pyspark.sql import types as T
 from tunewright.constants import MAX_NEW_TOKENS, TEMPERATURE
 
 _loaded: dict = {}
+#: Loaded objects that a worker keeps.
+KEPT = 4
 
 
 def load_once(key: str, load: Callable):
-    """The object `load` makes, made once in a Python worker."""
+    """The object that `load` makes, made once in a Python worker; a failure is remembered as well."""
     if key not in _loaded:
-        _loaded[key] = load()
-    return _loaded[key]
+        while len(_loaded) >= KEPT:  # a worker outlives queries
+            del _loaded[next(iter(_loaded))]
+        try:
+            _loaded[key] = load(), None
+        except Exception as problem:
+            _loaded[key] = None, problem
+    made, problem = _loaded[key]
+    if problem is not None:
+        raise problem
+    return made
+
 
+def loader_key() -> str:
+    """A key of its own for every loader that an operator is given, as workers outlive queries."""
+    return uuid.uuid4().hex
 
-def tokenize(text: Column, load: Callable, name: str = "tokenizer") -> Column:
+
+def tokenize(text: Column, load: Callable) -> Column:
     """Token ids of a text column; `load()` returns a function from a list of texts to id lists."""
+    name = loader_key()
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -72,32 +89,41 @@ def prepare_requests(df: DataFrame) -> DataFrame:
 GENERATED = "id BIGINT, generated STRING, error STRING, detail STRING"
 
 
-def batch_generate(requests: DataFrame, load: Callable, generate: Callable, name: str = "model") -> DataFrame:
+def batch_generate(requests: DataFrame, load: Callable, generate: Callable, batch: int = 64) -> DataFrame:
     """Run prepared requests through a model; any failure becomes a row with an error.
 
-    `load()` makes the model, once per worker. `generate(model, prompt, max_new_tokens,
-    temperature, do_sample)` returns the text.
+    `load()` makes the model, once per worker. `generate(model, prompts, max_new_tokens, temperature,
+    do_sample)` returns a text for each prompt of a list; the list has prompts of the same settings,
+    at most `batch`. Where a list fails its prompts are tried one by one.
     """
+    name = loader_key()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [one(request) for request in batch.itertuples(index=False)]
-            yield pd.DataFrame(rows, columns=["id", "generated", "error", "detail"])
-
-    def one(request):
-        if request.error:
-            return request.id, None, request.error, None
+        for some in batches:
+            out = []
+            bad = some["error"].notna()
+            out += [(row.id, None, row.error, None) for row in some[bad].itertuples(index=False)]
+            good = some[~bad]
+            for settings, rows in good.groupby(["max_new_tokens", "temperature", "do_sample"], sort=False):
+                for at in range(0, len(rows), batch):
+                    part = rows.iloc[at : at + batch]
+                    out += answers(part["id"].tolist(), part["prompt"].tolist(), settings)
+            yield pd.DataFrame(out, columns=["id", "generated", "error", "detail"])
+
+    def answers(ids, prompts, settings):
         try:
             model = load_once(name, load)
         except Exception as problem:
-            return request.id, None, "model not loaded", str(problem)
+            return [(i, None, "model not loaded", str(problem)) for i in ids]
         try:
-            text = generate(
-                model, request.prompt, request.max_new_tokens, request.temperature, request.do_sample
-            )
+            texts = list(generate(model, prompts, *settings))
+            if len(texts) != len(prompts):
+                raise ValueError(f"{len(texts)} texts for {len(prompts)} prompts")
+            return [(i, text, None, None) for i, text in zip(ids, texts)]
         except Exception as problem:
-            return request.id, None, "generation_failed", str(problem)
-        return request.id, text, None, None
+            if len(ids) == 1:
+                return [(ids[0], None, "generation_failed", str(problem))]
+            return [row for i, prompt in zip(ids, prompts) for row in answers([i], [prompt], settings)]
 
     columns = ["id", "prompt", "max_new_tokens", "temperature", "do_sample", "error"]
     return requests.select(*columns).mapInPandas(run, GENERATED)

@@ -327,10 +327,11 @@ def load_echo():
     return "echo"
 
 
-def generate_echo(model, prompt, max_new_tokens, temperature, do_sample):
-    if len(prompt) < 200:
-        raise ValueError(f"too short: {len(prompt)}")
-    return f"{model} {max_new_tokens} {do_sample} {prompt}"
+def generate_echo(model, prompts, max_new_tokens, temperature, do_sample):
+    for prompt in prompts:
+        if len(prompt) < 200:
+            raise ValueError(f"too short: {len(prompt)}")
+    return [f"{model} {max_new_tokens} {do_sample} {prompt}" for prompt in prompts]
 
 
 @query(f"""
@@ -345,7 +346,7 @@ def generate_echo(model, prompt, max_new_tokens, temperature, do_sample):
 def batch_generate(spark, folder):
     """Requests through a stand-in model that refuses short prompts."""
     requests = infer.prepare_requests(_requests(spark, folder))
-    return infer.batch_generate(requests, load_echo, generate_echo, "echo")
+    return infer.batch_generate(requests, load_echo, generate_echo)
 
 
 @query("SELECT doc_id, upper(lang) || ': ' || source AS label FROM documents")
