@@ -205,3 +205,19 @@ def test_filters_and_columns_reach_the_scan(spark, folder, plan):
     text = plan(all_queries()["compare_runs"](spark, folder))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double>" in text
     assert text.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_exact_split_among_copies(spark, seed):
+    df = spark.range(1200).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
+    marked = split.mark_smallest(df, "k", "m", n=10, seed=seed)
+    assert marked.count() == 1200 and marked.where("m").count() == 10
+    test = split.train_test_split(df, "k", 0.5, seed=seed, exact=True).where("split = 'test'")
+    assert test.count() == 600
+
+
+@pytest.mark.parametrize("n", [50, 1001, 5000])
+def test_first_rows_of_a_hot_group(spark, n):
+    df = spark.range(20000).select(F.lit("a").alias("log"), F.col("id").alias("seq"), F.lit(0).alias("ts"))
+    got = monitor.tail_log(df, n)
+    assert got.count() == n and got.agg(F.min("seq"), F.max("from_end")).first() == (20000 - n, n)

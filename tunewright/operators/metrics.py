@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunewright.constants import CHECKPOINT_PATTERN, OVERFIT_RATIO
-from tunewright.operators.position import with_position
+from tunewright.operators.position import first_rows, with_position
 
 TRAIN_LOSS = "train_loss"
 EVAL_LOSS = "eval_loss"
@@ -110,20 +110,19 @@ def checkpoint_step(path: Column) -> Column:
 
 
 def latest_checkpoint(listing: DataFrame, by: str = "run") -> DataFrame:
-    """The path of the highest checkpoint of each run, null for a run without one."""
+    """The path of the highest checkpoint of each run, null for a run without one.
+
+    The highest step is found over numbers; its path is met afterwards. Of several paths the greatest counts.
+    """
     steps = listing.select(by, "path", checkpoint_step(F.col("path")).alias("step"))
-    known = F.when(F.col("step").isNotNull(), F.struct("step", "path"))
-    return steps.groupBy(by).agg(F.max(known).alias("last")).select(
-        by, F.col("last.path").alias("path"), F.col("last.step").alias("step")
-    )
+    last = steps.groupBy(by).agg(F.max("step").alias("step"))
+    known = steps.where(F.col("step").isNotNull()).alias("s")
+    same = F.col(f"l.{by}").eqNullSafe(F.col(f"s.{by}")) & (F.col("l.step") == F.col("s.step"))
+    met = last.alias("l").join(known, same, "left").groupBy(F.col(f"l.{by}").alias(by), F.col("l.step").alias("step"))
+    return met.agg(F.max("s.path").alias("path")).select(by, "path", "step")
 
 
 def retained_checkpoints(listing: DataFrame, k: int = 3, by: str = "run") -> DataFrame:
-    """The newest `k` checkpoints of each run. Tasks keep `k` rows per run before the shuffle."""
-    newest = Window.partitionBy(by).orderBy(F.col("step").desc(), F.col("path").desc())
-    return (
-        listing.withColumn("step", checkpoint_step(F.col("path")))
-        .where(F.col("step").isNotNull())
-        .withColumn("rank", F.row_number().over(newest))
-        .where(F.col("rank") <= k)
-    )
+    """The newest `k` checkpoints of each run, found piece by piece and then of the pieces' newest."""
+    steps = listing.withColumn("step", checkpoint_step(F.col("path"))).where(F.col("step").isNotNull())
+    return first_rows(steps, [by], [F.col("step").desc(), F.col("path").desc()], k, "rank", F.col("step"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tunewright.constants import LIVE_SECONDS, NO_CHECKPOINTS, NO_PROCESS, TAIL_LINES
 from tunewright.operators.metrics import checkpoint_step
+from tunewright.operators.position import first_rows
 from tunewright.schemas import GPU
 
 
@@ -120,14 +121,16 @@ def liveness(
 
 
 def tail_log(df: DataFrame, n: int = TAIL_LINES, by: str = "log") -> DataFrame:
-    """The last `n` lines of each log. Tasks keep `n` lines per log before the shuffle."""
-    newest = Window.partitionBy(by).orderBy(F.col("ts").desc(), F.col("seq").desc())
-    return df.withColumn("from_end", F.row_number().over(newest)).where(F.col("from_end") <= n)
+    """The last `n` lines of each log, found piece by piece and then of the pieces' last lines."""
+    newest = [F.col("ts").desc(), F.col("seq").desc()]
+    return first_rows(df, [by], newest, n, "from_end", F.col("seq"))
 
 
 def prefer_log(lines: DataFrame, run: str = "run", log: str = "log", priority: str = "priority") -> DataFrame:
     """Lines of each run's log of lowest priority number: the primary if it exists, else the fallback."""
-    chosen = lines.groupBy(run).agg(F.min_by(log, F.struct(priority, log)).alias(log))
+    # a row per log and run first, so that the texts of logs' names are compared for few rows
+    logs = lines.groupBy(run, log).agg(F.min(priority).alias("_priority"))
+    chosen = logs.groupBy(run).agg(F.min_by(log, F.struct("_priority", log)).alias(log))
     same = lines[run].eqNullSafe(chosen[run]) & lines[log].eqNullSafe(chosen[log])
     return lines.join(chosen, same, "left_semi")
 

@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from tunewright.operators.hot import row_limit
 
 ROWS_PER_CELL = 1_000_000
+#: Pieces that a group is cut into before its first rows are found.
+PIECES = 32
+
+
+def first_rows(df: DataFrame, by: list[str], order: list[Column], n: int, name: str, spread: Column) -> DataFrame:
+    """The first `n` rows of each group in `order`, numbered by `name`.
+
+    The first `n` of each of some pieces of a group are found first, by the hash of `spread`, so that
+    no task sorts a whole group, however large `n` is; then the first `n` of those.
+    """
+    piece = F.pmod(F.xxhash64(spread), F.lit(PIECES))
+    inside = Window.partitionBy(*by, "_piece").orderBy(*order)
+    whole = Window.partitionBy(*by).orderBy(*order)
+    some = df.withColumn("_piece", piece).withColumn(name, F.row_number().over(inside)).where(F.col(name) <= n)
+    return some.drop("_piece").withColumn(name, F.row_number().over(whole)).where(F.col(name) <= n)
 
 
 def with_position(

@@ -23,21 +23,22 @@ def train_test_split(
     if test_size <= 0:
         return df.withColumn("split", F.lit("train"))
     if exact:
-        in_test = in_smallest(df, key, fraction=test_size, seed=seed)
-    else:
-        in_test = draw32(seed, F.col(key)) < int(test_size * BUCKETS)
+        marked = mark_smallest(df, key, "_test", fraction=test_size, seed=seed)
+        return marked.withColumn("split", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))).drop("_test")
+    in_test = draw32(seed, F.col(key)) < int(test_size * BUCKETS)
     return df.withColumn("split", F.when(in_test, F.lit("test")).otherwise(F.lit("train")))
 
 
-def in_smallest(
-    df: DataFrame, key: str, n: int | None = None, fraction: float | None = None, seed: int = 42
-) -> Column:
-    """A condition that holds for `n` rows of `df` (or `ceil(fraction * rows)`): those of the
-    smallest hashed keys.
+def mark_smallest(
+    df: DataFrame, key: str, name: str, n: int | None = None, fraction: float | None = None, seed: int = 42
+) -> DataFrame:
+    """Add `name`, true for exactly `n` rows of `df` (or `ceil(fraction * rows)`): those of the
+    smallest hashed keys, and as many copies of the last key as are left. Null keys are never taken.
 
     A count per coarse hash bucket (at most 262,144 rows, whatever the table's size) finds the bucket
-    the cut falls in; only that bucket's keys are ranked. Copies of one key stay on one side, so
-    with copies the count may exceed `n` by them.
+    the cut falls in; only that bucket's keys are ranked, and the cut comes to the driver as one row.
+    Only where it falls among copies of a key are these numbered, task by task from the tasks' counts;
+    `df` must then be read the same way twice, as a table is.
     """
     bucket = F.expr(f"h div {BUCKETS // COARSE_BUCKETS}")
     hashed = df.select(draw32(seed, F.col(key)).alias("h"), F.col(key).alias("k"))
@@ -63,11 +64,24 @@ def in_smallest(
     last = (
         inside.withColumn("before", before)
         .where(F.col("before") < cut["left"])
-        .agg(F.max(F.struct("h", "k")).alias("last"))
-        .scalar()
+        .agg(F.max(F.struct("h", "k", (cut["left"] - F.col("before")).alias("left"), "c")).alias("last"))
+        .first()
+        .last
     )
+    if last is None:
+        return df.withColumn(name, F.lit(False))
     own = F.struct(draw32(seed, F.col(key)).alias("h"), F.col(key).alias("k"))
-    return F.coalesce(own <= last, F.lit(False))
+    end = F.struct(F.lit(last.h).alias("h"), F.lit(last.k).cast(df.schema[key].dataType).alias("k"))
+    if last.left >= last.c:
+        return df.withColumn(name, F.coalesce(own <= end, F.lit(False)))
+    tied = F.coalesce(own == end, F.lit(False))
+    placed = df.where(tied).withColumn("_task", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    counts = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))  # a row a task
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    number = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    copies = placed.join(starts, "_task").select(*df.columns, (number < last.left).alias(name))
+    return df.where(~tied).withColumn(name, F.coalesce(own < end, F.lit(False))).unionByName(copies)
 
 
 def head(df: DataFrame, order, n: int, segment: Column | None = None) -> DataFrame:

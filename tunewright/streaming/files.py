@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunewright.operators.split import in_smallest
+from tunewright.operators.split import mark_smallest
 
 
 def read_stream(
@@ -64,7 +64,7 @@ def stream_dataset(
         if left <= 0:
             return
         if batch.count() > left:
-            batch = batch.where(in_smallest(batch, key, n=left, seed=seed))
+            batch = mark_smallest(batch, key, "_taken", n=left, seed=seed).where("_taken").drop("_taken")
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
