@@ -39,6 +39,16 @@ def test_validate_an_array_file(do, tmp_path):
     assert row.missing == "correctness, evaluation_criteria, example_answer, question"
 
 
+def test_preprocess_counts_and_keeps_rejects(spark, do, tmp_path):
+    path = tmp_path / "in.json"
+    good = {"category": "CSS", "question": "q", "example_answer": "a", "correctness": "c"}
+    path.write_text("\n".join([json.dumps(good), json.dumps({"category": "CSS"}), '{"category": "CS']))
+    counts = do("preprocess", path, tmp_path / "out", "--rejects", tmp_path / "rejects").first()
+    assert counts.train + counts.test == 1 and counts.rejected == 2
+    kept = {r.raw: r.malformed for r in spark.read.json(str(tmp_path / "rejects")).collect()}
+    assert kept == {'{"category":"CSS"}': False, '{"category": "CS': True}
+
+
 def test_incomplete_records_are_rejected_and_the_rest_goes_on(spark):
     df = spark.createDataFrame(
         [(1, "CSS", "q", "a", None), (2, None, "q", "a", "c")],
@@ -68,6 +78,10 @@ def test_corpus_grows_in_whole_batches(spark, do, tmp_path, rows, batches, train
     )
     splits.save_version(first, base, "1")
     assert tuple(do("grow", base, "2").first()) == (train, 7)
+    with pytest.raises(ValueError, match="complete already"):
+        do("grow", base, "2")
+    assert splits.read_version(spark, base).count() == train + 7
+    assert splits.read_version(spark, base).where("split = 'train'").agg(F.max("batch")).first()[0] == (batches or 0)
     new = splits.read_version(spark, base).where("prompt LIKE '### Problem%'")
     assert new.count() == 100 * batches
     if batches:

@@ -100,16 +100,27 @@ def check(spark, args):
 
 
 def preprocess(spark, args):
-    complete, rejects = flows.with_rejects(
-        records.read_records(spark, args.path, array=args.array)
-    )
-    pairs = mapping.to_prompt_completion(complete)
+    """Complete records to a split dataset; malformed and incomplete ones are counted, and kept as raw text if asked."""
+    read = records.read_with_rejects(spark, args.path, array=args.array)
+    checked = validate.missing_fields(read, flows.NEEDED)
+    complete = F.col("corrupt").isNull() & (F.size("missing") == 0)
+    pairs = mapping.to_prompt_completion(checked.where(complete))
     splits.write_split(
         split.train_test_split(pairs, "prompt", args.test_size, args.seed), args.out
     )
+    whole = [c for c in read.columns if c != "corrupt"]
+    rejects = checked.where(~complete).select(
+        F.coalesce("corrupt", F.to_json(F.struct(*whole))).alias("raw"),
+        F.col("corrupt").isNotNull().alias("malformed"),
+        "missing",
+    )
     if args.rejects:
         records.write_records(rejects, args.rejects)
-    return split.split_counts(splits.read_split(spark, args.out))
+    counts = split.split_counts(splits.read_split(spark, args.out)).first()
+    return spark.range(1).select(
+        F.lit(counts.train).alias("train"), F.lit(counts.test).alias("test"),
+        F.lit(rejects.count()).alias("rejected"),
+    )
 
 
 def generate(spark, args):

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunewright.constants import BATCH_SIZE, BATCH_TARGET, MAX_LENGTH
-from tunewright.functions.tokens import token_lengths
 from tunewright.operators import chat, mapping, split, synth, tokens, validate
 from tunewright.plans import sizing
 from tunewright.sources import splits
@@ -26,7 +25,7 @@ def with_rejects(records: DataFrame, required: list[str] | None = None) -> tuple
 def records_to_tensors(
     records: DataFrame,
     key: str,
-    encode: Callable[[Column], Column] = token_lengths,
+    encode: Callable[[Column], Column] | None = None,
     max_length: int = MAX_LENGTH,
     test_size: float = 0.1,
     seed: int = 42,
@@ -59,11 +58,19 @@ def grow_corpus(
 ) -> int:
     """Write a new version of a stored corpus whose train split reaches `target`; returns the batches.
 
-    All batches are one range, so the corpus is read and written once however many there are.
+    All batches are one range, so the corpus is read and written once however many there are. Each
+    row carries the number of its `batch`, 0 for the first corpus; new ones go on from the last.
+    A version that is complete already is an error.
     """
+    if splits.is_complete(spark, base, version):
+        raise ValueError(f"version {version} of {base} is complete already")
     old = splits.read_version(spark, base)
+    if "batch" not in old.columns:
+        old = old.withColumn("batch", F.lit(0).cast("bigint"))
+    last = old.agg(F.coalesce(F.max("batch"), F.lit(0))).first()[0]
     plan = synth.plan_batches(split.split_counts(old), target=target, batch=batch).first()
     numbers = spark.range(plan["batches"] * batch)
-    new = synth.template_batch(numbers, start=plan["train"], batch=batch).drop("id")
+    new = synth.template_batch(numbers, start=plan["train"], batch=batch)
+    new = new.withColumn("batch", F.expr(f"id div {batch}") + last + 1).drop("id")
     splits.save_version(synth.merge_batch(old, new, seed=seed), base, version)
     return plan["batches"]

@@ -140,9 +140,9 @@ def merge_batch(spark, folder):
 
 
 @query(f"""
-    SELECT prompt, completion, {sql_split('doc_id')} AS split FROM ({PAIRS_SQL}) p
+    SELECT prompt, completion, {sql_split('doc_id')} AS split, 0::BIGINT AS batch FROM ({PAIRS_SQL}) p
     UNION ALL
-    SELECT prompt, completion, 'train' FROM ({_template_sql(_new_rows, _train)}) g""")
+    SELECT prompt, completion, 'train', k // 100 + 1 FROM ({_template_sql(_new_rows, _train)}) g""")
 def grow_corpus(spark, folder):
     """A stored corpus grown to twice its size as a new version."""
     base = fresh_dir(spark, "corpus")

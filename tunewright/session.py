@@ -38,12 +38,21 @@ def build_session(app: str = "tunewright", master: str | None = None, **conf) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir`, or a local one where unset."""
+    """The folder every executor can reach: `spark.checkpoint.dir`, or the warehouse where unset.
+
+    A session on one machine falls back to a temporary folder; a cluster without either is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
+    if folder:
+        return folder
+    if spark.sparkContext.master.split("[")[0] == "local":
         folder = tempfile.mkdtemp(prefix="tunewright-")
         spark.sparkContext.setCheckpointDir(folder)
-    return folder
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", "")
+    if not warehouse or warehouse.startswith("file:"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/tunewright"
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,28 +41,50 @@ def load_dataset(spark: SparkSession, name: str, split: str | None = None) -> Da
     return df if split is None else df.where(F.col("split") == split)
 
 
+def versions(spark: SparkSession, base: str) -> DataFrame | None:
+    """The record of complete versions (version, saved_at); none where nothing was saved yet."""
+    try:
+        return spark.read.schema("version STRING, saved_at TIMESTAMP").parquet(f"{base}/complete")
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def is_complete(spark: SparkSession, base: str, version: str) -> bool:
+    known = versions(spark, base)
+    return known is not None and not known.where(F.col("version") == version).isEmpty()
+
+
 def save_version(df: DataFrame, base: str, version: str) -> None:
     """Write a new version beside the older ones, then record it as complete.
 
-    Readers take versions from the record, so a failed write is never read and the version
-    being read is never overwritten.
+    A version that is recorded is never written again: that is an error, raised before anything is
+    deleted. Readers take versions from the record, so a failed write is never read; what it left
+    is replaced when the version is saved again.
     """
+    spark = df.sparkSession
+    if is_complete(spark, base, version):
+        raise ValueError(f"version {version} of {base} is complete already")
     path = f"{base}/data/version={version}"
     if "split" in df.columns:
         write_split(df, path, mode="overwrite")
     else:
         df.write.mode("overwrite").parquet(path)
     (
-        df.sparkSession.range(1)
-        .select(F.lit(version).alias("version"))
+        spark.range(1)
+        .select(F.lit(version).alias("version"), F.current_timestamp().alias("saved_at"))
         .write.mode("append")
         .parquet(f"{base}/complete")
     )
 
 
 def latest_version(spark: SparkSession, base: str) -> str:
-    """The newest complete version; the record holds one row per version."""
-    return spark.read.parquet(f"{base}/complete").agg(F.max("version")).first()[0]
+    """The version recorded last; the record holds one row per version."""
+    known = versions(spark, base)
+    if known is None:
+        raise ValueError(f"no version of {base} is complete")
+    return known.agg(F.max_by("version", F.struct("saved_at", "version"))).first()[0]
 
 
 def read_version(spark: SparkSession, base: str, version: str | None = None) -> DataFrame:
