@@ -149,10 +149,11 @@ def test_labels_have_the_full_length_with_a_loaded_tokenizer(spark):
     )
     native = tokens.tokenize_examples(df).collect()
     loaded = tokens.tokenize_examples(
-        df, lambda text: infer.tokenize(text, load_word_lengths, "test words")
+        df, lambda text: infer.tokenize(text, load_word_lengths)
     ).collect()
     assert native == loaded
-    assert all(len(r.labels) == len(r.input_ids) == 256 for r in native)
+    assert all(len(r.labels) == len(r.input_ids) == len(r.attention_mask) == 256 for r in native)
+    assert native[0].attention_mask == [1] * 4 + [0] * 252
     assert native[0].input_ids[:5] == [1, 2, 3, 4, 0]
     assert native[0].labels[:5] == [-100, -100, 3, 4, 0]
     assert set(native[2].labels) == {-100}
@@ -160,7 +161,7 @@ def test_labels_have_the_full_length_with_a_loaded_tokenizer(spark):
 
 def test_tokenizer_keeps_nulls(spark):
     df = spark.createDataFrame([("a b",), (None,)], "text STRING")
-    got = df.select(infer.tokenize(F.col("text"), load_word_lengths, "w").alias("ids")).collect()
+    got = df.select(infer.tokenize(F.col("text"), load_word_lengths).alias("ids")).collect()
     assert [r.ids for r in got] == [[1, 1], None]
 
 
@@ -170,8 +171,8 @@ def test_only_responses_are_targets(spark):
         "conv_id INT, turn INT, role STRING, text STRING",
     )
     row = tokens.mask_to_responses(turns).first()
-    assert row.input_ids == [2, 4, 1, 2, 3]
-    assert row.labels == [-100, -100, -100, -100, 3]
+    assert row.input_ids == [18, 2, 14, 16, 1, 12, 21, 13, 16, 10]
+    assert row.labels == [-100] * 7 + [13] + [-100] * 2
 
 
 # ---- conversations ----

@@ -18,6 +18,12 @@ def token_lengths(text: Column) -> Column:
     return F.transform(whitespace_tokens(text), lambda token: F.length(token))
 
 
+def first_token_lengths(text: Column, n: int) -> Column:
+    """As `token_lengths`, of the first `n` tokens: the rest of a long text is not split."""
+    start = F.regexp_extract(text, rf"^(?:\s*\S++){{0,{n}}}+", 0)
+    return token_lengths(F.when(text.isNotNull(), start))
+
+
 def pad_truncate(ids: Column, max_length: int = MAX_LENGTH, pad=None, eos=0) -> Column:
     """Cut or pad an id array to `max_length`; without a pad id the end-of-text id pads."""
     fill = F.lit(eos if pad is None else pad).cast("int")

@@ -33,10 +33,12 @@ def turns_to_conversation(
 
 
 def normalize_conversation_column(df: DataFrame) -> DataFrame:
-    """Rename the first list-valued conversation column to `conversations`."""
+    """Rename the first list-valued conversation column to `conversations`, in place of one so named."""
     for name in CONVERSATION_COLUMNS:
         if name in df.columns and isinstance(df.schema[name].dataType, T.ArrayType):
-            return df if name == "conversations" else df.withColumnRenamed(name, "conversations")
+            if name == "conversations":
+                return df
+            return df.drop("conversations").withColumnRenamed(name, "conversations")
     return df
 
 

@@ -7,25 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunewright.constants import IGNORE_LABEL, MAX_LENGTH
-from tunewright.functions.tokens import mask_prompt, pad_truncate, token_lengths
+from tunewright.constants import IGNORE_LABEL, MAX_LENGTH, TURN, TURN_END
+from tunewright.functions.text import fill
+from tunewright.functions.tokens import first_token_lengths, mask_prompt, pad_truncate, token_lengths
 from tunewright.operators.gather import ROWS_PER_PART, gather
 
 
 def tokenize_examples(
     df: DataFrame,
-    encode: Callable[[Column], Column] = token_lengths,
+    encode: Callable[[Column], Column] | None = None,
     max_length: int = MAX_LENGTH,
     pad=None,
     eos: int = 0,
     mask_pad: bool = False,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """`input_ids` and `labels` of prompt/completion rows, both `max_length` long.
+    """`input_ids`, `labels` and `attention_mask` of prompt/completion rows, all `max_length` long.
 
-    `encode` maps a text column to an id array: the built-in whitespace form, or
-    `infer.tokenize` around a model's tokenizer.
+    `encode` maps a text column to an id array: the built-in whitespace form (which reads no further
+    than `max_length` tokens), or `infer.tokenize` around a model's tokenizer. The attention mask is
+    1 on tokens and 0 on padding, whatever id pads.
     """
+    encode = encode or (lambda text: first_token_lengths(text, max_length))
     counted = df.select(
         *keep,
         encode(F.concat("prompt", "completion")).alias("_ids"),
@@ -38,7 +41,8 @@ def tokenize_examples(
         F.size("_ids").alias("_n"),
     )
     labels = mask_prompt(F.col("input_ids"), F.col("_prompt_len"), F.col("_n"), mask_pad)
-    return padded.select(*keep, "input_ids", labels.alias("labels"))
+    attention = F.transform("input_ids", lambda _, i: (i < F.col("_n")).cast("int"))
+    return padded.select(*keep, "input_ids", labels.alias("labels"), attention.alias("attention_mask"))
 
 
 def mask_to_responses(
@@ -49,20 +53,29 @@ def mask_to_responses(
     role: str = "role",
     content: str = "text",
     turns_per_part: int = ROWS_PER_PART,
+    end: str = TURN_END,
 ) -> DataFrame:
-    """`input_ids` of each conversation, and `labels` that keep only the assistant's tokens.
+    """`input_ids` of each rendered conversation, and `labels` that keep only the assistant's tokens.
 
-    Turns are encoded as rows, so any tokenizer fits; then they are gathered in turn order, in
-    parts and slices as in `turns_to_conversation`.
+    What is encoded is the text that `chat.render_chat` gives, turn by turn: markers are tokens too,
+    and the mark that ends an assistant's turn is a target, so that a model learns to stop. The
+    encoder must not join tokens over a line feed. Turns are encoded as rows, so any tokenizer fits;
+    then they are gathered in turn order, in parts and slices as in `turns_to_conversation`.
     """
+    head = fill(TURN, role=F.col(role), content=F.lit(""))
     encoded = turns.select(
-        key, turn, encode(F.col(content)).alias("ids"), (F.col(role) == "assistant").alias("target")
+        key,
+        turn,
+        encode(fill(TURN + end, role=F.col(role), content=F.col(content))).alias("ids"),
+        F.when(F.col(role) == "assistant", F.size(encode(head))).alias("target_from"),
     )
 
     def label(t):
-        return F.transform(t["ids"], lambda x: F.when(t["target"], x).otherwise(F.lit(IGNORE_LABEL)))
+        return F.transform(
+            t["ids"], lambda x, i: F.when(i >= t["target_from"], x).otherwise(F.lit(IGNORE_LABEL))
+        )
 
-    return gather(encoded, key, turn, ["ids", "target"], turns_per_part).select(
+    return gather(encoded, key, turn, ["ids", "target_from"], turns_per_part).select(
         key,
         "part",
         "slice",

@@ -11,13 +11,15 @@ from tunewright.operators import split as splits
 from tunewright.operators import inspect as inspection
 from tunewright.plans import flows
 from tunewright.queries.adapt import (
-    FIRST_TURNS_SQL,
+    EXCHANGES_SQL,
     PAIRS_SQL,
     PREFERENCES_SQL,
+    PROMPTS_SQL,
     RECORDS_SQL,
     SHAPES_SQL,
-    first_turns,
+    exchanges,
     preferences,
+    prompts,
     records,
     shaped_records,
     table,
@@ -82,51 +84,51 @@ def full_text(spark, folder):
 
 
 @query(f"""
-    SELECT conv_id, 'Instruction: ' || prompt || chr(10) || chr(10)
+    SELECT conv_id, turn, 'Instruction: ' || prompt || chr(10) || chr(10)
            || CASE WHEN coalesce(context, '') != ''
                    THEN 'Context: ' || context || chr(10) || chr(10) ELSE '' END
            || 'Response: ' || response AS text
-    FROM ({FIRST_TURNS_SQL}) f""")
+    FROM ({EXCHANGES_SQL}) f""")
 def sft_text_context(spark, folder):
-    turns = first_turns(table(spark, folder, "conversations"))
-    return mapping.to_sft_text(turns, "prompt", "response", "context", keep=("conv_id",))
+    turns = exchanges(table(spark, folder, "conversations"))
+    return mapping.to_sft_text(turns, "prompt", "response", "context", keep=("conv_id", "turn"))
 
 
 @query(f"""
-    SELECT conv_id, prompt || chr(10) || chr(10) || response AS text FROM ({FIRST_TURNS_SQL}) f""")
+    SELECT conv_id, turn, prompt || chr(10) || chr(10) || response AS text FROM ({EXCHANGES_SQL}) f""")
 def sft_text_pair(spark, folder):
-    turns = first_turns(table(spark, folder, "conversations"))
-    return mapping.to_sft_text(turns, "prompt", "response", keep=("conv_id",))
+    turns = exchanges(table(spark, folder, "conversations"))
+    return mapping.to_sft_text(turns, "prompt", "response", keep=("conv_id", "turn"))
 
 
-@query(f"SELECT conv_id, prompt AS text FROM ({FIRST_TURNS_SQL}) f")
+@query(f"SELECT conv_id, turn, prompt AS text FROM ({PROMPTS_SQL}) f")
 def sft_text_prompt(spark, folder):
-    turns = first_turns(table(spark, folder, "conversations"))
-    return mapping.to_sft_text(turns, "prompt", keep=("conv_id",))
+    turns = prompts(table(spark, folder, "conversations"))
+    return mapping.to_sft_text(turns, "prompt", keep=("conv_id", "turn"))
 
 
 @query(f"""
-    SELECT conv_id, question AS prompt, winner AS chosen, loser AS rejected
+    SELECT conv_id, turn, question AS prompt, winner AS chosen, loser AS rejected
     FROM ({PREFERENCES_SQL}) p""")
 def dpo_map(spark, folder):
     pairs = preferences(table(spark, folder, "conversations"))
-    return mapping.to_dpo(pairs, "question", "winner", "loser", keep=("conv_id",))
+    return mapping.to_dpo(pairs, "question", "winner", "loser", keep=("conv_id", "turn"))
 
 
-@query(f"SELECT conv_id, question AS prompt FROM ({PREFERENCES_SQL}) p")
+@query(PROMPTS_SQL)
 def grpo_map(spark, folder):
-    pairs = preferences(table(spark, folder, "conversations"))
-    return mapping.to_grpo(pairs, "question", keep=("conv_id",))
+    return mapping.to_grpo(prompts(table(spark, folder, "conversations")), "prompt", keep=("conv_id", "turn"))
 
 
 @query(f"""
-    SELECT conv_id, question AS prompt, winner AS chosen, loser AS rejected
+    SELECT conv_id, turn, question AS prompt, winner AS chosen, loser AS rejected
     FROM ({PREFERENCES_SQL}) p""")
 def mapping_applied(spark, folder):
     """The mapping found from the columns, applied to the data."""
     pairs = preferences(table(spark, folder, "conversations"))
     checks = inspection.check_formats(inspection.schema_table(spark, {"pairs": pairs}))
-    return mapping.apply_mapping(pairs, inspection.mapping_spec(checks), "DPO", keep=("conv_id",))
+    spec = inspection.mapping_spec(checks)
+    return mapping.apply_mapping(pairs, spec, "DPO", keep=("conv_id", "turn"), dataset="pairs")
 
 
 # ---- tokens ----
@@ -139,43 +141,43 @@ IDS_SQL = "list_transform(regexp_extract_all({0}, '\\S+'), lambda t: length(t))"
         SELECT doc_id, {IDS_SQL.format('prompt || completion')} AS ids,
                len({IDS_SQL.format('prompt')}) AS n
         FROM ({PAIRS_SQL}) p),
-    u AS (SELECT doc_id, n, list_resize(ids[1:256], 256, 0) AS ids FROM t)
+    u AS (SELECT doc_id, n, len(ids) AS m, list_resize(ids[1:256], 256, 0) AS ids FROM t)
     SELECT doc_id, array_to_string(ids, ' ') AS input_ids,
            array_to_string(list_transform(ids, lambda x, i: CASE WHEN i <= n THEN -100 ELSE x END), ' ')
-               AS labels
+               AS labels,
+           array_to_string(list_transform(ids, lambda x, i: CASE WHEN i <= m THEN 1 ELSE 0 END), ' ')
+               AS attention_mask
     FROM u""")
 def pad_mask(spark, folder):
-    """Records to fixed-length ids and labels."""
+    """Records to fixed-length ids, labels and attention masks."""
     examples = tokens.tokenize_examples(prompt_completion(spark, folder), keep=("doc_id",))
-    return _joined(examples, "doc_id")
+    return _joined(examples, ("input_ids", "labels", "attention_mask"), "doc_id")
 
 
-def _joined(examples, *keys):
+def _joined(examples, arrays, *keys):
     return examples.select(
-        *keys,
-        *[
-            F.array_join(F.col(c).cast("array<string>"), " ").alias(c)
-            for c in ("input_ids", "labels")
-        ],
+        *keys, *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in arrays]
     )
 
 
+TURN_SQL = "'<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)"
+
+
 @query(f"""
     WITH t AS (
-        SELECT conv_id, turn, turn // 4096 AS part, role, {IDS_SQL.format('text')} AS ids
+        SELECT conv_id, turn, turn // 4096 AS part, role, {IDS_SQL.format(TURN_SQL)} AS ids,
+               len({IDS_SQL.format("'<|im_start|>' || role || chr(10)")}) AS head
         FROM conversations)
     SELECT conv_id, part, 0::BIGINT AS slice,
-           coalesce(string_agg(array_to_string(ids, ' '), ' ' ORDER BY turn)
-                    FILTER (WHERE len(ids) > 0), '') AS input_ids,
-           coalesce(string_agg(array_to_string(CASE WHEN role = 'assistant' THEN ids
-                        ELSE list_transform(ids, lambda x: -100) END, ' '), ' ' ORDER BY turn)
-                    FILTER (WHERE len(ids) > 0), '') AS labels
+           string_agg(array_to_string(ids, ' '), ' ' ORDER BY turn) AS input_ids,
+           string_agg(array_to_string(list_transform(ids, lambda x, i: CASE
+                          WHEN role = 'assistant' AND i > head THEN x ELSE -100 END), ' '), ' '
+                      ORDER BY turn) AS labels
     FROM t GROUP BY conv_id, part""")
 def response_mask(spark, folder):
-    """Conversations to ids, with only the assistant's tokens as labels."""
-    return _joined(
-        tokens.mask_to_responses(table(spark, folder, "conversations")), "conv_id", "part", "slice"
-    )
+    """Rendered conversations to ids, with the assistant's tokens and end marks as labels."""
+    masked = tokens.mask_to_responses(table(spark, folder, "conversations"))
+    return _joined(masked, ("input_ids", "labels"), "conv_id", "part", "slice")
 
 
 def load_word_lengths():
@@ -193,7 +195,7 @@ def load_word_lengths():
     FROM (SELECT doc_id, {IDS_SQL.format('text')} AS ids FROM documents) t""")
 def tokenize_batches(spark, folder):
     """Whole texts through a tokenizer that is loaded once per worker."""
-    ids = infer.tokenize(F.col("text"), load_word_lengths, "word lengths")
+    ids = infer.tokenize(F.col("text"), load_word_lengths)
     encoded = table(spark, folder, "documents").select("doc_id", ids.alias("ids"))
     return encoded.select(
         "doc_id",
@@ -487,15 +489,17 @@ def _damaged_records(spark, folder):
         SELECT doc_id, {IDS_SQL.format('prompt || completion')} AS ids,
                len({IDS_SQL.format('prompt')}) AS n
         FROM ({PAIRS_SQL}) p WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE source = 'src0')),
-    u AS (SELECT doc_id, n, list_resize(ids[1:256], 256, 0) AS ids FROM t)
+    u AS (SELECT doc_id, n, len(ids) AS m, list_resize(ids[1:256], 256, 0) AS ids FROM t)
     SELECT doc_id, {sql_split('doc_id')} AS split, array_to_string(ids, ' ') AS input_ids,
            array_to_string(list_transform(ids, lambda x, i: CASE WHEN i <= n THEN -100 ELSE x END), ' ')
-               AS labels
+               AS labels,
+           array_to_string(list_transform(ids, lambda x, i: CASE WHEN i <= m THEN 1 ELSE 0 END), ' ')
+               AS attention_mask
     FROM u""")
 def records_to_tensors(spark, folder):
     """Complete records to ids and labels with their split."""
     made = flows.records_to_tensors(_damaged_records(spark, folder), "doc_id")
-    return _joined(made, "doc_id", "split")
+    return _joined(made, ("input_ids", "labels"), "doc_id", "split")
 
 
 @query("SELECT doc_id, 'category' AS missing FROM documents WHERE source = 'src0'")

@@ -16,7 +16,7 @@ MULTIMODAL = (
     "images ARRAY<STRING>, "
     "messages ARRAY<STRUCT<role: STRING, content: ARRAY<STRUCT<type: STRING, text: STRING>>>>"
 )
-TOKENISED = "input_ids ARRAY<INT>, labels ARRAY<INT>"
+TOKENISED = "input_ids ARRAY<INT>, labels ARRAY<INT>, attention_mask ARRAY<INT>"
 CATALOG = "config STRING, split STRING, num_examples BIGINT"
 JOB = "model STRING, dataset STRING, flavor STRING, dataset_size BIGINT, epochs INT"
 METRIC = (
