@@ -499,7 +499,7 @@ def _damaged_records(spark, folder):
 def records_to_tensors(spark, folder):
     """Complete records to ids and labels with their split."""
     made = flows.records_to_tensors(_damaged_records(spark, folder), "doc_id")
-    return _joined(made, ("input_ids", "labels"), "doc_id", "split")
+    return _joined(made, ("input_ids", "labels", "attention_mask"), "doc_id", "split")
 
 
 @query("SELECT doc_id, 'category' AS missing FROM documents WHERE source = 'src0'")
