@@ -8,35 +8,54 @@ The work goes in passes over narrow rows; texts are never shuffled:
    all that prefix filtering needs. A set of size x that overlaps another one enough shares one of
    its first x - ceil(t x) + 1 n-grams with the first ones of the other.
 3. Per prefix n-gram, every member is paired with one leader only, filtered by length, position and
-   suffix, and verified once per pair. Members of one class need no further pair.
-4. Pairs of the same prefix n-gram that are still in different classes are then tried in full, unless
-   the distances to their leader already rule them out (Jaccard distance is a metric).
+   suffix, and verified once per pair. Members far from their leader go on to another one, a few times.
+4. Members near one leader that are still in different classes meet by the n-grams in which they
+   differ from it, again rare first; what no leader was near to meets by its prefix n-grams in full.
 
-A group of thousands of near copies costs one pair a member in step 3 and nothing in step 4.
+A group of thousands of near copies costs one pair a member in step 3, and in step 4 only pairs that
+share an edit.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunewright.llm.common import Memo, prepare, staged
+from tunewright.llm.common import prepare, staged
 from tunewright.llm.components import components
 
+#: Pairs of one leader that are verified together.
+LOT = 256
+#: A table of more (leader, document) rows than that is not broadcast; a row is 24 bytes.
+BROADCAST_ROWS = 1_000_000
+#: Rounds of leaders.
+ROUNDS = 2
+#: A member is near its leader up to so many percent of similarity below the threshold, and the
+#: distances of two that link differ by one minus the threshold at most.
+NEAR = 8
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
-BINS = 16
 
 
-def _word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+#: Bytes hashed at once.
+SEGMENT = 1 << 21
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BYTE = np.random.default_rng(3).integers(0, 1 << 64, 256, np.uint64)
+_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
 
 
-WORDS = Memo(_word_hash)
+@lru_cache(1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64."""
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(SEGMENT, x)])) for x in (_BASE, inverse))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -47,22 +66,81 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, n: int = 3) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams of a whole text.
+def _segment_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    space = np.ones(len(data) + 2, bool)
+    space[1:-1] = _SPACE[data]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[0::2], edges[1::2]
+    power, inverse = _powers()
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
+    return starts, (sums[ends] - sums[starts]) * inverse[starts]
 
-    A-Z are lower-cased, words are separated by space and \\x09-\\x0D. Fewer than n words are one
-    n-gram; a null text or one without words has none.
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of every word: polynomials of its bytes, a word being what no white space cuts.
+
+    Long data go by segments cut at white space; a word longer than a segment is hashed by its own.
     """
-    words = (text or "").encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    ids = np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
-    width = min(n, len(ids))
-    size = len(ids) - width + 1
+    whole = np.frombuffer(data, np.uint8)
+    at, starts, hashes = 0, [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    while at < len(whole):
+        end = min(len(whole), at + SEGMENT)
+        if end < len(whole):
+            cut = np.flatnonzero(_SPACE[whole[at:end]])
+            if len(cut):
+                end = at + int(cut[-1]) + 1
+            else:  # one word of more than a segment
+                rest = np.flatnonzero(_SPACE[whole[end:]])
+                end = end + int(rest[0]) if len(rest) else len(whole)
+                word = data[at:end].lower()
+                starts.append(np.array([at]))
+                hashes.append(np.frombuffer(hashlib.blake2b(word, digest_size=8).digest(), np.uint64))
+                at = end
+                continue
+        found, value = _segment_words(whole[at:end])
+        starts.append(found + at)
+        hashes.append(value)
+        at = end
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def _grams(words: np.ndarray, width: int) -> np.ndarray:
+    size = max(0, len(words) - width + 1)
     key = np.full(size, width, np.uint64)
     for i in range(width):
-        key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + ids[i : i + size])
-    return np.unique(key)
+        key = _mix(key * _BASE + words[i : i + size])
+    return key
+
+
+def shingles(texts: list[bytes | None], n: int = 3):
+    """Per text, the sorted distinct 64-bit hashes of its word n-grams.
+
+    A-Z are lower-cased, words are separated by space and \\x09-\\x0D. Fewer than n words are one
+    n-gram; a null text or one without words has none. Some texts are hashed together.
+    """
+    at = 0
+    while at < len(texts):
+        some, size = [], 0
+        while at < len(texts) and (not some or size < SEGMENT // 2):
+            some.append(texts[at] or b"")
+            size += len(some[-1]) + 1
+            at += 1
+        starts, words = word_hashes(b" ".join(some))
+        ends = np.cumsum([len(t) + 1 for t in some])
+        cuts = np.searchsorted(starts, ends)
+        keys = _grams(words, n)
+        first = 0
+        for last in cuts.tolist():
+            if last - first >= n:
+                yield np.unique(keys[first : last - n + 1])
+            else:
+                yield _grams(words[first:last], last - first) if last > first else np.zeros(0, np.uint64)
+            first = last
+
+
+def _bytes(column) -> list[bytes | None]:
+    return column.cast(pa.binary()).to_pylist()
 
 
 def _required(size: np.ndarray | int, percent: int):
@@ -76,9 +154,9 @@ def slot_counts(documents: DataFrame, text: str, n: int) -> np.ndarray:
     def count(batches):
         sums = np.zeros(SLOTS, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                slots = (shingles(value.as_py(), n) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-                np.add.at(sums, slots, 1)
+            found = [grams >> np.uint64(64 - SLOT_BITS) for grams in shingles(_bytes(batch.column(0)), n)]
+            if found:
+                sums += np.bincount(np.concatenate(found).astype(np.int64), minlength=SLOTS)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at])], ["slot", "n"])
 
@@ -96,20 +174,19 @@ def _signatures(counts: np.ndarray, n: int, percent: int):
     def run(batches):
         for batch in batches:
             sizes, digests, prefixes, bins = [], [], [], []
-            for value in batch.column(1):
-                found = shingles(value.as_py(), n)
+            for found in shingles(_bytes(batch.column(1)), n):
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 rare = found[np.argsort(counts[(found >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")]
                 prefixes.append(rare[: len(found) - _required(len(found), percent) + 1 if len(found) else 0].view(np.int64))
-                bins.append(np.bincount((found & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype(np.int32))
+                bins.append(_sketch(found))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(prefixes, pa.list_(pa.int64())),
-                    pa.array(bins, pa.list_(pa.int32())),
+                    pa.array(bins, pa.binary()),
                 ],
                 ["id", "size", "digest", "prefix", "bins"],
             )
@@ -129,33 +206,84 @@ def _may_link(percent: int) -> str:
             >= {percent} * (x.size + y.size)"""
 
 
-def _bins_fit(percent: int) -> str:
-    """Suffix filter: the sets differ at least by the differences of their hash bins."""
-    return f"""
-        {100 + percent} * (size_a + size_b - aggregate(zip_with(bins_a, bins_b, (p, q) -> abs(p - q)), 0, (s, v) -> s + v))
-            >= 2 * {percent} * (size_a + size_b)"""
+def _sketch(found: np.ndarray) -> bytes:
+    """Counts of the n-grams by the first bits of their hash: about one byte for four n-grams."""
+    bits = max(6, (len(found) // 4).bit_length())
+    return np.minimum(np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
-def _sets(documents: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(id, grams): the n-gram sets of some documents, as bytes of sorted 64-bit hashes."""
+def _sketch_fits(percent: int):
+    """Suffix filter of pairs (a, b, size_a, size_b, sketches): sets differ at least by what their counts differ."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(value.as_py(), n).tobytes() for value in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "grams"])
+            size_a, size_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            apart = np.zeros(batch.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
+                p, q = (np.frombuffer(v.as_py(), np.uint8).astype(np.int64) for v in (x, y))
+                bins = min(len(p), len(q))
+                apart[i] = np.abs(p.reshape(bins, -1).sum(axis=1) - q.reshape(bins, -1).sum(axis=1)).sum()
+            both = size_a + size_b
+            fits = (100 + percent) * (both - apart) >= 2 * percent * both
+            kept = batch.filter(pa.array(fits))
+            yield pa.RecordBatch.from_arrays(kept.columns[:4], ["a", "b", "size_a", "size_b"])
+
+    return run
 
-    wanted = documents.select("id", "text").join(ids, "id", "left_semi")
-    return wanted.mapInArrow(run, "id long, grams binary")
 
+def _similar(percent: int) -> str:
+    return f"100 * both >= {percent} * (size_a + size_b - both)"
 
-def _overlaps(batches):
+
+def _set_rows(n: int):
+    """Batches of (lead, salt, id, text) with the n-gram set of the text, as bytes of sorted 64-bit hashes."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [found.tobytes() for found in shingles(_bytes(batch.column(3)), n)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], ["lead", "salt", "id", "grams"])
+
+    return run
+
+
+def _compared(batches):
+    """Rows sorted by (lead, salt), the lead's own set first, to (lead, id, set of the lead, set of the id)."""
+    group, lead_set, last = None, None, None
     for batch in batches:
-        left, right = batch.column(2), batch.column(3)
-        both = [
-            len(np.intersect1d(np.frombuffer(p.as_py(), np.uint64), np.frombuffer(q.as_py(), np.uint64), assume_unique=True))
-            for p, q in zip(left, right)
-        ]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, pa.int64())], ["a", "b", "both"])
+        out = []
+        for lead, salt, doc, grams in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
+            if (lead, salt) != group:
+                group, lead_set, last = (lead, salt), None, None
+            if doc == last:
+                continue  # a repeated row
+            last = doc
+            found = np.frombuffer(grams.as_py(), np.uint64)
+            if doc == lead:
+                lead_set = found
+            elif lead_set is not None:
+                out.append((lead, doc, lead_set, found))
+        yield out
+
+
+def _overlaps(batches):
+    """(a, b, both) of each lead and other id."""
+    for rows in _compared(batches):
+        out = [(a, b, len(np.intersect1d(x, y, assume_unique=True))) for a, b, x, y in rows]
+        columns = list(zip(*out)) or [[], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "both"])
+
+
+def _differences(batches):
+    """(lead, id, grams): the n-grams that only one of the two has."""
+    for rows in _compared(batches):
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([a for a, _, _, _ in rows], pa.int64()),
+                pa.array([b for _, b, _, _ in rows], pa.int64()),
+                pa.array([np.setxor1d(x, y, assume_unique=True).view(np.int64) for _, _, x, y in rows], pa.list_(pa.int64())),
+            ],
+            ["lead", "id", "grams"],
+        )
 
 
 class Join:
@@ -166,7 +294,7 @@ class Join:
         counts = slot_counts(documents, "text", n)
         self.signed = staged(
             documents.select("id", "text").mapInArrow(
-                _signatures(counts, n, percent), "id long, size long, digest binary, prefix array<long>, bins array<int>"
+                _signatures(counts, n, percent), "id long, size long, digest binary, prefix array<long>, bins binary"
             ),
             "signatures",
         )
@@ -175,63 +303,112 @@ class Join:
         reps = self.classes.select(F.col("rep").alias("id"))
         self.reps = staged(self.signed.where("size > 0").join(reps, "id", "left_semi").drop("digest").dropDuplicates(["id"]), "reps")
         self.sketches = self.reps.select("id", "size", "bins")
-        postings = self.reps.select("id", "size", F.posexplode("prefix").alias("pos", "gram"))
+        self.postings = self.reps.select("id", "size", F.posexplode("prefix").alias("pos", "gram"))
+
+    def _with_lead(self, postings: DataFrame) -> DataFrame:
+        """Members of the n-grams that several prefixes share, with the n-gram's leader."""
         several = postings.groupBy("gram").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1").drop("n")
-        #: members of the n-grams that several prefixes share, with the n-gram's leader
-        self.postings = staged(postings.join(several, "gram"), "postings")
+        return staged(postings.join(several, "gram"), "postings")
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, both, size_a, size_b) of pairs that the suffix filter lets through; a pair comes once."""
+    def _likely(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """Pairs (a, b) once each, with sizes, that the suffix filter lets through."""
         left = self.sketches.select(F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("bins").alias("bins_a"))
         right = self.sketches.select(F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("bins").alias("bins_b"))
-        likely = staged(
-            pairs.distinct().join(left, "a").join(right, "b").where(_bins_fit(self.percent)).select("a", "b", "size_a", "size_b"),
-            "pairs",
-        )
-        ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-        sets = staged(_sets(self.documents, ids, self.n).dropDuplicates(["id"]), "sets")
-        both = (
-            likely.select("a", "b")
-            .join(sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b")), "b")
-            .select("a", "b", "grams_a", "grams_b")
-            .mapInArrow(_overlaps, "a long, b long, both long")
+        both = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "size_a", "size_b", "bins_a", "bins_b")
+        return staged(both.mapInArrow(_sketch_fits(percent), "a long, b long, size_a long, size_b long"), "pairs")
+
+    def _side_by_side(self, pairs: DataFrame, compare, schema: str) -> DataFrame:
+        """The sets of each pair (a, b), made from the texts, through `compare`.
+
+        Pairs are dealt by a, a lot of them together, so that the set of a is shipped once a lot.
+        """
+        lots = pairs.groupBy("a").agg(F.ceil(F.count("*") / LOT).alias("lots"))
+        dealt = pairs.join(lots, "a").select(F.col("a").alias("lead"), F.col("b").alias("id"), F.pmod(F.xxhash64("b"), F.col("lots")).alias("salt"))
+        dealt = dealt.unionByName(dealt.select("lead", F.col("lead").alias("id"), "salt").distinct())
+        dealt = staged(dealt, "dealt")
+        if dealt.count() <= BROADCAST_ROWS:
+            dealt = F.broadcast(dealt)  # else the texts of all documents are shuffled to meet it
+        return (
+            self.documents.join(dealt, "id")
+            .select("lead", "salt", "id", "text")
+            .mapInArrow(_set_rows(self.n), "lead long, salt long, id long, grams binary")
+            .repartition("lead", "salt")
+            .sortWithinPartitions("lead", "salt", F.col("id") != F.col("lead"), "id")
+            .mapInArrow(compare, schema)
         )
+
+    def verify(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """(a, b, both, size_a, size_b) of the pairs that may reach `percent`; a pair comes once."""
+        likely = self._likely(pairs, percent)
+        both = self._side_by_side(likely, _overlaps, "a long, b long, both long")
         return staged(likely.join(both, ["a", "b"]), "verified")
 
     def links(self) -> DataFrame:
         """Pairs (a, b) of representatives with enough overlap, such that all linked ones are connected."""
         percent = self.percent
-        enough = f"100 * both >= {percent} * (size_a + size_b - both)"
-        lead = (
-            self.postings.where("id = lead").alias("x")
-            .join(self.postings.where("id <> lead").alias("y"), "gram")
-            .where(_may_link(percent))
-            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        )
-        first = self.verify(lead)
-        linked = first.where(enough).select("a", "b")
+        near = percent - NEAR
+        live, linked, close = self.postings, [], []
+        for _ in range(ROUNDS):
+            led = self._with_lead(live)
+            pairs = (
+                led.where("id = lead").alias("x")
+                .join(led.where("id <> lead").alias("y"), "gram")
+                .where(_may_link(near - (100 - percent)))
+                .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+            )
+            found = self.verify(pairs, near - (100 - percent))
+            linked.append(found.where(_similar(percent)).select("a", "b"))
+            close.append(found.where(_similar(near - (100 - percent))))
+            # a member near its leader meets the others there; distances of linked ones differ by a margin at most
+            met = found.where(_similar(near)).select(F.col("a").alias("lead"), F.col("b").alias("id"))
+            live = led.where("id <> lead").join(met, ["lead", "id"], "left_anti").drop("lead")
+        linked = staged(reduce(DataFrame.union, linked).distinct(), "linked")
         label = components(linked).select("id", F.col("component").alias("comp"))
-        # distance to the leader where it is known; members the filters ruled out have none
-        known = first.selectExpr("a AS lead", "b AS id", "1 - both / (size_a + size_b - both) AS far")
-        placed = (
-            self.postings.join(label, "id", "left")
-            .withColumn("comp", F.coalesce("comp", "id"))
-            .join(known, ["lead", "id"], "left")
-            .withColumn("far", F.when(F.col("lead") == F.col("id"), F.lit(0.0)).otherwise(F.col("far")))
-            .select("gram", "id", "size", "pos", "comp", "far", "lead")
+        placed = self._with_lead(live).drop("lead").join(label, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        rest = staged(placed, "rest")
+        apart = (
+            rest.alias("x").join(rest.alias("y"), F.expr("x.gram = y.gram AND x.id < y.id AND x.comp <> y.comp"))
+            .where(_may_link(percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        )
+        around = reduce(DataFrame.union, [self._around_leader(found, label) for found in close])
+        more = self.verify(apart.union(around), percent).where(_similar(percent)).select("a", "b")
+        return linked.union(more)
+
+    def _around_leader(self, found: DataFrame, label: DataFrame) -> DataFrame:
+        """Pairs of members near one leader, of different classes, that may link.
+
+        Sets differ from each other by the symmetric difference of their differences from the leader.
+        Two that link differ by at most D = (|x| + |y|) (1 - t) / (1 + t) n-grams; then, of the first D + 1
+        n-grams by which one differs from the leader, in any order, the other shares one, unless the
+        leader connects the two. Differences that few members share come first, so members that differ
+        each in its own way never meet.
+        """
+        rest = 100 - self.percent
+        classed = label.withColumnRenamed("id", "b")
+        members = found.join(classed, "b", "left").withColumn("comp", F.coalesce("comp", "b"))
+        leads = label.select(F.col("id").alias("a"), F.col("comp").alias("lead_comp"))
+        members = members.join(leads, "a", "left").withColumn("lead_comp", F.coalesce("lead_comp", "a"))
+        strange = members.where("comp <> lead_comp").groupBy("a").agg(F.min("comp").alias("_low"))
+        members = staged(members.join(strange, "a", "left_semi").select("a", "b", "size_a", "size_b", "comp"), "members")
+        grams = self._side_by_side(members.select("a", "b"), _differences, "lead long, id long, grams array<long>")
+        rows = staged(grams.select("lead", "id", F.size("grams").alias("far"), F.explode("grams").alias("gram")), "differences")
+        shared = rows.groupBy("lead", "gram").agg(F.count("*").alias("n")).where("n > 1")
+        common = rows.join(shared, ["lead", "gram"])
+        ranked = common.withColumn("own", F.col("far") - F.count("*").over(Window.partitionBy("lead", "id"))).withColumn(
+            "pos", F.col("own") + F.row_number().over(Window.partitionBy("lead", "id").orderBy("n", "gram"))
         )
-        mixed = placed.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gram")
-        rest = staged(placed.join(mixed, "gram", "left_semi"), "mixed")
-        pairs = (
-            rest.alias("x")
-            .join(rest.alias("y"), F.expr("x.gram = y.gram AND x.id < y.id AND x.comp <> y.comp AND x.lead <> x.id AND y.lead <> y.id"))
-            .where(_may_link(percent))
-            .where(f"x.far IS NULL OR y.far IS NULL OR abs(x.far - y.far) <= {1 - percent / 100} + 1e-9")
+        sizes = members.select(F.col("a").alias("lead"), F.col("b").alias("id"), F.col("size_b").alias("size"), "comp")
+        # the largest partner has size / t n-grams
+        reach = f"size * {rest} div {self.percent} + 1"
+        heads = ranked.join(sizes, ["lead", "id"]).where(f"pos <= {reach}").select("lead", "gram", "id", "size", "comp")
+        mixed = heads.groupBy("lead", "gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+        heads = staged(heads.join(mixed, ["lead", "gram"], "left_semi"), "heads")
+        return (
+            heads.alias("x")
+            .join(heads.alias("y"), F.expr("x.lead = y.lead AND x.gram = y.gram AND x.id < y.id AND x.comp <> y.comp"))
+            .where(f"100 * least(x.size, y.size) >= {self.percent} * greatest(x.size, y.size)")
             .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         )
-        second = self.verify(pairs.distinct()).where(enough).select("a", "b")
-        return linked.union(second)
 
 
 def jaccard_classes(documents: DataFrame, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90) -> DataFrame:
