@@ -350,9 +350,11 @@ class Join:
         live, linked, close = self.postings, [], []
         for _ in range(ROUNDS):
             led = self._with_lead(live)
+            # a member meets its leader at the first n-gram they share, not at each of them
+            first = led.where("id <> lead").groupBy("lead", "id").agg(F.min(F.struct("pos", "gram", "size")).alias("first"))
             pairs = (
                 led.where("id = lead").alias("x")
-                .join(led.where("id <> lead").alias("y"), "gram")
+                .join(first.select("lead", "id", "first.*").alias("y"), F.expr("x.id = y.lead AND x.gram = y.gram"))
                 .where(_may_link(near - (100 - percent)))
                 .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
             )
@@ -400,13 +402,20 @@ class Join:
         sizes = members.select(F.col("a").alias("lead"), F.col("b").alias("id"), F.col("size_b").alias("size"), "comp")
         # the largest partner has size / t n-grams
         reach = f"size * {rest} div {self.percent} + 1"
-        heads = ranked.join(sizes, ["lead", "id"]).where(f"pos <= {reach}").select("lead", "gram", "id", "size", "comp")
+        heads = ranked.join(sizes, ["lead", "id"]).where(f"pos <= {reach}").select(
+            "lead", "gram", "id", "size", "comp", (F.col("pos") - F.col("own") - 1).alias("before"), (F.col("far") - F.col("pos")).alias("after"), "far"
+        )
         mixed = heads.groupBy("lead", "gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
         heads = staged(heads.join(mixed, ["lead", "gram"], "left_semi"), "heads")
         return (
             heads.alias("x")
             .join(heads.alias("y"), F.expr("x.lead = y.lead AND x.gram = y.gram AND x.id < y.id AND x.comp <> y.comp"))
             .where(f"100 * least(x.size, y.size) >= {self.percent} * greatest(x.size, y.size)")
+            # the shared n-gram and what both have before and after it bound how much the differences overlap
+            .where(
+                f"""{100 + self.percent} * (x.far + y.far - 2 * (1 + least(x.before, y.before) + least(x.after, y.after)))
+                    <= {rest} * (x.size + y.size)"""
+            )
             .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         )
 
