@@ -22,7 +22,31 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """Like `staged`, in files by the hash of a column, so that grouping by it needs no shuffle of these rows."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    known = f"{name}_{path.rsplit('-', 1)[-1]}"
+    df.write.bucketBy(buckets, column).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(known)
+    out = spark.table(known)
+    out._staged_at = path
+    spark.sql(f"DROP TABLE {known}")  # the catalogue's entry; the files stay
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of staged rows that nothing reads any more; anything else is left alone."""
+    for df in frames:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
