@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunewright.llm.bpe_count import PATTERN, byte_symbols
-from tunewright.llm.common import bucketed, prepare
+from tunewright.llm.common import Memo, bucketed, prepare
 
 #: A chunk of documents shares one list of words; it ends with so many letters or distinct words.
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 16_000_000
 CHUNK_WORDS = 1 << 20
-#: Rows of one output batch.
-ROWS = 20_000
+#: Words of up to so many letters whose ids a task remembers.
+KNOWN_WORDS, LONG_WORD = 500_000, 64
+#: Ids go in 16 bits, less this.
+LOWEST = 1 << 15
 _LOADED: dict[str, "Vocabulary"] = {}
 
 
@@ -46,6 +50,8 @@ class Vocabulary:
         self.model = Tokenizer.from_file(path).model
         self.symbols = dict(enumerate(byte_symbols()))
         self.pieces = said["model"]["vocab"]
+        if max([*self.pieces.values(), *self.specials.values()], default=0) >= 1 << 16:
+            raise ValueError(f"{path} has ids of more than 16 bits")
 
     def words(self, text: str) -> list[str]:
         """The words of a text, which together are the text; a special string is a word."""
@@ -97,76 +103,113 @@ def _unplaned(planes: bytes) -> np.ndarray:
     return low | middle << 8 | high << 16
 
 
-def _coded(tokenizer: str, key_type: pa.DataType):
-    """Batches of (key, text) to rows of documents (chunk, key, codes) and of words (chunk, no, word).
+def _packed(words: list[str]) -> tuple[bytes, bytes]:
+    """Words as their compressed bytes one after the other, and their sizes."""
+    each = [w.encode() for w in words]
+    return zlib.compress(b"".join(each), 1), _sizes(each)
 
-    A text becomes the numbers of its words, in their order; a word is written once a chunk. Chunks are
-    numbered within the task, so a task run again writes the same.
+
+def _sizes(each: list) -> bytes:
+    return zlib.compress(np.fromiter(map(len, each), "<u4", len(each)).tobytes(), 1)
+
+
+def _unpacked(words: bytes, sizes: bytes) -> list[str]:
+    whole, ends = zlib.decompress(words), np.cumsum(np.frombuffer(zlib.decompress(sizes), "<u4")).tolist()
+    return [whole[a:b].decode() for a, b in zip([0, *ends], ends)]
+
+
+def _coded(tokenizer: str, key_type: pa.DataType, slots: int):
+    """Batches of (key, text) to rows of documents (chunk, key, codes) and of words (chunk, slot, nos, words, sizes).
+
+    A text becomes the numbers of its words, in their order. The distinct words of a chunk are
+    written once, a row for each slot that a hash deals them to. Chunks are numbered within the task, so a
+    task run again writes the same.
     """
-    names = ["chunk", "key", "codes", "no", "word"]
+    fields = pa.schema(
+        [("chunk", pa.int64()), ("key", key_type), ("codes", pa.binary()), ("slot", pa.int32()), ("nos", pa.binary()), ("words", pa.binary()), ("sizes", pa.binary())]
+    )
 
     def run(batches):
-        words = vocabulary(tokenizer).words
+        split = vocabulary(tokenizer).words
         chunk = TaskContext.get().partitionId() << 32
         numbers, chars = Numbers(), 0
 
         def table():
             known = list(numbers)
-            for at in range(0, len(known), ROWS):
-                some = known[at : at + ROWS]
-                none = pa.nulls(len(some), key_type), pa.nulls(len(some), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(some), pa.int64()), *none, pa.array(np.arange(at, at + len(some), dtype=np.int32)), pa.array(some, pa.string())], names
-                )
+            slot = np.fromiter((zlib.crc32(w.encode()) % slots for w in known), np.int64, len(known))
+            rows = []
+            for at in np.unique(slot).tolist():
+                nos = np.flatnonzero(slot == at)
+                nos = np.array(sorted(nos.tolist(), key=known.__getitem__))  # neighbours in order are alike
+                rows.append((chunk, at, _planes(nos), *_packed([known[i] for i in nos.tolist()])))
+            columns = list(zip(*rows)) or [()] * 5
+            none = pa.nulls(len(rows), key_type), pa.nulls(len(rows), pa.binary())
+            kinds = [fields.field(i).type for i in (0, 3, 4, 5, 6)]
+            first, *rest = [pa.array(c, t) for c, t in zip(columns, kinds)]
+            return pa.RecordBatch.from_arrays([first, *none, *rest], schema=fields)
 
         for batch in batches:
-            keys, chunks, codes = batch.column(0), [], []
+            chunks, codes = [], []
             for text in batch.column(1).to_pylist():
                 if chars >= CHUNK_CHARS or len(numbers) >= CHUNK_WORDS:
-                    yield from table()
+                    yield table()
                     chunk, numbers, chars = chunk + 1, Numbers(), 0
-                found = words(text or "")
+                found = split(text or "")
                 chars += len(text or "")
                 chunks.append(chunk)
                 codes.append(_planes(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))))
                 if len(numbers) > 1 << 24:
                     raise ValueError("a text has more than 2^24 distinct words")
-            none = pa.nulls(len(chunks), pa.int32()), pa.nulls(len(chunks), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), keys, pa.array(codes, pa.binary()), *none], names)
-        yield from table()
+            none = [pa.nulls(len(chunks), fields.field(i).type) for i in range(3, 7)]
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), batch.column(0), pa.array(codes, pa.binary()), *none], schema=fields)
+        yield table()
 
     return run
 
 
 def _encoded(tokenizer: str):
-    """Rows (chunk, no, word) sorted by word to (chunk, no, ids): a word is encoded once, its rows follow each other."""
+    """Rows (chunk, nos, words, sizes) of one slot to (chunk, nos, lengths, ids): ids one after the other, less 32,768.
+
+    All rows that hold a word are in one partition, so it is encoded once; again only where more
+    words than a `Memo` holds came since.
+    """
 
     def run(batches):
-        encode = vocabulary(tokenizer).ids
-        last, ids = None, None
+        known = Memo(vocabulary(tokenizer).ids, KNOWN_WORDS)
         for batch in batches:
-            out = []
-            for word in batch.column(2).to_pylist():
-                if word != last:
-                    last, ids = word, encode(word)
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], ["chunk", "no", "ids"])
+            lengths, ids = [], []
+            for words, sizes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                each = [known[w] if len(w) <= LONG_WORD else known.make(w) for w in _unpacked(words, sizes)]
+                lengths.append(_sizes(each))
+                ids.append((np.fromiter(chain.from_iterable(each), np.int64) - LOWEST).astype(np.int16))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(lengths, pa.binary()), pa.array(ids, pa.list_(pa.int16()))], ["chunk", "nos", "lengths", "ids"]
+            )
 
     return run
 
 
 def _joined(key: str):
-    """Documents of a chunk and the ids and pieces of its words to (key, n_tokens, ids, decoded)."""
-
-    def run(documents: pa.Table, words: pa.Table) -> pa.Table:
-        no, pos = words.column("no").to_numpy(), words.column("pos").to_numpy()
-        order = np.lexsort((pos, no))
-        flat = words.column("token").to_numpy()[order]
-        parts = words.column("piece").take(pa.array(order)).to_pylist()
-        starts = np.searchsorted(no[order], np.arange((no.max() if len(no) else -1) + 2))
-        said = [b"".join(parts[a:b]) for a, b in zip(starts.tolist(), starts[1:].tolist())]
-        counts = np.diff(starts)
-        ids, texts, tokens = [], [], []
+    """Documents of a chunk and the tokens of its words, with their pieces, to (key, n_tokens, ids, decoded)."""
+
+    def run(documents: pa.Table, tokens: pa.Table) -> pa.Table:
+        part, pos = tokens.column("part").to_numpy(), tokens.column("pos").to_numpy()
+        order = np.lexsort((pos, part))
+        flat = tokens.column("token").to_numpy()[order]
+        pieces_in_order = tokens.column("piece").take(pa.array(order)).to_pylist()
+        # a part's first token brings the numbers of its words and how many tokens each has
+        heads = np.flatnonzero(pos == 0)
+        heads = heads[np.argsort(part[heads])]
+        nos = [_unplaned(x) for x in tokens.column("nos").take(pa.array(heads)).to_pylist()]
+        sizes = [np.frombuffer(zlib.decompress(x), "<u4") for x in tokens.column("lengths").take(pa.array(heads)).to_pylist()]
+        number = np.concatenate([*nos, np.zeros(0, np.int64)])
+        size = np.concatenate([*sizes, np.zeros(0, "<u4")]).astype(np.int64)
+        ends = np.cumsum(size)
+        starts, counts = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+        starts[number], counts[number] = ends - size, size
+        said = [b"".join(pieces_in_order[a : a + n]) for a, n in zip(starts.tolist(), counts.tolist())]
+        del pieces_in_order
+        ids, texts, totals = [], [], []
         for planes in documents.column("codes").to_pylist():
             codes = _unplaned(planes)
             each = counts[codes] if len(codes) else np.zeros(0, np.int64)
@@ -175,11 +218,11 @@ def _joined(key: str):
             # token t of a word that starts at s is at s + t of the flat ids
             ids.append(flat[np.arange(total) + np.repeat(starts[codes] - ends + each, each)] if total else flat[:0])
             texts.append(b"".join(map(said.__getitem__, codes.tolist())).decode("utf-8", "replace"))
-            tokens.append(total)
+            totals.append(total)
         return pa.table(
             {
                 key: documents.column("key"),
-                "n_tokens": pa.array(tokens, pa.int64()),
+                "n_tokens": pa.array(totals, pa.int64()),
                 "ids": pa.array(ids, pa.list_(pa.int32())),
                 "decoded": pa.array(texts, pa.string()),
             }
@@ -191,11 +234,11 @@ def _joined(key: str):
 def round_trip(documents: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_tokens, ids, decoded) of every row: its token ids, and the text that these ids decode to.
 
-    tokenizer: path of a byte-level vocabulary, which workers open. Texts are split into words in one
-    pass, which writes them as numbers within a chunk of documents, and each chunk's words. The
-    words of all chunks are sorted; each distinct one is encoded once; ids meet their pieces in a join
-    with the vocabulary, and both meet the documents by chunk and position. Documents are
-    neither shuffled nor read twice: they are written in files by chunk.
+    tokenizer: path of a byte-level vocabulary of at most 65,536 ids, which workers open. Texts are
+    split into words in one pass, which writes them as numbers within a chunk of documents, and each
+    chunk's distinct words. These are dealt by a hash, so that a distinct word is encoded in one place; its
+    ids go back to the chunks, meet their pieces in a join with the vocabulary, and documents by
+    position. Documents are neither shuffled nor read twice: they are written in files by chunk.
 
     A null text is like the empty one, which has no tokens and decodes to itself. Repeated rows give
     repeated rows; null keys are like others; an empty table gives an empty one; extra columns are not read.
@@ -205,12 +248,19 @@ def round_trip(documents: DataFrame, tokenizer: str, key: str = "doc_id", text:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     coded = rows.mapInArrow(
-        _coded(tokenizer, _arrow_type(rows)), f"chunk long, key {kind.simpleString()}, codes binary, no int, word string"
+        _coded(tokenizer, _arrow_type(rows), buckets),
+        f"chunk long, key {kind.simpleString()}, codes binary, slot int, nos binary, words binary, sizes binary",
     )
     coded = bucketed(coded, "codes", "chunk", buckets)
-    words = coded.where("word IS NOT NULL").select("chunk", "no", "word").repartition("word").sortWithinPartitions("word")
-    ids = words.mapInArrow(_encoded(tokenizer), "chunk long, no int, ids array<int>").repartition(buckets, "chunk")
-    tokens = ids.select("chunk", "no", F.posexplode("ids").alias("pos", "token"))
+    words = coded.where("slot IS NOT NULL").select("slot", "chunk", "nos", "words", "sizes").repartition("slot").drop("slot")
+    ids = words.mapInArrow(_encoded(tokenizer), "chunk long, nos binary, lengths binary, ids array<smallint>").repartition(buckets, "chunk")
+    numbered = ids.withColumn("part", F.monotonically_increasing_id())
+    part = numbered.select("chunk", "nos", "lengths", "part", F.posexplode("ids").alias("pos", "token"))
+    first = F.col("pos") == 0
+    tokens = part.select(
+        "chunk", "part", "pos", (F.col("token").cast("int") + LOWEST).alias("token"),
+        F.when(first, F.col("nos")).alias("nos"), F.when(first, F.col("lengths")).alias("lengths"),
+    )
     named = tokens.join(F.broadcast(pieces(spark, tokenizer).withColumnRenamed("id", "token")), "token")
     texts = coded.where("codes IS NOT NULL").select("chunk", "key", "codes")
     return (
