@@ -118,6 +118,62 @@ def test_monitor_inherits_its_last_update(spark):
     assert [r.age_seconds for r in got] == [None, 1500, 2400, 3300]
 
 
+def _snapshots(spark, rows, readings=(), every=600, **options):
+    """rows: (run, minute, priority, line); readings: (run, minute, line)."""
+    lines = spark.createDataFrame(
+        [(r, p, i, None if m is None else T0 + dt.timedelta(minutes=m), line) for i, (r, m, p, line) in enumerate(rows)],
+        "run STRING, priority INT, seq BIGINT, ts TIMESTAMP, line STRING",
+    )
+    gpu = spark.createDataFrame(
+        [(r, i, T0 + dt.timedelta(minutes=m), line) for i, (r, m, line) in enumerate(readings)], "run STRING, seq BIGINT, ts TIMESTAMP, line STRING"
+    )
+    whole = monitor.heartbeat_full(lines, gpu, every, "python", "grep", **options)
+    return {(r.run, int((r.tick_ts - T0).total_seconds() // 60)): r for r in whole.collect()}
+
+
+def test_a_whole_heartbeat_has_silent_ticks(spark):
+    rows = [
+        ("a", 0, 1, "python x"), ("a", 0.5, 1, "python grep"), ("a", 25, 0, "first"), ("a", 30, 0, "models/checkpoint-7"),
+        ("a", 31, 0, "third"), ("b", 10, 2, "watching"), ("a", 55, 0, "models/checkpoint-3"), ("b", None, 0, "no time"),
+    ]
+    readings = [("a", 3, "0, G, 50, 1, 2, 3, 40"), ("a", 12, "0, G, 60, 1, 2, 3, 41"), ("a", 11, "0, G, 99, 1, 2, 3, 41")]
+    got = _snapshots(spark, rows, readings, n=2, n_monitor=1, sources=spark.createDataFrame([("never",)], "run STRING"))
+    assert sorted(got) == [(run, m) for run in ("a", "b", "never") for m in range(0, 61, 10)]
+    a = [got["a", m] for m in range(0, 61, 10)]
+    assert [r.processes for r in a] == [1, 0, 0, 0, 0, 0, 0]
+    assert [r.process_note for r in a] == [None] + ["no training process"] * 6
+    assert [r.util for r in a] == [None, 50, 60, 60, 60, 60, 60] and a[0].gpu_note and not a[1].gpu_note
+    assert [r.checkpoint for r in a] == [None, None, None, 7, 7, 7, 7]
+    fallback, primary = "python x\npython grep", "first\nmodels/checkpoint-7"
+    assert [r.tail for r in a] == ["python x", fallback, fallback, primary, "models/checkpoint-7\nthird", "models/checkpoint-7\nthird", "third\nmodels/checkpoint-3"]
+    b = [got["b", m] for m in range(0, 61, 10)]
+    assert [r.status for r in b] == ["MISSING", "ACTIVE", "ACTIVE", "ACTIVE", "INACTIVE", "INACTIVE", "INACTIVE"]
+    assert [r.age_seconds for r in b] == [None, 0, 600, 1200, 1800, 2400, 3000] and b[3].monitor_tail == "watching" and b[3].tail is None
+    assert {got["never", m].status for m in range(0, 61, 10)} == {"MISSING"}
+
+
+def test_tails_reach_over_ticks_and_are_cut_in_each(spark):
+    rows = [("r", m / 10, 0, f"line {m}") for m in range(1, 400)] + [("r", 50 + m, 0, f"late {m}") for m in (1, 11, 21)]
+    got = _snapshots(spark, rows, n=3)
+    assert got["r", 10].tail == "line 98\nline 99\nline 100" and got["r", 40].tail == "line 397\nline 398\nline 399" == got["r", 50].tail
+    assert got["r", 60].tail == "line 398\nline 399\nlate 1" and got["r", 80].tail == "late 1\nlate 11\nlate 21"
+
+
+def test_heartbeats_of_nothing(spark):
+    assert _snapshots(spark, []) == {} and _snapshots(spark, [("r", None, 0, "x")]) == {}
+    (row,) = _snapshots(spark, [(None, 0, 0, None)]).values()
+    assert (row.run, row.processes, row.tail) == (None, 0, "")
+
+
+def test_a_busy_source_is_cut_before_it_is_sorted(spark, plan):
+    """Windows sort ticks of a source, or pieces of one tick, never the lines of a source."""
+    events = files.event_time(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    lines = as_lines(events)
+    text = plan(monitor.heartbeat_full(lines, lines.select("run", "seq", "ts", "line"), 900, "x"))
+    windows = [line for line in text.splitlines() if " Window " in line]
+    assert windows and all("tick" in line for line in windows)
+
+
 # ---- streams ----
 
 
@@ -155,17 +211,99 @@ def test_heartbeats_are_the_same_from_one_file_and_many(spark, event_folders, tm
     assert got["one"] == got["many"] and len(got["one"]) > 100
 
 
-def test_liveness_is_the_same_from_one_file_and_many(spark, event_folders, tmp_path):
-    got = {}
-    for form in event_folders:
-        out = str(tmp_path / form)
-        reports = liveness.liveness_stream(_stream(spark, event_folders, form), "user_id")
-        _run(files.append_report(reports, out, str(tmp_path / f"{form}-state")))
-        final = liveness.latest_status(spark.read.parquet(out)).collect()
-        got[form] = {r.source: (r.last_ts, r.status) for r in final}
-    assert got["one"] == got["many"]
-    statuses = [s for _, s in got["one"].values()]
-    assert "ACTIVE" in statuses and "INACTIVE" in statuses
+@pytest.mark.parametrize("again", [False, True])
+def test_the_last_windows_are_in_a_finished_report_once(spark, event_folders, tmp_path, again):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    parts = monitor.snapshot_parts(include="^purchase")
+    events = files.event_time(spark.read.parquet(event_folders["many"]))
+    want = monitor.heartbeat(as_lines(events), "5 minutes", extra=parts)
+    for _ in range(1 + again):  # started and finished again, it adds nothing
+        beats = monitor.heartbeat(
+            as_lines(_stream(spark, event_folders, "many")), "5 minutes", watermark="10 minutes", extra=parts
+        )
+        _run(files.append_report(beats, out, state))
+        files.finish_report(spark, out, state, monitor.SNAPSHOT_STATE)
+    got = files.read_report(spark, out)
+    rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    assert spark.read.parquet(out).count() < want.count() and rows(got) == rows(want)
+
+
+def test_a_stream_goes_on_after_a_finish(spark, event_folders, tmp_path):
+    """Windows that were open at a finish and closed later are those of the whole stream."""
+    source, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    events = files.event_time(spark.read.parquet(event_folders["many"]))
+    middle = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    for some in (events.where(F.col("event_id") <= middle), events.where(F.col("event_id") > middle)):
+        some.write.mode("append").parquet(source)
+        stream = files.read_stream(spark, source, EVENTS)
+        _run(files.append_report(monitor.heartbeat(as_lines(files.event_time(stream)), by=("run",), watermark="0 seconds"), out, state))
+        files.finish_report(spark, out, state, {k: v for k, v in monitor.SNAPSHOT_STATE.items() if k[:1] == "l"})
+    got = files.read_report(spark, out, ("window_start", "run")).select("run", "window_start", "lines", "last_line")
+    want = monitor.heartbeat(as_lines(events), by=("run",)).select("run", "window_start", "lines", "last_line")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_state_of_other_aggregates_is_refused(spark, event_folders, tmp_path):
+    state = str(tmp_path / "state")
+    means = as_lines(_stream(spark, event_folders, "one")).withWatermark("ts", "0 seconds").groupBy(F.window("ts", "1 hour").alias("w"))
+    _run(files.append_report(means.agg(F.avg("value").alias("mean")), str(tmp_path / "out"), state))
+    assert all(r.mean is not None for r in files.open_windows(spark, state, {"mean": "mean"}).collect())
+    with pytest.raises(ValueError):
+        files.open_windows(spark, state, {"mean": "last"})
+
+
+def _liveness(spark, folder, tmp_path, expected=None, **options):
+    name = uuid.uuid4().hex
+    stream = files.event_time(files.read_stream(spark, folder, EVENTS, max_files=1))
+    reports = liveness.liveness_stream(stream, "user_id", expected, **options)
+    _run(files.append_report(reports, str(tmp_path / name), str(tmp_path / f"{name}-state")))
+    return spark.read.parquet(str(tmp_path / name))
+
+
+def _events(spark, rows):
+    return spark.createDataFrame([(i, T0 + dt.timedelta(seconds=s), u, "view", 1.0, "{}") for i, (u, s) in enumerate(rows)], EVENTS.replace("TIMESTAMP_NTZ", "TIMESTAMP"))
+
+
+@pytest.mark.parametrize("order", ["ts", "-ts", "hash"])
+def test_liveness_is_the_same_in_any_order_of_files(spark, tmp_path, order):
+    """Rows of sources long silent come after newer rows of others, a file at a time."""
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("user_id % 4 > 0 OR dayofmonth(ts) < 20")
+    span = "dayofmonth(ts) div 9"
+    places = [r[0] for r in events.selectExpr(f"{span} AS d").distinct().orderBy("d").collect()]
+    places = {"ts": places, "-ts": places[::-1], "hash": sorted(places, key=lambda d: d * 3 % 5)}[order]
+    folder = str(tmp_path / "in")
+    for place in places:  # files are taken in order of their time
+        events.where(f"{span} = {place}").coalesce(1).write.mode("append").parquet(folder)
+    expected = spark.range(-2, 15).withColumnRenamed("id", "user_id")
+    final = liveness.latest_status(_liveness(spark, folder, tmp_path, expected))
+    got = {r.source: (r.last_ts, r.status) for r in final.select("source", F.col("last_ts").cast("timestamp_ntz").alias("last_ts"), "status").collect()}
+    newest = events.agg(F.max("ts")).first()[0]
+    want = {str(i): (None, "MISSING") for i in range(-2, 15)}
+    for r in events.groupBy("user_id").agg(F.max("ts").alias("ts")).collect():
+        age = newest - r.ts
+        want[str(r.user_id)] = (r.ts, "ACTIVE" if age <= dt.timedelta(seconds=1200) else "INACTIVE")
+    assert got == want and len({s for _, s in got.values()}) == 3
+
+
+def test_silence_starts_right_after_its_limit(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for rows in ([(1, 0), (2, 0.001), (3, 5)], [(4, 1200.001)]):
+        _events(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+    final = {r.source: r.status for r in liveness.latest_status(_liveness(spark, folder, tmp_path)).collect()}
+    assert final == {"1": "INACTIVE", "2": "ACTIVE", "3": "ACTIVE", "4": "ACTIVE"}
+
+
+def test_a_source_comes_back(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    expected = spark.createDataFrame([(1,), (9,), (9,)], "user_id BIGINT")
+    for rows in ([(1, 0), (1, 0)], [(2, 5000)], [(1, 9000), (9, 9000)], [(1, 100), (None, 8000)]):
+        _events(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+    reports = _liveness(spark, folder, tmp_path, expected)
+    said = {s: sorted(((r.last_ts - T0).total_seconds() if r.last_ts else -1.0, r.status) for r in reports.where(F.col("source") == s).collect()) for s in ("1", "9")}
+    assert said["1"] == [(0.0, "ACTIVE"), (0.0, "INACTIVE"), (9000.0, "ACTIVE")]
+    assert {status for _, status in said["9"]} == {"MISSING", "ACTIVE"}
+    final = {r.source: r.status for r in liveness.latest_status(reports).collect()}
+    assert final == {"1": "ACTIVE", "2": "INACTIVE", "9": "ACTIVE", None: "ACTIVE"}
 
 
 def test_final_flush_goes_on_where_the_last_one_ended(spark, event_folders, tmp_path):

@@ -190,6 +190,7 @@ MONITOR_TAIL_LINES = 20
 CHECKPOINT_PATTERN = r"(?:^|/)checkpoint-(?:[^/]*-)?(\d+)/*$"
 NO_PROCESS = "no training process"
 NO_CHECKPOINTS = "no checkpoints"
+NO_GPU = "nvidia-smi not available"
 
 # ---- fixed values: inference requests ----
 MAX_NEW_TOKENS = 64

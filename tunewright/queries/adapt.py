@@ -6,7 +6,7 @@ the same for the SQL checks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -233,7 +233,7 @@ LINES_SQL = """
     FROM events"""
 
 
-def as_gpu_lines(events: DataFrame) -> DataFrame:
+def as_gpu_lines(events: DataFrame, *more: Column) -> DataFrame:
     """Events as telemetry lines of seven fields."""
     util = F.pmod(F.floor("value"), F.lit(101))
     fields = [
@@ -242,7 +242,7 @@ def as_gpu_lines(events: DataFrame) -> DataFrame:
     ]
     return events.select(
         F.col("event_id").alias("seq"), "ts",
-        F.concat_ws(", ", *[f.cast("string") for f in fields]).alias("line"),
+        F.concat_ws(", ", *[f.cast("string") for f in fields]).alias("line"), *more,
     )
 
 

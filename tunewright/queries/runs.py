@@ -231,6 +231,59 @@ def gpu_heartbeat(spark, folder):
     return readings.drop("last_ts", "last_line")
 
 
+#: Of the whole heartbeat: seconds between ticks, and lines of a tail and of the monitor's tail.
+EVERY, TAIL, MONITOR_TAIL = 3600, 5, 2
+
+
+def _tail_sql(kind, n):
+    return f"coalesce(array_to_string({kind}.said[greatest({kind}.upto - {n - 1}, 1):{kind}.upto], chr(10)), '')"
+
+
+def _kind_sql(kind, priority):
+    """Every tick's number of lines of a kind up to it, and all lines of the run's log of that kind."""
+    return f"""
+    {kind} AS (
+        SELECT run, tick, said, upto FROM (
+            SELECT c.run, c.tick, sum(coalesce(n, 0)) OVER (PARTITION BY c.run ORDER BY c.tick)::BIGINT AS upto
+            FROM cal c LEFT JOIN (SELECT run, tick, count(*) AS n FROM l WHERE priority = {priority} GROUP BY run, tick) k USING (run, tick)) t
+        JOIN (SELECT run, list(line ORDER BY ts, seq) AS said FROM l WHERE priority = {priority} GROUP BY run) a USING (run) WHERE upto > 0)"""
+
+
+@query(f"""
+    WITH l AS (SELECT *, (epoch_us(ts) + {EVERY}000000 - 1) // {EVERY}000000 AS tick FROM ({LINES_SQL}) x),
+    cal AS (SELECT run, unnest(range((SELECT min(tick) FROM l), (SELECT max(tick) FROM l) + 1)) AS tick FROM (SELECT DISTINCT run FROM l) r),
+    {_kind_sql('p0', 0)}, {_kind_sql('p1', 1)}, {_kind_sql('p2', 2)},
+    seen AS (
+        SELECT run, tick, count(*) FILTER (WHERE line LIKE 'purchase%' AND NOT line LIKE '%"k": 1%') AS processes,
+               max(CASE WHEN line LIKE 'models/%' THEN seq END) AS checkpoint,
+               max(ts) FILTER (WHERE priority = 2) AS monitor_ts
+        FROM l GROUP BY run, tick),
+    gpu AS (
+        SELECT 'run-' || user_id::VARCHAR AS run, (epoch_us(ts) + {EVERY}000000 - 1) // {EVERY}000000 AS tick, arg_max(g, (ts, seq)) AS g
+        FROM (SELECT g.seq, g.ts, e.user_id, g FROM ({GPU_SQL}) g JOIN events e ON e.event_id = g.seq) t GROUP BY ALL),
+    held AS (
+        SELECT run, c.tick, coalesce(processes, 0) AS processes, max(checkpoint) OVER w AS checkpoint,
+               max(monitor_ts) OVER w AS monitor_ts, last_value(g IGNORE NULLS) OVER w AS g
+        FROM cal c LEFT JOIN seen USING (run, tick) LEFT JOIN gpu USING (run, tick) WINDOW w AS (PARTITION BY run ORDER BY c.tick))
+    SELECT run, make_timestamp(tick * {EVERY}000000) AS tick_ts, processes, checkpoint, monitor_ts,
+           CASE WHEN p0.upto IS NOT NULL THEN {_tail_sql('p0', TAIL)} WHEN p1.upto IS NOT NULL THEN {_tail_sql('p1', TAIL)} END AS tail,
+           CASE WHEN p2.upto IS NOT NULL THEN {_tail_sql('p2', MONITOR_TAIL)} END AS monitor_tail,
+           (tick * {EVERY}000000 - epoch_us(monitor_ts)) // 1000000 AS age_seconds,
+           g['index'] AS "index", g.name AS name, g.util AS util, g.mem_util AS mem_util, g.mem_total AS mem_total, g.mem_used AS mem_used, g.temp AS temp,
+           CASE WHEN monitor_ts IS NULL THEN 'MISSING'
+                WHEN (tick * {EVERY}000000 - epoch_us(monitor_ts)) // 1000000 <= 1200 THEN 'ACTIVE' ELSE 'INACTIVE' END AS status,
+           CASE WHEN processes = 0 THEN 'no training process' END AS process_note,
+           CASE WHEN checkpoint IS NULL THEN 'no checkpoints' END AS checkpoint_note,
+           CASE WHEN g IS NULL THEN 'nvidia-smi not available' END AS gpu_note
+    FROM held LEFT JOIN p0 USING (run, tick) LEFT JOIN p1 USING (run, tick) LEFT JOIN p2 USING (run, tick)""")
+def heartbeat_full(spark, folder):
+    """A whole snapshot of every run at every full hour."""
+    events = table(spark, folder, "events")
+    readings = as_gpu_lines(events, F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run"))
+    whole = monitor.heartbeat_full(as_lines(events), readings, EVERY, **PARTS, n=TAIL, n_monitor=MONITOR_TAIL)
+    return naive(whole, "tick_ts", "monitor_ts")
+
+
 # ---- streams ----
 
 
@@ -242,18 +295,17 @@ def _finish(started):
     started.awaitTermination()
 
 
-@query(f"""
-    SELECT * FROM ({HEARTBEAT_SQL}) h
-    WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+@query(f"SELECT * FROM ({HEARTBEAT_SQL}) h")
 def stream_heartbeat(spark, folder):
-    """Closed windows of a stream, appended to a report."""
-    path = fresh_dir(spark, "heartbeat")
+    """All windows of a stream: closed ones as they are appended to a report, the last ones from its state."""
+    path, state = fresh_dir(spark, "heartbeat"), fresh_dir(spark, "heartbeat-state")
     snapshots = monitor.heartbeat(
         as_lines(_event_stream(spark, folder)), "5 minutes", watermark="10 minutes",
         extra=monitor.snapshot_parts(**PARTS),
     )
-    _finish(files.append_report(snapshots, path, fresh_dir(spark, "heartbeat-state")))
-    return naive(spark.read.parquet(path), "window_start", "window_end", "last_ts")
+    _finish(files.append_report(snapshots, path, state))
+    files.finish_report(spark, path, state, monitor.SNAPSHOT_STATE)
+    return naive(files.read_report(spark, path), "window_start", "window_end", "last_ts")
 
 
 @query(f"SELECT * FROM ({METRICS_SQL}) m")
@@ -281,14 +333,17 @@ def stream_dataset(spark, folder):
 
 
 @query("""
-    SELECT user_id::VARCHAR AS source, max(ts) AS last_ts,
-           CASE WHEN epoch_ms(max(ts)) + 1200000 < (SELECT epoch_ms(max(ts)) FROM events)
+    SELECT c_custkey::VARCHAR AS source, last_ts,
+           CASE WHEN last_ts IS NULL THEN 'MISSING'
+                WHEN epoch_ms(last_ts) + 1200000 < (SELECT epoch_ms(max(ts)) FROM events)
                 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status
-    FROM events GROUP BY user_id""")
+    FROM customer LEFT JOIN (SELECT user_id, max(ts) AS last_ts FROM events GROUP BY user_id) e
+      ON c_custkey = user_id""")
 def stream_liveness(spark, folder):
-    """Each user's status once the stream is read to its end."""
+    """Each customer's status once the stream is read to its end."""
     path = fresh_dir(spark, "liveness")
-    reports = liveness.liveness_stream(_event_stream(spark, folder), "user_id")
+    expected = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
+    reports = liveness.liveness_stream(_event_stream(spark, folder), "user_id", expected)
     _finish(files.append_report(reports, path, fresh_dir(spark, "liveness-state")))
     return naive(liveness.latest_status(spark.read.parquet(path)), "last_ts")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunewright.operators.split import mark_smallest
+from tunewright.session import ROCKSDB, setting
 
 
 def read_stream(
@@ -36,7 +37,59 @@ def append_report(stream: DataFrame, path: str, checkpoint: str, every: str | No
         .option("checkpointLocation", checkpoint)
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    with setting(stream.sparkSession, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
+        return writer.trigger(**trigger).start()
+
+
+#: Fields of the state that an aggregate keeps, and its value from them.
+KEPT = {
+    "last": (1, lambda field: field(0)),  # count, sum, min, max and the like: the value itself
+    "by": (2, lambda field: field(0)),  # max_by, min_by: the value, and what it is ordered by
+    "mean": (2, lambda field: field(0) / field(1)),  # avg: the sum and the count
+}
+
+
+def open_windows(spark: SparkSession, checkpoint: str, aggregates: dict[str, str], window: str = "window") -> DataFrame:
+    """The windows that a stopped stream of snapshots holds in its state: the groups that it has not appended yet.
+
+    `aggregates` names the stream's aggregates in their order, each with its form of state, a key of
+    `KEPT`. State is read by as many tasks as it has partitions.
+    """
+    state = spark.read.format("statestore").option("path", checkpoint).load()
+    key, value = state.schema["key"].dataType, state.schema["value"].dataType
+    kinds = [f.dataType.simpleString() for f in value.fields]
+    if len(kinds) != sum(KEPT[kind][0] for kind in aggregates.values()):
+        raise ValueError(f"the state holds {len(kinds)} fields, which are not those of {aggregates}")
+    # names of the state's fields repeat, so they are told apart by place
+    values = F.col("value").cast(f"struct<{', '.join(f'f{i}: {kind}' for i, kind in enumerate(kinds))}>")
+    named, at = {}, 0
+    for name, kind in aggregates.items():
+        width, result = KEPT[kind]
+        named[name] = result(lambda i, at=at: F.col(f"_value.f{at + i}")).alias(name)
+        at += width
+    by = [F.col(f"key.`{f.name}`").alias(f.name) for f in key.fields if f.name != window]
+    ends = [F.col(f"key.`{window}`.{end}").alias(f"window_{end}") for end in ("start", "end")]
+    return state.withColumn("_value", values).select(*by, *ends, *named.values())
+
+
+def finish_report(spark: SparkSession, path: str, checkpoint: str, aggregates: dict[str, str]) -> None:
+    """Add the windows that are open after the last batch to a report of `append_report`, beside its files.
+
+    They replace those of an earlier finish, so that finishing twice adds nothing. The stream may go on
+    from its checkpoint: what it appends later counts before what was open.
+    """
+    open_windows(spark, checkpoint, aggregates).write.mode("overwrite").parquet(_open_path(path))
+
+
+def _open_path(path: str) -> str:
+    return f"{path.rstrip('/')}-open"
+
+
+def read_report(spark: SparkSession, path: str, keys: tuple[str, ...] = ("window_start",)) -> DataFrame:
+    """All windows of a finished report, each once: appended ones, and those open at the finish and not appended since."""
+    closed, still = spark.read.parquet(path), spark.read.parquet(_open_path(path))
+    same = [still[key].eqNullSafe(closed[key]) for key in keys]
+    return closed.unionByName(still.join(closed.select(*keys), same, "left_anti"))
 
 
 def sync_metrics(stream: DataFrame, path: str, checkpoint: str, final: bool = False):

@@ -1,82 +1,126 @@
-"""Liveness of sources in a stream: silence is noticed by an event-time timeout."""
+"""Liveness of sources in a stream: silence is noticed by an event-time timer per source."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tunewright.constants import LIVE_SECONDS
 
+REPORT = "source STRING, last_us BIGINT, status STRING"
+
+
 def newest_per_source(stream: DataFrame, source: str, ts: str = "ts") -> DataFrame:
-    """Each Arrow batch reduced to one row per source, so that a busy source is not shuffled whole.
+    """Each Arrow batch reduced to a row per source (source, last_us, clock), so that a busy source is not shuffled whole.
 
-    Times go through Python as microseconds, which no time zone changes.
+    `clock` is the batch's newest time on one row more, which moves the watermark; on the others it
+    is null. A null time is never behind the watermark, so a source is heard however late its rows come.
     """
 
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.groupby("source", as_index=False, dropna=False)["last_us"].max()
+            heard = pa.Table.from_batches([batch]).group_by("source").aggregate([("last_us", "max")])
+            heard = heard.select(["source", "last_us_max"]).rename_columns(["source", "last_us"])
+            heard = heard.filter(pc.is_valid(heard["last_us"]))
+            if heard.num_rows:
+                newest = heard.sort_by([("last_us", "descending")]).slice(0, 1)
+                rows = pa.concat_tables([heard, newest]).combine_chunks()
+                clock = pa.array([None] * heard.num_rows + newest["last_us"].to_pylist(), pa.int64())
+                yield from rows.append_column("clock_us", clock).to_batches()
 
     narrow = stream.select(
         F.col(source).cast("string").alias("source"),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("last_us"),
     )
-    reduced = narrow.mapInPandas(reduce, "source STRING, last_us BIGINT")
-    return reduced.withColumn("last_ts", F.timestamp_micros("last_us"))
+    reduced = narrow.mapInArrow(reduce, "source STRING, last_us BIGINT, clock_us BIGINT")
+    return reduced.select("source", "last_us", F.timestamp_micros("clock_us").alias("clock"))
 
 
-def liveness_stream(
-    stream: DataFrame, source: str, limit: int = LIVE_SECONDS, delay: str = "0 seconds"
-) -> DataFrame:
-    """A row whenever a source is heard from (ACTIVE) and when it falls silent (INACTIVE).
+class Silence(StatefulProcessor):
+    """Keeps a source's newest time and a timer for when its silence has lasted too long.
 
-    A source is silent once the watermark passes its last row by more than `limit` seconds.
+    An expected source has a timer from the start, that tells that it is missing unless it is heard
+    before. A source that fell silent, or was told missing, keeps no state.
     """
-    limit_ms = limit * 1000
-
-    def track(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        name = key[0]
-        if state.hasTimedOut:
-            last = state.get[0]
-            state.remove()
-            yield row(name, last, "INACTIVE")
+
+    def __init__(self, limit: int):
+        self.limit_ms = limit * 1000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "last_us BIGINT")
+
+    def _due(self, last: int) -> int:
+        return last // 1000 + self.limit_ms
+
+    def _stop(self) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.handle.registerTimer(1)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        heard = max(int(batch["last_us"].max()) for batch in rows)
+        known = self.last.get()[0] if self.last.exists() else None
+        if known is not None and heard <= known:
             return
-        last = state.get[0] if state.exists else 0
-        for batch in batches:
-            last = max(last, int(batch["last_us"].max()))
-        due = last // 1000 + limit_ms
-        if due < state.getCurrentWatermarkMs():
-            if state.exists:
-                state.remove()
-            yield row(name, last, "INACTIVE")
+        self._stop()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        if known is not None and self._due(known) < watermark:
+            yield self._row(key, known, "INACTIVE")  # it was silent, and comes back before its timer is looked at
+        if self._due(heard) < watermark:
+            self.last.clear()
+            yield self._row(key, heard, "INACTIVE")
+            return
+        self.last.update((heard,))
+        self.handle.registerTimer(self._due(heard) + 1)
+        yield self._row(key, heard, "ACTIVE")
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.last.exists():
+            yield self._row(key, None, "MISSING")
             return
-        state.update((last,))
-        state.setTimeoutTimestamp(due)
-        yield row(name, last, "ACTIVE")
+        last = self.last.get()[0]
+        self.last.clear()
+        yield self._row(key, last, "INACTIVE")
+
+    def _row(self, key, last: int | None, status: str) -> pd.DataFrame:
+        return pd.DataFrame({"source": [key[0]], "last_us": pd.array([last], "Int64"), "status": [status]})
+
+    def close(self) -> None:
+        pass
 
-    def row(name, last, status):
-        return pd.DataFrame({"source": [name], "last_us": [last], "status": [status]})
 
+def liveness_stream(
+    stream: DataFrame, source: str, expected: DataFrame | None = None, limit: int = LIVE_SECONDS, delay: str = "0 seconds"
+) -> DataFrame:
+    """A row whenever a source is heard from with a newer time (ACTIVE), and when it falls silent (INACTIVE).
+
+    A source is silent once the newest time of all, less `delay`, passes its last row by more than
+    `limit` seconds. Rows may come in any order: those of a source that is long silent by then are
+    reported INACTIVE at once. `expected` is a table with the column `source`; what it lists and no row has named
+    yet is MISSING. State is a number per live source. Start the stream with RocksDB as state store.
+    """
+    expected_sources = None
+    if expected is not None:
+        expected_sources = expected.select(F.col(source).cast("string").alias("source")).distinct().groupBy("source")
     tracked = (
         newest_per_source(stream, source)
-        .withWatermark("last_ts", delay)
+        .withWatermark("clock", delay)
         .groupBy("source")
-        .applyInPandasWithState(
-            track,
-            "source STRING, last_us BIGINT, status STRING",
-            "last_us BIGINT",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
+        .transformWithStateInPandas(Silence(limit), REPORT, "Append", "EventTime", expected_sources)
     )
     return tracked.select("source", F.timestamp_micros("last_us").alias("last_ts"), "status")
 
 
 def latest_status(reports: DataFrame) -> DataFrame:
-    """Each source's newest report; silence wins over activity of the same time."""
+    """Each source's newest report; silence wins over activity of the same time, any report over MISSING."""
     newest = F.max_by("status", F.struct("last_ts", F.col("status") == "INACTIVE"))
     return reports.groupBy("source").agg(F.max("last_ts").alias("last_ts"), newest.alias("status"))
