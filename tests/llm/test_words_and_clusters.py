@@ -115,6 +115,7 @@ def test_ids_and_texts_are_the_library_s(docs, monkeypatch):
         (str(k), len(ids), ids, known.decode(ids, skip_special_tokens=False)) for k, ids in want
     )
     assert word_table.round_trip(docs([]), BYTE_BPE).collect() == []
+    assert [tuple(r) for r in word_table.round_trip(docs([(1, None)]), BYTE_BPE).collect()] == [(1, 0, [], "")]
 
 
 def test_digests(docs):

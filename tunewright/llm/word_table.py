@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -17,8 +18,10 @@ from tunewright.llm.bpe_count import PATTERN, byte_symbols
 from tunewright.llm.common import Memo, bucketed, prepare
 
 #: A chunk of documents shares one list of words; it ends with so many letters or distinct words.
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 8_000_000
 CHUNK_WORDS = 1 << 20
+#: Rows of one output batch.
+ROWS = 1000
 #: Words of up to so many letters whose ids a task remembers.
 KNOWN_WORDS, LONG_WORD = 500_000, 64
 #: Ids go in 16 bits, less this.
@@ -118,57 +121,80 @@ def _unpacked(words: bytes, sizes: bytes) -> list[str]:
     return [whole[a:b].decode() for a, b in zip([0, *ends], ends)]
 
 
+class Chunk:
+    """Documents as the numbers of their words, and the distinct words of all of them."""
+
+    def __init__(self, number: int):
+        self.number, self.chars, self.numbers = number, 0, Numbers()
+        self.keys: list[pa.Array] = []
+        self.codes: list[np.ndarray] = []
+
+    def add(self, key: pa.Array, text: str | None, split) -> None:
+        found = split(text or "")
+        self.chars += len(text or "")
+        self.keys.append(key)
+        self.codes.append(np.fromiter(map(self.numbers.__getitem__, found), np.uint32, len(found)))
+        if len(self.numbers) > 1 << 24:
+            raise ValueError("a text has more than 2^24 distinct words")
+
+    def rows(self, slots: int, fields: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """Rows of documents, then a row of words for each slot.
+
+        Words are numbered anew by (power of two of their count, slot, word): frequent ones first, whose
+        numbers compress well, and the words of a slot in runs of numbers that are told by their first ones.
+        """
+        known = list(self.numbers)
+        counts = np.bincount(np.concatenate([*self.codes, np.zeros(0, np.uint32)]), minlength=len(known))
+        slot = np.fromiter((zlib.crc32(w.encode()) % slots for w in known), np.int64, len(known))
+        rare = 64 - np.frexp(counts)[1].astype(np.int64)
+        order = np.array(sorted(range(len(known)), key=known.__getitem__), np.int64)
+        order = order[np.lexsort((slot[order], rare[order]))]
+        final = np.empty(len(known), np.uint32)
+        final[order] = np.arange(len(known))
+        codes = [_planes(final[c]) for c in self.codes]
+        self.codes.clear()
+        for at in range(0, len(codes), ROWS):
+            some = codes[at : at + ROWS]
+            none = [pa.nulls(len(some), fields.field(i).type) for i in range(3, 7)]
+            keys = pa.concat_arrays(self.keys[at : at + ROWS])
+            yield pa.RecordBatch.from_arrays([pa.array([self.number] * len(some), pa.int64()), keys, pa.array(some, pa.binary()), *none], schema=fields)
+        rows = []
+        by_slot = np.argsort(slot[order], kind="stable")
+        for mine in np.split(by_slot, np.flatnonzero(np.diff(slot[order][by_slot])) + 1):
+            if len(mine):
+                starts = np.concatenate([[0], np.flatnonzero(np.diff(mine) != 1) + 1])
+                runs = np.stack([mine[starts], np.diff([*starts, len(mine)])]).astype("<u4")
+                rows.append((self.number, int(slot[order[mine[0]]]), runs.tobytes(), *_packed([known[i] for i in order[mine].tolist()])))
+        columns = list(zip(*rows)) or [()] * 5
+        first, *rest = [pa.array(c, fields.field(i).type) for c, i in zip(columns, (0, 3, 4, 5, 6))]
+        none = [pa.nulls(len(rows), fields.field(i).type) for i in (1, 2)]
+        yield pa.RecordBatch.from_arrays([first, *none, *rest], schema=fields)
+
+
 def _coded(tokenizer: str, key_type: pa.DataType, slots: int):
-    """Batches of (key, text) to rows of documents (chunk, key, codes) and of words (chunk, slot, nos, words, sizes).
+    """Batches of (key, text) to rows of documents (chunk, key, codes) and of words (chunk, slot, runs, words, sizes).
 
-    A text becomes the numbers of its words, in their order. The distinct words of a chunk are
-    written once, a row for each slot that a hash deals them to. Chunks are numbered within the task, so a
-    task run again writes the same.
+    Chunks are numbered within the task, so a task run again writes the same.
     """
-    fields = pa.schema(
-        [("chunk", pa.int64()), ("key", key_type), ("codes", pa.binary()), ("slot", pa.int32()), ("nos", pa.binary()), ("words", pa.binary()), ("sizes", pa.binary())]
-    )
+    kinds = (pa.int64(), key_type, pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    fields = pa.schema(list(zip(["chunk", "key", "codes", "slot", "runs", "words", "sizes"], kinds)))
 
     def run(batches):
         split = vocabulary(tokenizer).words
-        chunk = TaskContext.get().partitionId() << 32
-        numbers, chars = Numbers(), 0
-
-        def table():
-            known = list(numbers)
-            slot = np.fromiter((zlib.crc32(w.encode()) % slots for w in known), np.int64, len(known))
-            rows = []
-            for at in np.unique(slot).tolist():
-                nos = np.flatnonzero(slot == at)
-                nos = np.array(sorted(nos.tolist(), key=known.__getitem__))  # neighbours in order are alike
-                rows.append((chunk, at, _planes(nos), *_packed([known[i] for i in nos.tolist()])))
-            columns = list(zip(*rows)) or [()] * 5
-            none = pa.nulls(len(rows), key_type), pa.nulls(len(rows), pa.binary())
-            kinds = [fields.field(i).type for i in (0, 3, 4, 5, 6)]
-            first, *rest = [pa.array(c, t) for c, t in zip(columns, kinds)]
-            return pa.RecordBatch.from_arrays([first, *none, *rest], schema=fields)
-
+        chunk = Chunk(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            chunks, codes = [], []
-            for text in batch.column(1).to_pylist():
-                if chars >= CHUNK_CHARS or len(numbers) >= CHUNK_WORDS:
-                    yield table()
-                    chunk, numbers, chars = chunk + 1, Numbers(), 0
-                found = split(text or "")
-                chars += len(text or "")
-                chunks.append(chunk)
-                codes.append(_planes(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))))
-                if len(numbers) > 1 << 24:
-                    raise ValueError("a text has more than 2^24 distinct words")
-            none = [pa.nulls(len(chunks), fields.field(i).type) for i in range(3, 7)]
-            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), batch.column(0), pa.array(codes, pa.binary()), *none], schema=fields)
-        yield table()
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                if chunk.chars >= CHUNK_CHARS or len(chunk.numbers) >= CHUNK_WORDS:
+                    yield from chunk.rows(slots, fields)
+                    chunk = Chunk(chunk.number + 1)
+                chunk.add(batch.column(0).slice(i, 1), text, split)
+        yield from chunk.rows(slots, fields)
 
     return run
 
 
 def _encoded(tokenizer: str):
-    """Rows (chunk, nos, words, sizes) of one slot to (chunk, nos, lengths, ids): ids one after the other, less 32,768.
+    """Rows (chunk, runs, words, sizes) of one slot to (chunk, runs, lengths, ids): ids one after the other, less 32,768.
 
     All rows that hold a word are in one partition, so it is encoded once; again only where more
     words than a `Memo` holds came since.
@@ -183,12 +209,22 @@ def _encoded(tokenizer: str):
                 lengths.append(_sizes(each))
                 ids.append((np.fromiter(chain.from_iterable(each), np.int64) - LOWEST).astype(np.int16))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(lengths, pa.binary()), pa.array(ids, pa.list_(pa.int16()))], ["chunk", "nos", "lengths", "ids"]
+                [batch.column(0), batch.column(1), pa.array(lengths, pa.binary()), pa.array(ids, pa.list_(pa.int16()))], ["chunk", "runs", "lengths", "ids"]
             )
 
     return run
 
 
+def _spelled(pieces_in_order: pa.BinaryArray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The bytes of each word, whose pieces follow each other."""
+    if not len(pieces_in_order):
+        return []
+    _, offsets, data = pieces_in_order.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[: len(pieces_in_order) + 1]
+    whole = data.to_pybytes() if data else b""
+    return [whole[a:b] for a, b in zip(bounds[starts].tolist(), bounds[ends].tolist())]
+
+
 def _joined(key: str):
     """Documents of a chunk and the tokens of its words, with their pieces, to (key, n_tokens, ids, decoded)."""
 
@@ -196,34 +232,34 @@ def _joined(key: str):
         part, pos = tokens.column("part").to_numpy(), tokens.column("pos").to_numpy()
         order = np.lexsort((pos, part))
         flat = tokens.column("token").to_numpy()[order]
-        pieces_in_order = tokens.column("piece").take(pa.array(order)).to_pylist()
         # a part's first token brings the numbers of its words and how many tokens each has
         heads = np.flatnonzero(pos == 0)
-        heads = heads[np.argsort(part[heads])]
-        nos = [_unplaned(x) for x in tokens.column("nos").take(pa.array(heads)).to_pylist()]
-        sizes = [np.frombuffer(zlib.decompress(x), "<u4") for x in tokens.column("lengths").take(pa.array(heads)).to_pylist()]
-        number = np.concatenate([*nos, np.zeros(0, np.int64)])
-        size = np.concatenate([*sizes, np.zeros(0, "<u4")]).astype(np.int64)
+        heads = pa.array(heads[np.argsort(part[heads])])
+        runs = [np.frombuffer(x, "<u4").reshape(2, -1).T.tolist() for x in tokens.column("runs").take(heads).to_pylist()]
+        number = np.concatenate([np.zeros(0, np.int64), *(np.arange(a, a + n) for each in runs for a, n in each)])
+        sizes = [np.frombuffer(zlib.decompress(x), "<u4") for x in tokens.column("lengths").take(heads).to_pylist()]
+        size = np.concatenate([np.zeros(0, "<u4"), *sizes]).astype(np.int64)
         ends = np.cumsum(size)
         starts, counts = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
         starts[number], counts[number] = ends - size, size
-        said = [b"".join(pieces_in_order[a : a + n]) for a, n in zip(starts.tolist(), counts.tolist())]
-        del pieces_in_order
-        ids, texts, totals = [], [], []
-        for planes in documents.column("codes").to_pylist():
-            codes = _unplaned(planes)
-            each = counts[codes] if len(codes) else np.zeros(0, np.int64)
-            ends = np.cumsum(each)
-            total = int(ends[-1]) if len(ends) else 0
+        said = _spelled(tokens.column("piece").combine_chunks().take(pa.array(order)), starts, starts + counts)
+        del tokens, order, part, pos
+        codes = [_unplaned(planes) for planes in documents.column("codes").to_pylist()]
+        totals = np.array([counts[c].sum() for c in codes], np.int64)
+        ids, at = np.empty(int(totals.sum()), np.int32), 0
+        texts = []
+        for c, total in zip(codes, totals.tolist()):
+            each = counts[c]
             # token t of a word that starts at s is at s + t of the flat ids
-            ids.append(flat[np.arange(total) + np.repeat(starts[codes] - ends + each, each)] if total else flat[:0])
-            texts.append(b"".join(map(said.__getitem__, codes.tolist())).decode("utf-8", "replace"))
-            totals.append(total)
+            ids[at : at + total] = flat[np.arange(total) + np.repeat(starts[c] - np.cumsum(each) + each, each)]
+            texts.append(b"".join(map(said.__getitem__, c.tolist())).decode("utf-8", "replace"))
+            at += total
+        bounds = pa.array(np.concatenate([[0], np.cumsum(totals)]).astype(np.int32))
         return pa.table(
             {
                 key: documents.column("key"),
-                "n_tokens": pa.array(totals, pa.int64()),
-                "ids": pa.array(ids, pa.list_(pa.int32())),
+                "n_tokens": pa.array(totals),
+                "ids": pa.ListArray.from_arrays(bounds, pa.array(ids)),
                 "decoded": pa.array(texts, pa.string()),
             }
         )
@@ -249,17 +285,17 @@ def round_trip(documents: DataFrame, tokenizer: str, key: str = "doc_id", text:
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     coded = rows.mapInArrow(
         _coded(tokenizer, _arrow_type(rows), buckets),
-        f"chunk long, key {kind.simpleString()}, codes binary, slot int, nos binary, words binary, sizes binary",
+        f"chunk long, key {kind.simpleString()}, codes binary, slot int, runs binary, words binary, sizes binary",
     )
     coded = bucketed(coded, "codes", "chunk", buckets)
-    words = coded.where("slot IS NOT NULL").select("slot", "chunk", "nos", "words", "sizes").repartition("slot").drop("slot")
-    ids = words.mapInArrow(_encoded(tokenizer), "chunk long, nos binary, lengths binary, ids array<smallint>").repartition(buckets, "chunk")
+    words = coded.where("slot IS NOT NULL").select("slot", "chunk", "runs", "words", "sizes").repartition("slot").drop("slot")
+    ids = words.mapInArrow(_encoded(tokenizer), "chunk long, runs binary, lengths binary, ids array<smallint>").repartition(buckets, "chunk")
     numbered = ids.withColumn("part", F.monotonically_increasing_id())
-    part = numbered.select("chunk", "nos", "lengths", "part", F.posexplode("ids").alias("pos", "token"))
+    part = numbered.select("chunk", "runs", "lengths", "part", F.posexplode("ids").alias("pos", "token"))
     first = F.col("pos") == 0
     tokens = part.select(
         "chunk", "part", "pos", (F.col("token").cast("int") + LOWEST).alias("token"),
-        F.when(first, F.col("nos")).alias("nos"), F.when(first, F.col("lengths")).alias("lengths"),
+        F.when(first, F.col("runs")).alias("runs"), F.when(first, F.col("lengths")).alias("lengths"),
     )
     named = tokens.join(F.broadcast(pieces(spark, tokenizer).withColumnRenamed("id", "token")), "token")
     texts = coded.where("codes IS NOT NULL").select("chunk", "key", "codes")
