@@ -77,8 +77,7 @@ def test_dual_descent_lowers_the_hinge_loss():
     rnd = np.random.default_rng(1)
     rows = [np.unique(rnd.integers(0, 40, 6)) + (0 if i % 2 else 20) for i in range(60)]
     labels = np.array([i % 2 for i in range(60)])
-    values = [np.ones(len(r)) for r in rows]
-    weights = quality.dual_coordinate_descent(rows, values, labels, cost=1.0, rounds=30)
+    weights = quality.dual_coordinate_descent(rows, np.ones(quality.SIZE) * np.sqrt(6), labels, cost=1.0, rounds=30)
     margins = [(1 if y else -1) * weights[r].sum() for r, y in zip(rows, labels)]
     assert np.mean(np.array(margins) > 0) > 0.85
 

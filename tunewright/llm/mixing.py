@@ -68,7 +68,7 @@ def mix(documents: DataFrame, key: str = "doc_id", source: str = "source", text:
     over all sources and taken while their running total is within the budget, the sum of all sizes.
     Both sums are made in two steps, pieces of bounded number first, so no source and no time is one task.
 
-    sized: (row, key, size, source, source_size, target). order: (row, copy, finish, size). Null
+    sized: (row, key, size, source, source_size, target). order: (row, key, draw, source, copy, finish, size, position). Null
     texts and empty ones have size 0 and are never taken; repeated rows queue one by one; null keys
     and null sources are like others; extra columns are not read; an empty table gives an empty mix.
     """
@@ -112,7 +112,7 @@ def mix(documents: DataFrame, key: str = "doc_id", source: str = "source", text:
         turns.withColumn("sofar", F.sum("size").over(within))
         .join(spans, "span")
         .where(F.col("ahead") + F.col("sofar") <= budget)
-        .select("row", "copy", "finish", "size", (F.col("ahead") + F.col("sofar")).alias("position"))
+        .select("row", "key", "draw", "source", "copy", "finish", "size", (F.col("ahead") + F.col("sofar")).alias("position"))
     )
     return sized, order
 
@@ -126,26 +126,40 @@ def mixed_sizes(documents: DataFrame, key: str = "doc_id", **names) -> DataFrame
     )
 
 
-def take_mix(documents: DataFrame, key: str = "doc_id", source: str = "source", **names) -> DataFrame:
+def take_mix(documents: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = 42, **names) -> DataFrame:
     """The documents of the mix with all their columns, each as many times as it is taken.
 
-    Rows of one key and source share the times that they are taken as evenly as can be.
+    Of a source, the mix takes the documents up to one place of its last copy, and one copy less of
+    those after it. That place is found over numbers; documents are kept by comparing their key's draw with
+    it, without a shuffle. Only rows with the very key of the place are numbered, those of fewer words first.
+
+    Null texts and those without words are never taken; repeated rows are taken one by one; null keys
+    and null sources are like others; columns of any name pass through; an empty table gives an empty one.
     """
-    sized, order = mix(documents, key, source, **names)
-    took = (
-        sized.join(order.groupBy("row").agg(F.count("*").alias("n")), "row", "left")
-        .groupBy(F.col("key").alias("_key"), F.col("source").alias("_source"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_times"), F.count("*").alias("_rows"))
-        .where("_times > 0")
-    )
-    met = documents.join(
-        staged(took, "taken"), documents[key].eqNullSafe(F.col("_key")) & documents[source].eqNullSafe(F.col("_source"))
-    )
-    lone = met.where("_rows = 1").withColumn("_n", F.col("_times").cast("int"))
-    number = F.row_number().over(Window.partitionBy("_key", "_source").orderBy("_times"))
-    shared = met.where("_rows > 1").withColumn(
-        "_n", (F.expr("_times div _rows") + (number <= F.col("_times") % F.col("_rows")).cast("int")).cast("int")
+    _, order = mix(documents, key, source, text, seed=seed, **names)
+    place = F.struct("copy", "draw", "key")
+    order = staged(order.select("source", place.alias("place")), "order")
+    last = order.groupBy("source").agg(F.max("place").alias("place"))
+    cuts = order.alias("o").join(last.alias("l"), F.col("o.source").eqNullSafe(F.col("l.source")) & F.col("o.place").eqNullSafe(F.col("l.place")))
+    cuts = cuts.groupBy(F.col("l.source").alias("source"), F.col("l.place").alias("place")).agg(F.count("*").alias("at_cut"))
+    cuts = staged(cuts, "cuts")
+    if cuts.count() <= BROADCAST_SOURCES:
+        cuts = F.broadcast(cuts)
+    rows = documents.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.col(source).alias("of"), _draw(key, seed).alias("draw"), F.col(text).alias("said"))
+    met = rows.where(F.rlike("said", F.lit(WORDS))).join(cuts, F.col("of").eqNullSafe(F.col("source")))
+    mine, there = F.struct("draw", "key"), F.struct("place.draw", "place.key")
+    met = met.select("row", "place.copy", "at_cut", "source", n_words("said").alias("size"), (mine < there).alias("before"), mine.eqNullSafe(there).alias("at"))
+    sure = met.where("NOT at").select("row", (F.col("copy") + F.col("before").cast("int")).alias("times"))
+    # rows at the cut: numbered within what one task of one write has of one size, after the counts of those before
+    cut = staged(met.where("at").withColumn("task", F.spark_partition_id()), "at_cut")
+    cells = cut.groupBy("source", "size", "task").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("source").orderBy("size", "task").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(
+        F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("task").alias("_task"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead")
     )
-    return lone.unionByName(shared).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_n"))).where("_copy <= _n").select(
-        [documents[c] for c in documents.columns]
+    inside = F.row_number().over(Window.partitionBy("source", "size", "task").orderBy(F.lit(0)))
+    numbered = cut.withColumn("number", inside).join(
+        cells, F.col("source").eqNullSafe(F.col("_source")) & (F.col("size") == F.col("_size")) & (F.col("task") == F.col("_task"))
     )
+    tied = numbered.select("row", (F.col("copy") + (F.col("ahead") + F.col("number") <= F.col("at_cut")).cast("int")).alias("times"))
+    return sure.unionByName(tied).where("times > 0").select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")

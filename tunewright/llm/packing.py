@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_right, insort
@@ -25,6 +26,8 @@ END_ID = 1
 #: Runs between spaces that an encoder remembers, twice over, and that it encodes at once.
 CACHED_RUNS = 300_000
 RUNS_AT_ONCE = 20_000
+#: Longer runs are forgotten at once.
+LONG_RUN = 64
 #: What only Python takes for white space; a text with it is split at blanks and line ends alone.
 _ODD = re.compile("[\x1c-\x1f]")
 _SPACES = re.compile(r"[ \t\n\r]+")
@@ -46,6 +49,12 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            said = json.load(file)
+        steps = [s.get("type") for s in (said.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        if steps != ["NFC", "Replace", "Lowercase"] or cuts[0].get("type") != "Split" or cuts[0].get("behavior") != "Removed" or said.get("post_processor"):
+            raise ValueError(f"{path} does not lower-case texts and drop white space")
         self.tokenizer = Tokenizer.from_file(path)
         self.runs: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -68,7 +77,21 @@ class Encoder:
         kept = wanted.intersection(self.older)
         self.runs.update((run, self.older[run]) for run in kept)
         self._learn(list(wanted - kept))
-        return [b"".join(map(self.runs.__getitem__, runs)) for runs in split]
+        ids = [b"".join(map(self.runs.__getitem__, runs)) for runs in split]
+        for run in wanted:
+            if len(run) > LONG_RUN:
+                del self.runs[run]
+        return ids
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One per worker process and path, so that later tasks know the runs of earlier ones."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 class Packer:
@@ -227,7 +250,7 @@ def pack_documents(
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = Encoder(tokenizer), Packer(tiers)
+        encode, packer = encoder(tokenizer), Packer(tiers)
         first = TaskContext.get().partitionId() << 40
 
         def table(rows):

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,22 +92,25 @@ def log_count_ratios(rows: list[np.ndarray], labels: np.ndarray, alpha: float =
 
 
 def dual_coordinate_descent(
-    rows: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, cost: float = 0.1, rounds: int = 8, seed: int = 7
+    rows: list[np.ndarray], ratios: np.ndarray, labels: np.ndarray, cost: float = 0.1, rounds: int = 8, seed: int = 7
 ) -> np.ndarray:
-    """Hinge-loss weights: one dual variable a row, boxed in [0, cost of its class], updated in turn."""
+    """Hinge-loss weights: one dual variable a row, boxed in [0, cost of its class], updated in turn.
+
+    A row has the value ratio / sqrt(length) in each of its features; values are made when they are needed.
+    """
     weights = np.zeros(SIZE)
     signs = np.where(labels == 1, 1.0, -1.0)
     share = max(np.mean(signs > 0), 1e-9)
     costs = np.where(signs > 0, cost * 0.5 / share, cost * 0.5 / max(1 - share, 1e-9))
     alphas = np.zeros(len(rows))
-    norms = [float(v @ v) for v in values]
     draw = np.random.default_rng(seed)
     for _ in range(rounds):
         for i in draw.permutation(len(rows)):
-            slack = signs[i] * (weights[rows[i]] @ values[i]) - 1
-            new = min(max(alphas[i] - slack / max(norms[i], 1e-12), 0.0), costs[i])
+            values = ratios[rows[i]] / np.sqrt(len(rows[i]))
+            slack = signs[i] * (weights[rows[i]] @ values) - 1
+            new = min(max(alphas[i] - slack / max(float(values @ values), 1e-12), 0.0), costs[i])
             if new != alphas[i]:
-                weights[rows[i]] += (new - alphas[i]) * signs[i] * values[i]
+                weights[rows[i]] += (new - alphas[i]) * signs[i] * values
                 alphas[i] = new
     return weights
 
@@ -125,20 +129,18 @@ def _calibrate(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def fit(texts: list[str | None], labels: list[int]) -> Model:
-    """The classifier of some labelled texts; with one class only, a constant score."""
+def fit(rows: list[np.ndarray], labels: list[int]) -> Model:
+    """The classifier of the features of some labelled texts; with one class only, a constant score."""
     labels = np.asarray(labels)
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(SIZE), 0.0, 4.0 if len(labels) == 0 or labels[0] == 1 else -4.0)
-    rows = [features(text) for text in texts]
     fold = np.arange(len(rows)) % 5 == 4
     if len(set(labels[fold].tolist())) < 2:
         fold[:] = False
     inner = [i for i in range(len(rows)) if not fold[i]]
     kept = [rows[i] for i in inner]
     ratios = log_count_ratios(kept, labels[inner])
-    values = [ratios[r] / np.sqrt(len(r)) for r in kept]
-    weights = dual_coordinate_descent(kept, values, labels[inner]) * ratios
+    weights = dual_coordinate_descent(kept, ratios, labels[inner]) * ratios
     model = Model(weights, 1.0, 0.0)
     held = np.flatnonzero(fold) if fold.any() else np.arange(len(rows))
     model.slope, model.offset = _calibrate(np.array([model.margin(rows[i]) for i in held]), labels[held])
@@ -151,21 +153,26 @@ def train(
     """Fit on labelled rows whose crc32(key) mod 5 is not 0, at most about `fit_rows` of them.
 
     More labelled rows than that are thinned by a hash of the key. The sample is joined as the small
-    side (its size has that bound), its texts are read whole. Null labels and null keys are left out;
-    repeated labels count as often as they occur.
+    side (its size has that bound), its texts are read whole by the executors; the driver gets the
+    features of each, 2^18 numbers of 32 bits at most. Null labels and null keys are left out; repeated
+    labels count as often as they occur.
     """
     learn = labels.where(
         f"{label} IS NOT NULL AND {key} IS NOT NULL AND crc32(CAST({key} AS STRING)) % 5 <> 0"
     ).select(F.col(key).alias("_key"), F.col(label).cast("int").alias("_label"))
     share = min(1.0, fit_rows / max(1, learn.count()))
     sample = learn.where(F.pmod(F.xxhash64("_key", F.lit(11)), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = (
-        documents.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-        .join(F.broadcast(sample), "_key")
-        .toPandas()
-        .sort_values(["_key", "_label"], kind="stable")
-    )
-    return fit(rows["_text"].tolist(), rows["_label"].tolist())
+    rows = documents.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(sample), "_key")
+    kind = rows.schema["_key"].dataType.simpleString()
+    found = rows.select("_key", "_label", "_text").mapInArrow(_feature_rows, f"key {kind}, label int, found array<int>").toArrow()
+    found = found.sort_by([("key", "ascending"), ("label", "ascending")]).combine_chunks()
+    return fit([row.values.to_numpy() for row in found.column("found")], found.column("label").to_pylist())
+
+
+def _feature_rows(batches):
+    for batch in batches:
+        found = [features(text).astype(np.int32) for text in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["key", "label", "found"])
 
 
 def score_column(model: Model, text: str = "text"):
