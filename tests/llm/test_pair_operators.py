@@ -63,8 +63,8 @@ def _texts(seed):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("n, percent, seed", [(3, 90, 1), (3, 90, 2), (5, 80, 3), (2, 60, 4)])
-def test_jaccard_classes_are_exact(docs, n, percent, seed):
+@pytest.mark.parametrize("n, percent, seed, few", [(3, 90, 1, 1), (3, 90, 2, 6), (5, 80, 3, 6), (5, 80, 5, 1), (2, 60, 4, 2)])
+def test_jaccard_classes_are_exact(docs, monkeypatch, n, percent, seed, few):
     rows = _texts(seed)
     sets = {i: _set(t, n) for i, t in rows}
     links = [
@@ -72,6 +72,7 @@ def test_jaccard_classes_are_exact(docs, n, percent, seed):
         if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
     ]
     want = _classes(sets, links)
+    monkeypatch.setattr(jaccard, "FEW", few)  # lists of all lengths through leaders, or short ones in pairs
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_classes(docs(rows), n=n, percent=percent).collect()}
     assert got == {i: (len(s), want[i]) for i, s in sets.items()}
 
@@ -107,12 +108,20 @@ def test_long_words_and_segments(monkeypatch):
     whole = [x.tolist() for x in jaccard.shingles([text, None, b"one", text], 3)]
     assert whole[0] == whole[3] and len(whole[1]) == 0 and len(whole[2]) == 1
     monkeypatch.setattr(jaccard, "SEGMENT", 64)
-    jaccard._powers.cache_clear()
+    jaccard._places.cache_clear()
     starts, _ = jaccard.word_hashes(text)
-    jaccard._powers.cache_clear()
+    jaccard._places.cache_clear()
     assert starts.tolist() == [m.start() for m in re.finditer(rb"\S+", text)]
 
 
+def test_words_of_one_polynomial_have_hashes_of_their_own():
+    """Two words that every polynomial modulo 2^64 takes for one."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024)).encode()
+    other = one.translate(bytes.maketrans(b"ab", b"ba"))
+    _, hashes = jaccard.word_hashes(b" " + one + b"  " + other + b" " + one.upper() + b"\t" + b"a" + b" aa aaa ")
+    assert hashes[0] == hashes[2] and len(set(hashes.tolist())) == 5
+
+
 VECTORS = "vec_id LONG, embedding ARRAY<FLOAT>, label INT, id LONG, vector STRING, digest STRING"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunewright.llm.common import staged
+from tunewright.llm.common import release, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -48,4 +48,6 @@ def components(edges: DataFrame) -> DataFrame:
                 now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
             )
         seen = digest
-        now = staged(_small_star(_large_star(now)), "links")
+        then = staged(_small_star(_large_star(now)), "links")
+        release(now)
+        now = then

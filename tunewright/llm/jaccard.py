@@ -7,12 +7,14 @@ The work goes in passes over narrow rows; texts are never shuffled:
    (count of the slot, hash) puts rare ones first and is the same order for every document, which is
    all that prefix filtering needs. A set of size x that overlaps another one enough shares one of
    its first x - ceil(t x) + 1 n-grams with the first ones of the other.
-3. Per prefix n-gram, every member is paired with one leader only, filtered by length, position and
-   suffix, and verified once per pair. Members far from their leader go on to another one, a few times.
-4. Members near one leader that are still in different classes meet by the n-grams in which they
+3. Members of a prefix n-gram that few documents share are paired with each other, filtered by
+   length, position and suffix, and verified once per pair.
+4. Of a prefix n-gram that many share, every member is paired with one leader only, filtered and
+   verified likewise. Members far from their leader go on to another one, a few times.
+5. Members near one leader that are still in different classes meet by the n-grams in which they
    differ from it, again rare first; what no leader was near to meets by its prefix n-grams in full.
 
-A group of thousands of near copies costs one pair a member in step 3, and in step 4 only pairs that
+A group of thousands of near copies costs one pair a member in step 4, and in step 5 only pairs that
 share an edit.
 """
 
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunewright.llm.common import prepare, staged
+from tunewright.llm.common import prepare, release, staged
 from tunewright.llm.components import components
 
 #: Pairs of one leader that are verified together.
@@ -35,9 +37,11 @@ LOT = 256
 BROADCAST_ROWS = 1_000_000
 #: Rounds of leaders.
 ROUNDS = 2
+#: Documents of an n-gram that are paired with each other; of more, each is paired with a leader.
+FEW = 6
 #: A member is near its leader up to so many percent of similarity below the threshold, and the
-#: distances of two that link differ by one minus the threshold at most.
-NEAR = 8
+#: distances of two that link differ by one minus the threshold at most. With low thresholds, none below.
+NEAR, NEAR_FROM = 8, 90
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 
@@ -52,10 +56,9 @@ _BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
 
 
 @lru_cache(1)
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64."""
-    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(SEGMENT, x)])) for x in (_BASE, inverse))
+def _places() -> np.ndarray:
+    """A random odd number for every place in a word."""
+    return np.random.default_rng(4).integers(0, 1 << 64, SEGMENT + 1, np.uint64) | np.uint64(1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -71,14 +74,19 @@ def _segment_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space[1:-1] = _SPACE[data]
     edges = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edges[0::2], edges[1::2]
-    power, inverse = _powers()
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[: len(data)], out=sums[1:])
-    return starts, (sums[ends] - sums[starts]) * inverse[starts]
+    if len(starts):
+        # places count from the start of each word; those of the white space after it do not matter
+        first = int(starts[0])
+        place = np.arange(first, len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
+        np.cumsum(_BYTE[data[first:]] * _places()[place], out=sums[first + 1 :])
+    return starts, _mix(sums[ends] - sums[starts])
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and 64-bit hash of every word: polynomials of its bytes, a word being what no white space cuts.
+    """Start and 64-bit hash of every word: a sum over its bytes of random numbers of byte and place.
+
+    A word is what no white space cuts; two words of one hash would need an unlucky draw of those numbers.
 
     Long data go by segments cut at white space; a word longer than a segment is hashed by its own.
     """
@@ -305,9 +313,9 @@ class Join:
         self.sketches = self.reps.select("id", "size", "bins")
         self.postings = self.reps.select("id", "size", F.posexplode("prefix").alias("pos", "gram"))
 
-    def _with_lead(self, postings: DataFrame) -> DataFrame:
-        """Members of the n-grams that several prefixes share, with the n-gram's leader."""
-        several = postings.groupBy("gram").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1").drop("n")
+    def _shared(self, postings: DataFrame) -> DataFrame:
+        """Members of the n-grams that several prefixes share, with the n-gram's number of members and leader."""
+        several = postings.groupBy("gram").agg(F.count("*").alias("n"), F.min("id").alias("lead")).where("n > 1")
         return staged(postings.join(several, "gram"), "postings")
 
     def _likely(self, pairs: DataFrame, percent: int) -> DataFrame:
@@ -317,15 +325,14 @@ class Join:
         both = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "size_a", "size_b", "bins_a", "bins_b")
         return staged(both.mapInArrow(_sketch_fits(percent), "a long, b long, size_a long, size_b long"), "pairs")
 
-    def _side_by_side(self, pairs: DataFrame, compare, schema: str) -> DataFrame:
-        """The sets of each pair (a, b), made from the texts, through `compare`.
-
-        Pairs are dealt by a, a lot of them together, so that the set of a is shipped once a lot.
-        """
+    def _dealt(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) dealt by a, a lot of them together, so that the set of a is shipped once a lot: (lead, id, salt)."""
         lots = pairs.groupBy("a").agg(F.ceil(F.count("*") / LOT).alias("lots"))
         dealt = pairs.join(lots, "a").select(F.col("a").alias("lead"), F.col("b").alias("id"), F.pmod(F.xxhash64("b"), F.col("lots")).alias("salt"))
-        dealt = dealt.unionByName(dealt.select("lead", F.col("lead").alias("id"), "salt").distinct())
-        dealt = staged(dealt, "dealt")
+        return staged(dealt.unionByName(dealt.select("lead", F.col("lead").alias("id"), "salt").distinct()), "dealt")
+
+    def _side_by_side(self, dealt: DataFrame, compare, schema: str) -> DataFrame:
+        """The sets of dealt pairs, made from the texts, through `compare`."""
         if dealt.count() <= BROADCAST_ROWS:
             dealt = F.broadcast(dealt)  # else the texts of all documents are shuffled to meet it
         return (
@@ -340,34 +347,52 @@ class Join:
     def verify(self, pairs: DataFrame, percent: int) -> DataFrame:
         """(a, b, both, size_a, size_b) of the pairs that may reach `percent`; a pair comes once."""
         likely = self._likely(pairs, percent)
-        both = self._side_by_side(likely, _overlaps, "a long, b long, both long")
-        return staged(likely.join(both, ["a", "b"]), "verified")
+        dealt = self._dealt(likely)
+        both = self._side_by_side(dealt, _overlaps, "a long, b long, both long")
+        out = staged(likely.join(both, ["a", "b"]), "verified")
+        release(likely, dealt)
+        return out
 
     def links(self) -> DataFrame:
         """Pairs (a, b) of representatives with enough overlap, such that all linked ones are connected."""
         percent = self.percent
-        near = percent - NEAR
-        live, linked, close = self.postings, [], []
-        for _ in range(ROUNDS):
-            led = self._with_lead(live)
+        near = percent - (NEAR if percent >= NEAR_FROM else 0)
+        far = near - (100 - percent)
+        shared = [self._shared(self.postings)]
+        few = shared[0].where(f"n <= {FEW}").select("gram", "id", "size", "pos")
+        pairs = (
+            few.alias("x").join(few.alias("y"), F.expr("x.gram = y.gram AND x.id < y.id")).where(_may_link(percent))
+            .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        )
+        linked, close = [self.verify(pairs, percent).where(_similar(percent)).select("a", "b")], []
+        for turn in range(ROUNDS):
+            if turn:
+                shared.append(self._shared(live))
+            led = shared[-1] if turn else shared[0].where(f"n > {FEW}")
+            if led.isEmpty():
+                break
             # a member meets its leader at the first n-gram they share, not at each of them
             first = led.where("id <> lead").groupBy("lead", "id").agg(F.min(F.struct("pos", "gram", "size")).alias("first"))
             pairs = (
                 led.where("id = lead").alias("x")
                 .join(first.select("lead", "id", "first.*").alias("y"), F.expr("x.id = y.lead AND x.gram = y.gram"))
-                .where(_may_link(near - (100 - percent)))
+                .where(_may_link(far))
                 .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
             )
-            found = self.verify(pairs, near - (100 - percent))
+            found = self.verify(pairs, far)
             linked.append(found.where(_similar(percent)).select("a", "b"))
-            close.append(found.where(_similar(near - (100 - percent))))
+            close.append(found.where(_similar(far)))
             # a member near its leader meets the others there; distances of linked ones differ by a margin at most
             met = found.where(_similar(near)).select(F.col("a").alias("lead"), F.col("b").alias("id"))
-            live = led.where("id <> lead").join(met, ["lead", "id"], "left_anti").drop("lead")
+            live = led.where("id <> lead").select("gram", "id", "size", "pos", "lead").join(met, ["lead", "id"], "left_anti").drop("lead")
         linked = staged(reduce(DataFrame.union, linked).distinct(), "linked")
+        if not close:
+            release(*shared)
+            return linked
         label = components(linked).select("id", F.col("component").alias("comp"))
-        placed = self._with_lead(live).drop("lead").join(label, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        placed = self._shared(live).drop("lead", "n").join(label, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         rest = staged(placed, "rest")
+        release(*shared)
         apart = (
             rest.alias("x").join(rest.alias("y"), F.expr("x.gram = y.gram AND x.id < y.id AND x.comp <> y.comp"))
             .where(_may_link(percent)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
@@ -392,8 +417,10 @@ class Join:
         members = members.join(leads, "a", "left").withColumn("lead_comp", F.coalesce("lead_comp", "a"))
         strange = members.where("comp <> lead_comp").groupBy("a").agg(F.min("comp").alias("_low"))
         members = staged(members.join(strange, "a", "left_semi").select("a", "b", "size_a", "size_b", "comp"), "members")
-        grams = self._side_by_side(members.select("a", "b"), _differences, "lead long, id long, grams array<long>")
+        dealt = self._dealt(members.select("a", "b"))
+        grams = self._side_by_side(dealt, _differences, "lead long, id long, grams array<long>")
         rows = staged(grams.select("lead", "id", F.size("grams").alias("far"), F.explode("grams").alias("gram")), "differences")
+        release(dealt)
         shared = rows.groupBy("lead", "gram").agg(F.count("*").alias("n")).where("n > 1")
         common = rows.join(shared, ["lead", "gram"])
         ranked = common.withColumn("own", F.col("far") - F.count("*").over(Window.partitionBy("lead", "id"))).withColumn(
@@ -432,6 +459,7 @@ def jaccard_classes(documents: DataFrame, key: str = "doc_id", text: str = "text
     rows = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     join = Join(rows, n, percent)
     label = components(join.links())
+    release(join.reps)
     reps = join.classes.join(label, join.classes["rep"] == label["id"], "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")
     )
