@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tunewright.session import fresh_dir, ship_package
@@ -23,8 +25,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = fresh_dir(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    out._staged_at = path
-    return out
+    return _known(out, path)
+
+
+def _known(df: DataFrame, path: str) -> DataFrame:
+    df._staged_at = path
+    for written in _REMEMBERED:
+        written.append(df)
+    return df
+
+
+_REMEMBERED: list[list[DataFrame]] = []
+
+
+@contextmanager
+def remembered():
+    """A list of all staged tables that are made within the block."""
+    written: list[DataFrame] = []
+    _REMEMBERED.append(written)
+    try:
+        yield written
+    finally:
+        _REMEMBERED.pop()  # blocks end in turn
 
 
 def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
@@ -33,8 +55,7 @@ def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     path = fresh_dir(spark, name)
     known = f"{name}_{path.rsplit('-', 1)[-1]}"
     df.write.bucketBy(buckets, column).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(known)
-    out = spark.table(known)
-    out._staged_at = path
+    out = _known(spark.table(known), path)
     spark.sql(f"DROP TABLE {known}")  # the catalogue's entry; the files stay
     return out
 

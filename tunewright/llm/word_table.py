@@ -23,7 +23,7 @@ CHUNK_WORDS = 1 << 20
 #: Rows of one output batch.
 ROWS = 1000
 #: Words of up to so many letters whose ids a task remembers.
-KNOWN_WORDS, LONG_WORD = 500_000, 64
+KNOWN_WORDS, LONG_WORD = 200_000, 64
 #: Ids go in 16 bits, less this.
 LOWEST = 1 << 15
 _LOADED: dict[str, "Vocabulary"] = {}
@@ -187,6 +187,7 @@ def _coded(tokenizer: str, key_type: pa.DataType, slots: int):
                 if chunk.chars >= CHUNK_CHARS or len(chunk.numbers) >= CHUNK_WORDS:
                     yield from chunk.rows(slots, fields)
                     chunk = Chunk(chunk.number + 1)
+                    pa.default_memory_pool().release_unused()
                 chunk.add(batch.column(0).slice(i, 1), text, split)
         yield from chunk.rows(slots, fields)
 
@@ -244,6 +245,7 @@ def _joined(key: str):
         starts[number], counts[number] = ends - size, size
         said = _spelled(tokens.column("piece").combine_chunks().take(pa.array(order)), starts, starts + counts)
         del tokens, order, part, pos
+        pa.default_memory_pool().release_unused()
         codes = [_unplaned(planes) for planes in documents.column("codes").to_pylist()]
         totals = np.array([counts[c].sum() for c in codes], np.int64)
         ids, at = np.empty(int(totals.sum()), np.int32), 0
