@@ -25,6 +25,8 @@ from tunewright.queries.adapt import (
     table,
 )
 from tunewright.queries.registry import query, sql_split
+from tunewright.session import fresh_dir
+from tunewright.sources.arrays import read_array, write_array_text
 
 CHAT_SQL = """
     SELECT conv_id, turn // 4096 AS part, 0::BIGINT AS slice,
@@ -239,6 +241,21 @@ def _raw_labelled(spark, folder):
     return documents.join(labels, "doc_id", "left").select("doc_id", raw.alias("raw"))
 
 
+@query(f"""
+    SELECT row_number() OVER (ORDER BY doc_id) AS entry, missing,
+           CASE WHEN missing = '' THEN 'valid' ELSE 'missing' END AS status,
+           CASE WHEN missing = '' THEN 'Entry ' || (row_number() OVER (ORDER BY doc_id))::VARCHAR || ': All required fields are present.'
+                ELSE 'Entry ' || (row_number() OVER (ORDER BY doc_id))::VARCHAR || ' is missing fields: ' || missing END AS message
+    FROM ({RAW_MISSING_SQL}) r""")
+def validate_array(spark, folder):
+    """Array files, of records in order of their key, validated by the number of their entries."""
+    path = fresh_dir(spark, "array")
+    raw = _raw_labelled(spark, folder).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    write_array_text(raw, "raw", path)
+    read = read_array(spark, path).withColumn("entry", F.col("number"))
+    return validate.validation_report(read, "entry", ["text", "lang", "quality"], raw="raw")
+
+
 @query(RAW_MISSING_SQL)
 def validate_raw(spark, folder):
     """Raw records: required keys that are absent, a null being present."""

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tunewright.operators.position import with_position
+from tunewright.operators.validate import parse_records
 from tunewright.schemas import INTERVIEW_RECORD
+from tunewright.sources.arrays import read_array
 
 
 def read_records(
@@ -15,9 +16,11 @@ def read_records(
 ) -> DataFrame:
     """Records of JSON Lines files, or of files that hold one JSON array each (`array=True`).
 
-    JSON Lines are split among tasks; an array file is read by one task.
+    Both are split among tasks; an array is cut at the borders of its elements.
     """
-    return spark.read.schema(schema).json(path, multiLine=array)
+    if array:
+        return read_with_rejects(spark, path, schema, array).drop("corrupt")
+    return spark.read.schema(schema).json(path)
 
 
 def read_raw(
@@ -27,15 +30,10 @@ def read_raw(
 
     `numbered` adds the file and the 1-based `entry` number in it. Lines are numbered per input
     split and shifted by the splits before, so a large file is numbered by many tasks; array files
-    are always numbered.
+    are always numbered, and so are their elements.
     """
     if array:
-        items = F.from_json(F.col("value"), T.ArrayType(T.StringType()))
-        return (
-            spark.read.text(path, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("file"), F.posexplode(items).alias("pos", "raw"))
-            .select("file", (F.col("pos") + 1).cast("bigint").alias("entry"), "raw")
-        )
+        return read_array(spark, path).drop("number")
     lines = spark.read.text(path)
     if not numbered:
         return lines.withColumnRenamed("value", "raw")
@@ -54,11 +52,14 @@ def read_with_rejects(
     spark: SparkSession, path: str, schema: str = INTERVIEW_RECORD, array: bool = False
 ) -> DataFrame:
     """Records with a `corrupt` column: the text of a malformed record, null for a good one."""
+    if array:
+        parsed = parse_records(read_array(spark, path).select("raw"), schema)
+        return parsed.select("record.*", "corrupt")
     return (
         spark.read.schema(f"{schema}, corrupt STRING")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "corrupt")
-        .json(path, multiLine=array)
+        .json(path)
     )
 
 
