@@ -9,8 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tunewright.operators import chat, metrics, monitor, split
-from tunewright.operators.gather import gather
-from tunewright.operators.position import with_position
+from tunewright.operators.gather import gather, row_octets
+from tunewright.operators.ranged import with_position
 from tunewright.session import setting
 from tunewright.sources import catalog
 
@@ -61,15 +61,33 @@ def test_counts_of_no_data(spark):
     assert tuple(split.split_counts(empty).first()) == (0, 0)
 
 
-def test_head_and_pages_over_segments(spark):
+@pytest.mark.parametrize("top", [10**5, 1])
+def test_head_and_pages(spark, monkeypatch, top):
+    for module in (split, catalog):
+        monkeypatch.setattr(module, "TOP_ROWS", top)  # top rows, or rows numbered over all tasks
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("id"))
-    segment = F.expr("id div 64")
-    assert sorted(r.id for r in split.head(df, "id", 130, segment).collect()) == list(range(130))
-    assert [r.id for r in split.head(df, "id", 3).collect()] == [0, 1, 2]
-    assert split.head(df, "id", 5000, segment).count() == 1000
-    page = catalog.page_rows(df, "id", 990, 20, segment)
+    assert sorted(r.id for r in split.head(df, "id", 130).collect()) == list(range(130))
+    assert sorted(r.id for r in split.head(df, "id", 3).collect()) == [0, 1, 2]
+    assert split.head(df, "id", 5000).count() == 1000
+    page = catalog.page_rows(df, "id", 990, 20)
     assert sorted(r.id for r in page.collect()) == list(range(990, 1000))
-    assert [r.id for r in catalog.page_rows(df, "id", 5, 2).collect()] == [5, 6]
+    assert sorted(r.id for r in catalog.page_rows(df, "id", 5, 2).collect()) == [5, 6]
+    assert catalog.page_rows(df, "id", 2000, 20).collect() == [] == split.head(df.limit(0), "id", 4).collect()
+
+
+def test_pages_with_ties_and_nulls(spark):
+    keys = [None, None, 1, 1, 1, 2, 3, 3, 4]
+    df = spark.createDataFrame([(k, f"v{i}") for i, k in enumerate(keys)], "k INT, v STRING")
+    for offset in range(10):
+        for length in range(1, 10):
+            got = [r.k for r in catalog.page_rows(df, "k", offset, length).collect()]
+            assert got == keys[offset : offset + length]
+
+
+def test_a_page_reads_whole_rows_only_between_its_keys(spark, plan, folder):
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    text = plan(split.head(documents, "doc_id", 10))
+    assert "LessThanOrEqual(doc_id,9)" in text and "GreaterThanOrEqual(doc_id,0)" in text
 
 
 def test_config_falls_back_to_the_first_by_name(spark):
@@ -83,7 +101,7 @@ def test_position_with_a_hot_group_and_null_keys(spark):
     rnd = random.Random(1)
     rows = [(rnd.choice(["hot"] * 8 + ["a", None]), i) for i in rnd.sample(range(100000), 3000)]
     df = spark.createDataFrame(rows, "k STRING, s BIGINT")
-    got = with_position(df, ["k"], "s", F.expr("s div 5000")).collect()
+    got = with_position(df, ["k"], "s").collect()
     want = {}
     for k in {k for k, _ in rows}:
         for i, s in enumerate(sorted(s for key, s in rows if key == k)):
@@ -91,12 +109,13 @@ def test_position_with_a_hot_group_and_null_keys(spark):
     assert {(r.k, r.s): r.position for r in got} == want
 
 
-@pytest.mark.parametrize("cell", [10, 64, 10**6])
-def test_position_with_many_copies(spark, cell):
+@pytest.mark.parametrize("partitions", ["3", "8", "40"])
+def test_position_with_many_copies(spark, partitions):
     rows = [("a", 5, "x")] * 700 + [("a", 5, "y")] * 30 + [("a", i, "z") for i in range(40)]
     rows += [(None, 7, "x")] * 90 + [("b", i * 3, "w") for i in range(50)]
     df = spark.createDataFrame(rows, "k STRING, s BIGINT, v STRING")
-    got = with_position(df, ["k"], "s", F.expr("s div 8"), rows_per_cell=cell).collect()
+    with setting(spark, "spark.sql.shuffle.partitions", partitions), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        got = with_position(df, ["k"], "s").collect()
     assert Counter((r.k, r.s, r.v) for r in got) == Counter(rows)
     for k in ("a", "b", None):
         mine = sorted((r.position, r.s) for r in got if r.k == k)
@@ -105,12 +124,14 @@ def test_position_with_many_copies(spark, cell):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(k=st.integers(1, 9), block=st.integers(1, 40), segment=st.integers(1, 300), seed=st.integers(0, 99))
-def test_smoothing_across_blocks_is_exact(spark, k, block, segment, seed):
+@given(k=st.integers(1, 9), parts=st.integers(1, 40), batch=st.integers(1, 30), seed=st.integers(0, 99))
+def test_smoothing_across_ranges_is_exact(spark, k, parts, batch, seed):
     rnd = random.Random(seed)
     rows = [(rnd.choice("ab"), "m", s, rnd.random()) for s in rnd.sample(range(1000), 120)]
     df = spark.createDataFrame(rows, "run STRING, metric STRING, step BIGINT, value DOUBLE")
-    got = metrics.smooth(df, k, segment_size=segment, block_rows=block).collect()
+    with setting(spark, "spark.sql.shuffle.partitions", str(parts)), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(batch)):
+            got = metrics.smooth(df, k).collect()
     assert len(got) == len(rows)
     for run in "ab":
         points = sorted((s, v) for r, _, s, v in rows if r == run)
@@ -120,6 +141,25 @@ def test_smoothing_across_blocks_is_exact(spark, k, block, segment, seed):
             assert smoothed[s] == pytest.approx(sum(last) / len(last))
 
 
+def test_smoothing_with_nulls_and_many_runs(spark):
+    rows = [(None, "m", i, None if i % 3 == 0 else float(i)) for i in range(40)] + [(f"r{i}", "m", 1, 2.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "run STRING, metric STRING, step BIGINT, value DOUBLE")
+    got = {(r.run, r.step): r.smoothed for r in metrics.smooth(df, 2).collect()}
+    assert got[None, 0] is None and got[None, 3] == 2.0 and got[None, 5] == 4.5 and all(got[f"r{i}", 1] == 2.0 for i in range(60))
+    assert metrics.smooth(df.limit(0), 3).collect() == []
+
+
+def test_one_cell_of_distinct_rows_is_on_several_tasks(spark, plan):
+    """200,000 rows of one group and place: one shuffle, and no task holds them all."""
+    df = spark.range(200_000).selectExpr("1 AS k", "7 AS s", "id AS v")
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        got = with_position(df, ["k"], "s")
+        sizes = got.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) >= 6 and max(r["count"] for r in sizes) < 60_000
+        assert tuple(got.agg(F.min("position"), F.max("position"), F.count_distinct("position")).first()) == (1, 200_000, 200_000)
+        assert "Exchange" not in plan(got) and "Window" not in plan(got)
+
+
 def _turns(spark):
     rnd = random.Random(3)
     rows = [(c, t, rnd.choice(["user", "assistant"]), f"{c}-{t}") for c in range(40) for t in range(rnd.randint(1, 9))]
@@ -130,10 +170,10 @@ def _turns(spark):
     return spark.createDataFrame(rows, "conv_id INT, turn INT, role STRING, text STRING"), rows
 
 
-@pytest.mark.parametrize("per_part", [20, 64, 4096])
-def test_conversations_are_whole_and_no_row_is_long(spark, per_part):
+@pytest.mark.parametrize("octets", [1600, 6000, 1 << 24])
+def test_conversations_are_whole_and_no_row_is_long(spark, octets):
     df, rows = _turns(spark)
-    got = chat.turns_to_conversation(df, turns_per_part=per_part).collect()
+    got = chat.turns_to_conversation(df, octets_per_part=octets).collect()
     built = defaultdict(list)
     for r in sorted(got, key=lambda r: (r.conv_id is None, r.conv_id, r.part, r.slice)):
         built[r.conv_id] += [tuple(t) for t in r.conversations]
@@ -148,20 +188,29 @@ def test_conversations_are_whole_and_no_row_is_long(spark, per_part):
             assert Counter(built[conv][at : at + n]) == by_turn[t]
             at += n
         assert at == len(built[conv])
-    if per_part < 4096:
-        assert max(len(r.conversations) for r in got) <= 3 * per_part
+    assert all(min(r.part for r in got if r.conv_id == conv) == 0 for conv in built)
+    size = lambda r: sum(64 + len(t.role) + len(t.content) for t in r.conversations)
+    assert max(map(size, got)) <= octets + 100
+    alone = chat.turns_to_conversation(df.where("conv_id = 7"), octets_per_part=octets).collect()
+    assert sorted(map(str, alone)) == sorted(str(r) for r in got if r.conv_id == 7)  # whatever else is in the table
+
+
+def test_short_groups_take_one_shuffle(spark, plan):
+    text = plan(chat.turns_to_conversation(_turns(spark)[0]))
+    assert text.count("Exchange") == 1 and "Join" not in text and "Union" not in text
 
 
-def test_an_unneeded_hot_branch_is_dropped_at_run_time(spark, plan):
-    df = chat.turns_to_conversation(_turns(spark)[0])
-    df.collect()
-    final = plan(df).split("Initial Plan")[0]
-    assert "Union" not in final and "Generate" not in final
+def test_a_long_group_is_on_several_tasks(spark, plan):
+    df = spark.range(60_000).selectExpr("1 AS k", "id AS o", "repeat('x', 100) AS t")
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        got = gather(df, "k", "o", ["t"], row_octets(F.col("t")), 100_000)
+        parts = got.select("part", F.size("items").alias("n"), F.spark_partition_id().alias("task")).collect()
+    assert sum(r.n for r in parts) == 60_000 and max(r.n for r in parts) <= 610 and len({r.task for r in parts}) > 4
 
 
 def test_gathering_any_payload(spark):
     df = spark.createDataFrame([(1, 2, [5], True), (1, 0, [3, 4], False)], "k INT, o INT, ids ARRAY<INT>, t BOOLEAN")
-    items = gather(df, "k", "o", ["ids", "t"]).first()["items"]
+    items = gather(df, "k", "o", ["ids", "t"], F.lit(8)).first()["items"]
     assert [tuple(i) for i in items] == [([3, 4], False), ([5], True)]
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tunewright.constants import CONVERSATION_COLUMNS, ROLE_NAMES, TURN_END
 from tunewright.functions.text import render_turns
-from tunewright.operators.gather import ROWS_PER_PART, gather
+from tunewright.operators.gather import PART_OCTETS, gather, row_octets
 
 
 def turns_to_conversation(
@@ -17,19 +17,19 @@ def turns_to_conversation(
     turn: str = "turn",
     role: str = "role",
     content: str = "text",
-    turns_per_part: int = ROWS_PER_PART,
+    octets_per_part: int = PART_OCTETS,
 ) -> DataFrame:
     """One array of (role, content) per conversation, in turn order.
 
-    A conversation longer than `turns_per_part` turns becomes several rows, in order by part and
-    slice, so that one with a large share of all turns is never one row or one task.
+    A conversation of more octets than `octets_per_part` becomes several rows, in order by part, so that
+    one with a large share of all turns is never one row or one task. Where it is cut depends on
+    its own turns only.
     """
     named = turns.select(
         key, turn, F.col(role).alias("role"), F.col(content).alias("content")
     )
-    return gather(named, key, turn, ["role", "content"], turns_per_part).withColumnRenamed(
-        "items", "conversations"
-    )
+    octets = row_octets(F.col("role"), F.col("content"))
+    return gather(named, key, turn, ["role", "content"], octets, octets_per_part).withColumnRenamed("items", "conversations")
 
 
 def normalize_conversation_column(df: DataFrame) -> DataFrame:

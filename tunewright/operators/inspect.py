@@ -17,6 +17,7 @@ from tunewright.constants import (
     RESPONSE_PATTERNS,
 )
 from tunewright.functions.text import fill, preview_cell
+from tunewright.operators.position import first_by
 from tunewright.sources.catalog import choose_config, split_catalog
 
 # the mappings of `functions.text.sft_text` as SQL expressions of a dataset's own columns
@@ -244,7 +245,7 @@ def inspect(
 ) -> DataFrame:
     """One report row: columns, features, checks, recommendation and a preview of the first row.
 
-    The checks read names only; the preview is a top-1 and the count a scan without columns.
+    The checks read names only; the first row is found by its key alone, the count is a scan without columns.
     `config` is a name, or a column that holds it.
     """
     checks = method_status(recommend(check_formats(schema_table(spark, {dataset: df}))))
@@ -257,13 +258,13 @@ def inspect(
     cells = F.array(
         *[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").alias("value")) for c in df.columns]
     )
-    example = preview(df.orderBy(order).limit(1), max_chars).select(cells).scalar()
+    example = preview(first_by(df, order, 0, 1), max_chars).select(cells).scalar()
     total = df.agg(F.format_number(F.count(F.lit(1)), 0)).scalar()
     return checks.select(
         "dataset",
         (F.lit(config) if isinstance(config, str) else config).alias("config"),
         F.lit(split).alias("split"),
-        F.coalesce(total, F.lit("Unknown")).alias("total_examples"),
+        total.alias("total_examples"),
         F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
         features.alias("features"),
         F.struct(

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunewright.constants import CHECKPOINT_PATTERN, OVERFIT_RATIO
-from tunewright.operators.position import first_rows, with_position
+from tunewright.operators.position import first_rows
+from tunewright.operators.ranged import trailing_mean
 
 TRAIN_LOSS = "train_loss"
 EVAL_LOSS = "eval_loss"
@@ -71,36 +72,14 @@ def group_runs(metrics: DataFrame, metric: str = TRAIN_LOSS) -> DataFrame:
 
 
 def smooth(
-    metrics: DataFrame,
-    k: int,
-    keys: tuple[str, ...] = ("run", "metric"),
-    order: str = "step",
-    value: str = "value",
-    segment_size: int = 1_000_000,
-    block_rows: int = 1_000_000,
+    metrics: DataFrame, k: int, keys: tuple[str, ...] = ("run", "metric"), order: str = "step", value: str = "value"
 ) -> DataFrame:
     """Add `smoothed`, the mean of the last `k` points of a curve.
 
-    A curve is cut into blocks of `block_rows` points; the last `k - 1` points of a block are
-    copied into the next one, so the mean is exact while no task sorts a whole curve.
+    Points are sorted by range over all tasks, however long a curve is; a range starts with the last
+    `k - 1` points that the ranges before it leave.
     """
-    keys = list(keys)
-    size = max(block_rows, k)
-    segment = F.expr(f"`{order}` div {segment_size}")
-    index = F.col("position") - 1
-    own = F.expr(f"(position - 1) div {size}")
-    needed = F.when(index % size >= size - (k - 1), F.array(own, own + 1)).otherwise(F.array(own))
-    spread = (
-        with_position(metrics, keys, [order, value], segment)
-        .withColumn("_own", own)
-        .withColumn("_block", F.explode(needed))
-    )
-    trailing = Window.partitionBy(*keys, "_block").orderBy("position").rowsBetween(-(k - 1), 0)
-    return (
-        spread.withColumn("smoothed", F.avg(value).over(trailing))
-        .where(F.col("_own") == F.col("_block"))
-        .drop("_own", "_block", "position")
-    )
+    return trailing_mean(metrics, list(keys), [order, value], value, k, "smoothed")
 
 
 def checkpoint_step(path: Column) -> Column:

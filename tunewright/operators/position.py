@@ -1,13 +1,12 @@
-"""Row numbers inside groups of any size."""
+"""First rows of groups of any size, and of a whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunewright.operators.hot import row_limit
-
-ROWS_PER_CELL = 1_000_000
+#: More first rows than that are numbered over all tasks, fewer are one task's top rows.
+TOP_ROWS = 100_000
 #: Pieces that a group is cut into before its first rows are found.
 PIECES = 32
 
@@ -25,58 +24,20 @@ def first_rows(df: DataFrame, by: list[str], order: list[Column], n: int, name:
     return some.drop("_piece").withColumn(name, F.row_number().over(whole)).where(F.col(name) <= n)
 
 
-def with_position(
-    df: DataFrame, keys: list[str], order, segment: Column, rows_per_cell: int = ROWS_PER_CELL
-) -> DataFrame:
-    """Add `position`, the row's 1-based number in its group by `order`.
-
-    `segment` must never decrease along `order` (a day of a timestamp, a step divided by a constant).
-    Rows are numbered inside (keys, segment) and shifted by the counts of the earlier segments, so a
-    group with a third of all rows is spread over its segments instead of sorted by one task.
+def first_by(df: DataFrame, order: str, offset: int, length: int) -> DataFrame:
+    """`length` rows in `order` after the first `offset`, nulls first.
 
-    With a segment that fits the data, only copies make a cell of more than `rows_per_cell` rows.
-    There copies are counted before the shuffle, the counts are summed up, and the copies are
-    written out again by many tasks. Without such cells adaptive execution drops that branch.
+    The keys of the page are found over the key column alone, as top rows of every task. Whole rows
+    are then read between the first and the last of them, so that a scan skips what its
+    statistics rule out and only some more rows than the page are sorted.
     """
-    order = order if isinstance(order, list) else [order]
-    # one struct as the key of every step: null keys stay, and the large side is shuffled once
-    marked = df.withColumn("_cell", F.struct(*keys, segment.alias("_segment")))
-    counts = marked.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (
-        Window.partitionBy(*[F.col(f"_cell.{key}") for key in keys])
-        .orderBy("_cell._segment")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    cells = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    over = F.col("_n") > row_limit(df, rows_per_cell)
-    hot = F.broadcast(cells.where(over).select("_cell", "_before"))
-
-    inside = Window.partitionBy("_cell").orderBy(*order)
-    single = (
-        marked.join(hot, "_cell", "left_anti")
-        .withColumn("_inside", F.row_number().over(inside))
-        .join(cells, "_cell")
-        .select(*df.columns, (F.col("_before") + F.col("_inside")).alias("position"))
-    )
-
-    before = F.sum("_copies").over(
-        Window.partitionBy("_cell")
-        .orderBy(*order, *df.columns)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    size = F.lit(rows_per_cell).cast("bigint")
-    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, size)
-    lots = (
-        marked.join(hot, "_cell")
-        .groupBy("_cell", "_before", *df.columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_first", F.col("_before") + F.coalesce(before, F.lit(0)) + 1)
-        .withColumn("_lot", F.explode(starts))
-        .repartition("_first", "_lot")
-    )
-    last = F.least(F.col("_lot") + size, F.col("_copies")) - 1
-    copied = lots.select(
-        *df.columns,
-        F.explode(F.sequence(F.col("_first") + F.col("_lot"), F.col("_first") + last)).alias("position"),
-    )
-    return single.unionByName(copied)
+    key = F.col(f"`{order}`")
+    keys = df.select(key.alias("k")).orderBy("k").offset(offset).limit(length)
+    found = keys.agg(F.count("*").alias("n"), F.count("k").alias("solid"), F.min("k").alias("low"), F.max("k").alias("high")).first()
+    if not found.n:
+        return df.limit(0)
+    if found.solid < found.n:  # some of the page have no key
+        wanted = key.isNull() if not found.solid else key.isNull() | (key <= F.lit(found.high))
+        return df.where(wanted).orderBy(key).offset(offset).limit(length)
+    earlier = df.where(key.isNull() | (key < F.lit(found.low))).select(F.count("*").alias("n")).first().n if offset else 0
+    return df.where((key >= F.lit(found.low)) & (key <= F.lit(found.high))).orderBy(key).offset(offset - earlier).limit(length)

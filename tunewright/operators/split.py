@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunewright.functions.draws import BUCKETS, draw32
-from tunewright.operators.position import with_position
+from tunewright.operators.position import TOP_ROWS, first_by
+from tunewright.operators.ranged import with_position
 
 COARSE_BUCKETS = 2**18
 
@@ -84,16 +85,11 @@ def mark_smallest(
     return df.where(~tied).withColumn(name, F.coalesce(own < end, F.lit(False))).unionByName(copies)
 
 
-def head(df: DataFrame, order, n: int, segment: Column | None = None) -> DataFrame:
-    """The first `min(n, rows)` rows in `order`.
-
-    Small `n` is a top-k. For an `n` too large for one task give `segment`, a column that grows
-    with `order`: rows are then numbered across segments in parallel.
-    """
-    if segment is None:
-        return df.orderBy(order).limit(n)
-    numbered = with_position(df, [], order, segment)
-    return numbered.where(F.col("position") <= n).drop("position")
+def head(df: DataFrame, order: str, n: int) -> DataFrame:
+    """The first `min(n, rows)` rows in `order`: top rows for a small `n`, else rows numbered over all tasks."""
+    if n <= TOP_ROWS:
+        return first_by(df, order, 0, n)
+    return with_position(df, [], order, "_position").where(F.col("_position") <= n).drop("_position")
 
 
 def split_counts(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tunewright.constants import IGNORE_LABEL, MAX_LENGTH, TURN, TURN_END
 from tunewright.functions.text import fill
 from tunewright.functions.tokens import first_token_lengths, mask_prompt, pad_truncate, token_lengths
-from tunewright.operators.gather import ROWS_PER_PART, gather
+from tunewright.operators.gather import PART_OCTETS, gather, row_octets
 
 
 def tokenize_examples(
@@ -52,7 +52,7 @@ def mask_to_responses(
     turn: str = "turn",
     role: str = "role",
     content: str = "text",
-    turns_per_part: int = ROWS_PER_PART,
+    octets_per_part: int = PART_OCTETS,
     end: str = TURN_END,
 ) -> DataFrame:
     """`input_ids` of each rendered conversation, and `labels` that keep only the assistant's tokens.
@@ -60,7 +60,7 @@ def mask_to_responses(
     What is encoded is the text that `chat.render_chat` gives, turn by turn: markers are tokens too,
     and the mark that ends an assistant's turn is a target, so that a model learns to stop. The
     encoder must not join tokens over a line feed. Turns are encoded as rows, so any tokenizer fits;
-    then they are gathered in turn order, in parts and slices as in `turns_to_conversation`.
+    then they are gathered in turn order, in the parts of `turns_to_conversation`.
     """
     head = fill(TURN, role=F.col(role), content=F.lit(""))
     encoded = turns.select(
@@ -68,6 +68,7 @@ def mask_to_responses(
         turn,
         encode(fill(TURN + end, role=F.col(role), content=F.col(content))).alias("ids"),
         F.when(F.col(role) == "assistant", F.size(encode(head))).alias("target_from"),
+        row_octets(F.col(role), F.col(content)).alias("octets"),
     )
 
     def label(t):
@@ -75,7 +76,7 @@ def mask_to_responses(
             t["ids"], lambda x, i: F.when(i >= t["target_from"], x).otherwise(F.lit(IGNORE_LABEL))
         )
 
-    return gather(encoded, key, turn, ["ids", "target_from"], turns_per_part).select(
+    return gather(encoded, key, turn, ["ids", "target_from"], F.col("octets"), octets_per_part).select(
         key,
         "part",
         "slice",

@@ -55,6 +55,12 @@ EXCHANGES_SQL = """
     WHERE role = 'assistant'"""
 
 
+PLACED_SQL = """
+    SELECT *, coalesce(sum(64 + coalesce(strlen(role), 0) + coalesce(strlen(text), 0)) OVER (
+                  PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT // 16777216 AS part
+    FROM conversations"""
+
+
 def prompts(conversations: DataFrame) -> DataFrame:
     """Every user turn."""
     return _texts(conversations, "user", "turn", "prompt")
@@ -64,38 +70,28 @@ PROMPTS_SQL = "SELECT conv_id, turn, text AS prompt FROM conversations WHERE rol
 
 
 def preferences(conversations: DataFrame) -> DataFrame:
-    """A conversation's first prompt, and its longest answer over each other one.
+    """Every prompt with the answer that it got, over the conversation's next answer (the first one after the last).
 
-    So a conversation of n answers gives n - 1 pairs; `turn` is that of the other answer. Of answers
-    of one length the earlier is better. The best is found over numbers only.
+    So a conversation of n > 1 answers gives n pairs. The other answer's turn is found over numbers only.
     """
-    answers = conversations.where(F.col("role") == "assistant")
-    rank = F.shiftleft(F.coalesce(F.length("text"), F.lit(-1)).cast("bigint"), 32) - F.col("turn")
-    best = answers.groupBy("conv_id").agg(F.max(rank).alias("rank"))
-    best = best.select("conv_id", F.pmod(-F.col("rank"), F.lit(1 << 32)).alias("turn"))
-    asked = conversations.where(F.col("role") == "user").groupBy("conv_id").agg(F.min("turn").alias("asked"))
-    said = _texts(conversations, "assistant", "turn", "said")
-    winners = said.join(best, ["conv_id", "turn"]).select("conv_id", F.col("said").alias("winner"))
-    losers = said.join(best, ["conv_id", "turn"], "left_anti").withColumnRenamed("said", "loser")
+    answers = Window.partitionBy("conv_id").orderBy("turn")
+    others = conversations.where(F.col("role") == "assistant").select(
+        "conv_id", "turn", F.coalesce(F.lead("turn").over(answers), F.first("turn").over(answers)).alias("other")
+    )
+    asked = exchanges(conversations).select("conv_id", "turn", F.col("prompt").alias("question"), F.col("response").alias("winner"))
     return (
-        losers.join(winners, "conv_id")
-        .join(asked, "conv_id", "left")
-        .join(_texts(conversations, "user", "asked", "question"), ["conv_id", "asked"], "left")
+        asked.join(others.where("other <> turn"), ["conv_id", "turn"])
+        .join(_texts(conversations, "assistant", "other", "loser"), ["conv_id", "other"])
         .select("conv_id", "turn", "question", "winner", "loser")
     )
 
 
-PREFERENCES_SQL = """
-    SELECT o.conv_id, o.turn, u.text AS question, b.text AS winner, o.text AS loser
-    FROM (SELECT conv_id, turn, text,
-                 row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, turn) AS r
-          FROM conversations WHERE role = 'assistant') o
-    JOIN (SELECT conv_id, text,
-                 row_number() OVER (PARTITION BY conv_id ORDER BY length(text) DESC, turn) AS r
-          FROM conversations WHERE role = 'assistant') b ON b.conv_id = o.conv_id AND b.r = 1
-    LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS text FROM conversations
-               WHERE role = 'user' GROUP BY conv_id) u ON u.conv_id = o.conv_id
-    WHERE o.r > 1"""
+PREFERENCES_SQL = f"""
+    SELECT e.conv_id, e.turn, e.prompt AS question, e.response AS winner, o.response AS loser
+    FROM (SELECT *, coalesce(lead(turn) OVER w, first_value(turn) OVER w) AS other
+          FROM ({EXCHANGES_SQL}) x WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) e
+    JOIN ({EXCHANGES_SQL}) o ON o.conv_id = e.conv_id AND o.turn = e.other
+    WHERE e.other <> e.turn"""
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:

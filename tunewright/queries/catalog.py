@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tunewright.operators import split as splits
 from tunewright.operators import synth
+from tunewright.operators.ranged import with_position
 from tunewright.queries.adapt import PAIRS_SQL, RECORDS_SQL, records, table
 from tunewright.queries.corpus import DOCUMENT, damaged_json, prompt_completion
 from tunewright.queries.registry import query, sql_draw, sql_split
@@ -82,10 +83,10 @@ def head_n(spark, folder):
 @query("""
     SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT (SELECT count(*) // 2 FROM documents)""")
 def head_half(spark, folder):
-    """A first-n too large for one task: rows numbered across segments."""
+    """A first-n too large for one task: rows numbered over all tasks."""
     documents = table(spark, folder, "documents").select("doc_id", "lang")
-    segment = F.expr("doc_id div 100000")
-    return splits.head(documents, "doc_id", documents.count() // 2, segment)
+    numbered = with_position(documents, [], "doc_id")
+    return numbered.where(F.col("position") <= documents.count() // 2).drop("position")
 
 
 @query("SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 5 OFFSET 20")

@@ -13,6 +13,7 @@ from tunewright.plans import flows
 from tunewright.queries.adapt import (
     EXCHANGES_SQL,
     PAIRS_SQL,
+    PLACED_SQL,
     PREFERENCES_SQL,
     PROMPTS_SQL,
     RECORDS_SQL,
@@ -28,11 +29,11 @@ from tunewright.queries.registry import query, sql_split
 from tunewright.session import fresh_dir
 from tunewright.sources.arrays import read_array, write_array_text
 
-CHAT_SQL = """
-    SELECT conv_id, turn // 4096 AS part, 0::BIGINT AS slice,
+CHAT_SQL = f"""
+    SELECT conv_id, part, 0::BIGINT AS slice,
            string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
                       ORDER BY turn) AS text
-    FROM conversations GROUP BY conv_id, turn // 4096"""
+    FROM ({PLACED_SQL}) p GROUP BY conv_id, part"""
 
 
 @query(f"SELECT *, {sql_split('conv_id')} AS split FROM ({CHAT_SQL}) c")
@@ -41,10 +42,10 @@ def chat_render_split(spark, folder):
     return flows.turns_to_text(table(spark, folder, "conversations"))
 
 
-@query("""
-    SELECT conv_id, turn // 4096 AS part, 0::BIGINT AS slice, count(*)::INTEGER AS n_turns,
+@query(f"""
+    SELECT conv_id, part, 0::BIGINT AS slice, count(*)::INTEGER AS n_turns,
            string_agg(role || ':' || text, chr(10) ORDER BY turn) AS turns
-    FROM conversations GROUP BY conv_id, turn // 4096""")
+    FROM ({PLACED_SQL}) p GROUP BY conv_id, part""")
 def conversation_standard(spark, folder):
     """(from, value) turns in a column of another name, brought to the standard form."""
     turns = table(spark, folder, "conversations")
@@ -167,9 +168,9 @@ TURN_SQL = "'<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10)
 
 @query(f"""
     WITH t AS (
-        SELECT conv_id, turn, turn // 4096 AS part, role, {IDS_SQL.format(TURN_SQL)} AS ids,
+        SELECT conv_id, turn, part, role, {IDS_SQL.format(TURN_SQL)} AS ids,
                len({IDS_SQL.format("'<|im_start|>' || role || chr(10)")}) AS head
-        FROM conversations)
+        FROM ({PLACED_SQL}) p)
     SELECT conv_id, part, 0::BIGINT AS slice,
            string_agg(array_to_string(ids, ' '), ' ' ORDER BY turn) AS input_ids,
            string_agg(array_to_string(list_transform(ids, lambda x, i: CASE
@@ -424,10 +425,10 @@ def preview_rows(spark, folder):
     return inspection.preview(table(spark, folder, "documents"))
 
 
-@query("""
-    SELECT conv_id::VARCHAR AS conv_id, (turn // 4096)::VARCHAR AS part, '0' AS slice,
+@query(f"""
+    SELECT conv_id::VARCHAR AS conv_id, part::VARCHAR AS part, '0' AS slice,
            '[' || count(*)::VARCHAR || ' items] Keys: [''role'', ''content'']' AS conversations
-    FROM conversations GROUP BY conv_id, turn // 4096""")
+    FROM ({PLACED_SQL}) p GROUP BY conv_id, part""")
 def preview_lists(spark, folder):
     return inspection.preview(chat.turns_to_conversation(table(spark, folder, "conversations")))
 
@@ -529,8 +530,8 @@ def record_rejects(spark, folder):
     SELECT split, count(*) AS examples, 8 AS effective_batch, count(*) // 8 AS steps_per_epoch,
            count(*) // 8 * 2 AS total_steps, greatest(1, count(*) // 8 // 10) AS log_steps,
            greatest(1, count(*) // 8 // 4) AS save_steps
-    FROM (SELECT *, {sql_split('conv_id')} AS split FROM ({CHAT_SQL}) c) s GROUP BY split""")
+    FROM (SELECT DISTINCT conv_id, {sql_split('conv_id')} AS split FROM conversations) s GROUP BY split""")
 def conversation_plan(spark, folder):
-    """Conversations to text, split, and the steps that training on them takes."""
+    """Conversations to text, split, and the steps that training on them takes; each counts once, however many its parts."""
     text = flows.turns_to_text(table(spark, folder, "conversations"))
-    return flows.training_plan(text, epochs=2)
+    return flows.training_plan(text.where("part = 0"), epochs=2)

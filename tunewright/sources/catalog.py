@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunewright.operators.position import with_position
+from tunewright.operators.position import TOP_ROWS, first_by
+from tunewright.operators.ranged import with_position
 
 
-def page_rows(
-    df: DataFrame, order, offset: int = 0, length: int = 5, segment: Column | None = None
-) -> DataFrame:
-    """A page of rows in `order`. With `segment` (see `with_position`) deep pages need no global sort."""
-    if segment is None:
-        return df.orderBy(order).offset(offset).limit(length)
-    numbered = with_position(df, [], order, segment)
-    inside = (F.col("position") > offset) & (F.col("position") <= offset + length)
-    return numbered.where(inside).drop("position")
+def page_rows(df: DataFrame, order: str, offset: int = 0, length: int = 5) -> DataFrame:
+    """A page of rows in `order`. Deep pages need no global sort by one task."""
+    if offset + length <= TOP_ROWS:
+        return first_by(df, order, offset, length)
+    numbered = with_position(df, [], order, "_position")
+    inside = (F.col("_position") > offset) & (F.col("_position") <= offset + length)
+    return numbered.where(inside).drop("_position")
 
 
 def split_catalog(df: DataFrame, config: str = "config", split: str = "split") -> DataFrame:

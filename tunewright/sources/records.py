@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunewright.operators.position import with_position
+from tunewright.operators.ranged import with_position
 from tunewright.operators.validate import parse_records
 from tunewright.schemas import INTERVIEW_RECORD
 from tunewright.sources.arrays import read_array
@@ -28,9 +28,9 @@ def read_raw(
 ) -> DataFrame:
     """Raw JSON text per record, so that a null value and a missing key stay apart.
 
-    `numbered` adds the file and the 1-based `entry` number in it. Lines are numbered per input
-    split and shifted by the splits before, so a large file is numbered by many tasks; array files
-    are always numbered, and so are their elements.
+    `numbered` adds the file and the 1-based `entry` number in it. Lines are numbered by ranges and
+    shifted by the ranges before, so a large file is numbered by many tasks; elements of array
+    files are always numbered.
     """
     if array:
         return read_array(spark, path).drop("number")
@@ -43,9 +43,7 @@ def read_raw(
         F.monotonically_increasing_id().alias("_at"),
         F.col("value").alias("raw"),
     )
-    return with_position(placed, ["file"], "_at", F.col("_split")).select(
-        "file", F.col("position").alias("entry"), "raw"
-    )
+    return with_position(placed, ["file"], ["_split", "_at"], "entry").select("file", "entry", "raw")
 
 
 def read_with_rejects(
