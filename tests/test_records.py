@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tunewright import constants
 from tunewright.operators import chat, infer, mapping, tokens, validate
-from tunewright.functions.tokens import mask_prompt, pad_truncate
+from tunewright.functions.tokens import first_token_lengths, mask_prompt, pad_truncate
 from tunewright.queries.corpus import load_word_lengths
 from tunewright.schemas import INTERVIEW_RECORD
 from tunewright.session import setting
@@ -159,6 +159,42 @@ def test_labels_have_the_full_length_with_a_loaded_tokenizer(spark):
     assert set(native[2].labels) == {-100}
 
 
+def test_the_prompt_has_no_special_tokens_and_the_text_has(spark, plan):
+    df = spark.createDataFrame([(1, "a bb", " ccc dddd"), (2, "", "x"), (3, None, "x")], "id INT, prompt STRING, completion STRING")
+
+    def load():  # word lengths, after a start token where special tokens are asked for
+        return lambda texts, special: [[99] * special + [len(w) for w in text.split()] for text in texts]
+
+    examples = tokens.tokenize_examples(df, load=load, max_length=6, keep=("id",))
+    rows = {r.id: r for r in examples.collect()}
+    assert rows[1].input_ids == [99, 1, 2, 3, 4, 0] and rows[1].attention_mask == [1] * 5 + [0]
+    assert rows[1].labels == [-100, -100, 2, 3, 4, 0]  # as many positions as the prompt has tokens of its own
+    assert rows[2].labels == [99, 1, 0, 0, 0, 0] and rows[3].input_ids is None
+    assert plan(examples).count("ArrowEvalPython") == 1
+
+
+def test_responses_are_masked_in_one_call(spark, plan):
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "a bb"), (1, 1, "assistant", "ccc dd"), (2, 0, "assistant", None)], "conv_id INT, turn INT, role STRING, text STRING"
+    )
+
+    def load():
+        return lambda texts, special: [[len(w) for w in text.split()] for text in texts]
+
+    one = tokens.mask_to_responses(turns, load=load)
+    rows = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+    assert rows(one.where("conv_id = 1")) == rows(tokens.mask_to_responses(turns).where("conv_id = 1"))
+    assert plan(one).count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 256])
+def test_first_tokens_are_those_of_the_whole_text(spark, n):
+    texts = ["", " ", "a", "a b", "  a b", "a b  ", "\n a\t\tbb  ccc d ", "a b c", None, "x " * 600]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    for r in df.select("t", first_token_lengths(F.col("t"), n).alias("ids")).collect():
+        assert r.ids == (None if r.t is None else [len(w) for w in r.t.split()][:n])
+
+
 def test_tokenizer_keeps_nulls(spark):
     df = spark.createDataFrame([("a b",), (None,)], "text STRING")
     got = df.select(infer.tokenize(F.col("text"), load_word_lengths).alias("ids")).collect()

@@ -20,8 +20,8 @@ def token_lengths(text: Column) -> Column:
 
 def first_token_lengths(text: Column, n: int) -> Column:
     """As `token_lengths`, of the first `n` tokens: the rest of a long text is not split."""
-    start = F.regexp_extract(text, rf"^(?:\s*\S++){{0,{n}}}+", 0)
-    return token_lengths(F.when(text.isNotNull(), start))
+    pieces = F.filter(F.split(text, r"\s+", n + 2), lambda piece: piece != "")
+    return F.transform(F.slice(pieces, 1, n), lambda token: F.length(token))
 
 
 def pad_truncate(ids: Column, max_length: int = MAX_LENGTH, pad=None, eos=0) -> Column:

@@ -56,6 +56,28 @@ def tokenize(text: Column, load: Callable) -> Column:
     return ids(text)
 
 
+def tokenize_both(part: Column, text: Column, load: Callable) -> Column:
+    """`ids` of a text and `part_len`, the number of tokens of a part of it, from one call of Python per batch.
+
+    `load()` returns a function of a list of texts and `add_special_tokens`. The text gets the special
+    tokens that the tokenizer adds, the part none. A null text has no ids; a null part counts as empty.
+    """
+    name = loader_key()
+
+    @F.pandas_udf("ids ARRAY<INT>, part_len INT")
+    def both(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        encode = load_once(name, load)
+        for parts, texts in batches:
+            known = texts.notna()
+            ids = pd.Series([None] * len(texts), index=texts.index, dtype=object)
+            if known.any():
+                ids[known] = pd.Series(list(encode(texts[known].tolist(), True)), index=texts.index[known], dtype=object)
+            counts = [len(p) for p in encode(parts.fillna("").tolist(), False)] if len(parts) else []
+            yield pd.DataFrame({"ids": ids, "part_len": pd.Series(counts, index=texts.index, dtype="int32")})
+
+    return both(part, text)
+
+
 def map_rows(df: DataFrame, **targets: Column) -> DataFrame:
     """A row map given as expressions; only the targets remain."""
     return df.select(*[column.alias(name) for name, column in targets.items()])
