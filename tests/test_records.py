@@ -1,6 +1,7 @@
 """Records: mapping, validation, files, tokens."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,31 @@ def test_versions_are_read_once_complete(spark, tmp_path):
     assert splits.read_version(spark, base, "20240101T000000").count() == 3
 
 
+def test_of_two_writers_of_a_version_one_wins(spark, tmp_path):
+    base = str(tmp_path / "v")
+    frames = [spark.range(0, 4000, 1, 4).selectExpr(f"{i} AS writer", "id", "if(id % 9 = 0, 'test', 'train') AS split") for i in range(2)]
+    with ThreadPoolExecutor(2) as pool:
+        problems = [f.exception() for f in [pool.submit(splits.save_version, df, base, "20240101T000000") for df in frames]]
+    assert sorted(type(p).__name__ for p in problems) == ["NoneType", "ValueError"]
+    got = splits.read_version(spark, base)
+    winner = problems.index(None)
+    assert got.count() == 4000 and {r.writer for r in got.select("writer").distinct().collect()} == {winner}
+    assert len(list((tmp_path / "v" / "data" / "version=20240101T000000").iterdir())) == 1  # the other's files are gone
+    assert splits.versions(spark, base).count() == 1
+
+
+def test_a_claim_whose_writer_was_lost_is_completed(spark, tmp_path):
+    base = str(tmp_path / "v")
+    first = "data/version=a/attempt-1"
+    spark.range(3).write.parquet(f"{base}/{first}")
+    assert splits._claim(spark, f"{base}/claims/a", first) == first  # and then it was lost
+    with pytest.raises(ValueError):
+        splits.read_version(spark, base, "a")
+    with pytest.raises(ValueError):
+        splits.save_version(spark.range(9), base, "a")
+    assert splits.read_version(spark, base).count() == 3
+
+
 def test_a_split_reads_its_own_directory(spark, tmp_path, plan):
     path = str(tmp_path / "s")
     splits.write_split(spark.range(10).selectExpr("id", "if(id < 7, 'train', 'test') AS split"), path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tunewright import constants
 from tunewright.operators import synth
 from tunewright.plans import sizing
+from tunewright.session import setting
 
 
 def test_round_robin(spark):
@@ -138,6 +139,34 @@ def test_cost(spark):
     assert large.timeout_hours == pytest.approx(873.6)
     assert large.long_warning and large.large_model_warning
 
+@pytest.mark.parametrize("few", [100_000, 1])
+def test_sizes_meet_jobs_whatever_their_number(spark, monkeypatch, few):
+    monkeypatch.setattr(sizing, "FEW_DATASETS", few)
+    monkeypatch.setattr(sizing, "JOBS_PER_SALT", 100)
+    jobs = spark.range(1500).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN 'd' || id % 40 END AS dataset",
+        "CASE WHEN id % 50 = 0 THEN 7 END AS dataset_size", "id AS num_examples",
+    )
+    sizes = spark.createDataFrame([("hot", 5), *((f"d{i}", i) for i in range(30))], "dataset STRING, num_examples BIGINT")
+    got = sizing.lookup_size(jobs, sizes)
+    want = {}
+    for i in range(1500):
+        name = "hot" if i % 3 == 0 else f"d{i % 40}" if i % 3 == 1 else None
+        size = 5 if name == "hot" else i % 40 if name and i % 40 < 30 else 10_000
+        want[i] = 7 if i % 50 == 0 else size
+    assert {r.id: r.examples for r in got.collect()} == want and got.columns == [*jobs.columns, "examples"]
+
+
+def test_no_task_holds_all_jobs_of_a_dataset(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "FEW_DATASETS", 1)
+    monkeypatch.setattr(sizing, "JOBS_PER_SALT", 5000)
+    jobs = spark.range(100_000).selectExpr("id", "'one' AS dataset", "CAST(NULL AS INT) AS dataset_size")
+    sizes = spark.createDataFrame([("one", 5), ("two", 6)], "dataset STRING, num_examples BIGINT")
+    with setting(spark, "spark.sql.adaptive.enabled", "false"), setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        got = sizing.lookup_size(jobs, sizes)
+        tasks = got.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 100_000 and max(r["count"] for r in tasks) < 60_000
+
 
 def test_lookups(spark):
     jobs = spark.createDataFrame(

@@ -51,24 +51,48 @@ def lookup_hardware(jobs: DataFrame, hardware: DataFrame) -> DataFrame:
     return jobs.join(rated, "flavor")
 
 
+#: A table of sizes of at most so many rows is broadcast; of more, jobs meet it in salted shuffles.
+FEW_DATASETS = 100_000
+#: Jobs of one dataset that one task of a shuffle takes.
+JOBS_PER_SALT = 500_000
+
+
 def lookup_size(
     jobs: DataFrame, sizes: DataFrame | None = None, explicit: str = "dataset_size"
 ) -> DataFrame:
     """Add `examples`: the job's own size, else the dataset's known size, else 10,000.
 
-    `sizes(dataset, num_examples)` holds counted corpora, one row per dataset.
+    `sizes(dataset, num_examples)` holds counted corpora, one row per dataset. Its rows are counted
+    first. A small table goes to the jobs, which are not shuffled. A large one is met by dataset
+    and salt: a dataset with more jobs than one task should take is repeated for each of its salts, and
+    its jobs are dealt to them.
     """
     known = F.lit(None).cast("bigint")
     for name, size in KNOWN_DATASET_SIZES.items():
         known = F.when(F.col("dataset") == name, F.lit(size).cast("bigint")).otherwise(known)
     counted = F.lit(None).cast("bigint")
+    columns = jobs.columns
     if sizes is not None:
-        jobs = jobs.join(sizes.select("dataset", "num_examples"), "dataset", "left")
-        counted = F.col("num_examples")
+        jobs = _sized(jobs, sizes.select("dataset", F.col("num_examples").alias("_counted")))
+        counted = F.col("_counted")
     examples = F.coalesce(
         F.col(explicit).cast("bigint"), counted, known, F.lit(DEFAULT_DATASET_SIZE).cast("bigint")
     )
-    return jobs.withColumn("examples", examples).drop("num_examples")
+    return jobs.select(*[c for c in columns if c != "examples"], examples.alias("examples"))
+
+
+def _sized(jobs: DataFrame, sizes: DataFrame) -> DataFrame:
+    if sizes.limit(FEW_DATASETS + 1).count() <= FEW_DATASETS:
+        return jobs.join(F.broadcast(sizes), "dataset", "left")
+    # few datasets can have so many jobs: the list of them is as long as all jobs / JOBS_PER_SALT at most
+    busy = jobs.groupBy("dataset").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > JOBS_PER_SALT)
+    busy = F.broadcast(busy.select("dataset", F.ceil(F.col("n") / JOBS_PER_SALT).cast("int").alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1))
+    salts_or_any = F.when(F.col("dataset").isNull(), F.lit(1 << 20)).otherwise(salts)  # a null meets nothing, wherever it goes
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), salts_or_any).cast("int")
+    dealt = jobs.join(busy, "dataset", "left").withColumn("_salt", salt).drop("_salts")
+    repeated = sizes.join(busy, "dataset", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return dealt.join(repeated, ["dataset", "_salt"], "left").drop("_salt")
 
 
 def model_size(name: Column, compat: bool = False) -> Column:

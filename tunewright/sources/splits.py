@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +45,14 @@ def load_dataset(spark: SparkSession, name: str, split: str | None = None) -> Da
 
 
 def versions(spark: SparkSession, base: str) -> DataFrame | None:
-    """The record of complete versions (version, saved_at); none where nothing was saved yet."""
+    """The record of complete versions (version, saved_at, folder); none where nothing was saved yet.
+
+    `folder` is where the version's attempt that won wrote its rows; versions saved without attempts have none.
+    """
     try:
-        return spark.read.schema("version STRING, saved_at TIMESTAMP").parquet(f"{base}/complete")
+        record = spark.read.schema("version STRING, saved_at TIMESTAMP, folder STRING").parquet(f"{base}/complete")
+        # a version may be recorded twice: by its winner, and by one that completed the record for it
+        return record.groupBy("version").agg(F.min("saved_at").alias("saved_at"), F.max("folder").alias("folder"))
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -59,28 +67,60 @@ def is_complete(spark: SparkSession, base: str, version: str) -> bool:
 def save_version(df: DataFrame, base: str, version: str) -> None:
     """Write a new version beside the older ones, then record it as complete.
 
-    A version that is recorded is never written again: that is an error, raised before anything is
-    deleted. Readers take versions from the record, so a failed write is never read; what it left
-    is replaced when the version is saved again.
+    Every attempt writes to a folder of its own, so that two writers of one version, or a failed write
+    and the next one, never mix files. An attempt is committed by creating the version's claim, which the
+    file system lets one of them do; the other is an error, and readers never see its rows. The
+    winner then adds the version and its folder to the record that readers go by. A winner that is lost
+    between the two is found by its claim: saving the version again completes the record with the folder that
+    the claim names, and is an error like any second save.
     """
     spark = df.sparkSession
     if is_complete(spark, base, version):
         raise ValueError(f"version {version} of {base} is complete already")
-    path = f"{base}/data/version={version}"
+    folder = f"data/version={version}/attempt-{uuid.uuid4().hex}"
     if "split" in df.columns:
-        write_split(df, path, mode="overwrite")
+        write_split(df, f"{base}/{folder}")
     else:
-        df.write.mode("overwrite").parquet(path)
-    (
-        spark.range(1)
-        .select(F.lit(version).alias("version"), F.current_timestamp().alias("saved_at"))
-        .write.mode("append")
-        .parquet(f"{base}/complete")
-    )
+        df.write.parquet(f"{base}/{folder}")
+    winner = _claim(spark, f"{base}/claims/{version}", folder)
+    if winner == folder or not is_complete(spark, base, version):
+        _complete(spark, base, version, winner)
+    if winner != folder:
+        lost = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{folder}")
+        lost.getFileSystem(spark._jsc.hadoopConfiguration()).delete(lost, True)
+        raise ValueError(f"version {version} of {base} is complete already")
+
+
+def _claim(spark: SparkSession, path: str, folder: str) -> str:
+    """The folder that the claim names: this one, if its file could be made, else that of an earlier attempt.
+
+    The file gets its content under another name first and its own name by a rename, which fails where the name is taken.
+    """
+    names, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    claim, draft = names.Path(path), names.Path(f"{path}.{uuid.uuid4().hex}")
+    system = claim.getFileSystem(conf)
+    claim, draft = system.makeQualified(claim), system.makeQualified(draft)
+    keep_what_is_there = spark.sparkContext._gateway.new_array(getattr(names, "Options$Rename"), 0)
+    with_content = system.create(draft, False)
+    with_content.write(folder.encode())
+    with_content.close()
+    try:
+        names.FileContext.getFileContext(claim.toUri(), conf).rename(draft, claim, keep_what_is_there)
+        return folder
+    except Py4JJavaError as problem:
+        if "FileAlreadyExistsException" not in problem.java_exception.toString():
+            raise
+        system.delete(draft, False)
+    return spark.read.text(path).first().value
+
+
+def _complete(spark: SparkSession, base: str, version: str, folder: str) -> None:
+    row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("saved_at"), F.lit(folder).alias("folder"))
+    row.write.mode("append").parquet(f"{base}/complete")
 
 
 def latest_version(spark: SparkSession, base: str) -> str:
-    """The version recorded last; the record holds one row per version."""
+    """The version recorded last."""
     known = versions(spark, base)
     if known is None:
         raise ValueError(f"no version of {base} is complete")
@@ -88,4 +128,9 @@ def latest_version(spark: SparkSession, base: str) -> str:
 
 
 def read_version(spark: SparkSession, base: str, version: str | None = None) -> DataFrame:
-    return spark.read.parquet(f"{base}/data/version={version or latest_version(spark, base)}")
+    version = version or latest_version(spark, base)
+    known = versions(spark, base)
+    row = None if known is None else known.where(F.col("version") == version).agg(F.count("*").alias("n"), F.max("folder").alias("folder")).first()
+    if row is None or not row.n:
+        raise ValueError(f"version {version} of {base} is not complete")
+    return spark.read.parquet(f"{base}/{row.folder or f'data/version={version}'}")

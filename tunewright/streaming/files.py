@@ -107,18 +107,25 @@ def stream_dataset(
     """Take a stream's first `max_steps * rows_per_step` rows, however many there are in all.
 
     Whole micro-batches are taken until one would pass the bound; of that one the rows of the
-    smallest hashed keys are taken, without a sort or a single-task limit. What earlier
-    batches took is read back from the output, so a restart neither loses nor repeats rows.
+    smallest hashed keys are taken, without a sort or a single-task limit. Each batch leaves a
+    record of how many rows were taken up to it, beside the output; the next one reads that record
+    alone, so a batch costs the same however long the stream has run, and a batch that is run
+    again replaces its rows and its record: a restart neither loses nor repeats rows.
     """
     bound = max_steps * rows_per_step
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        left = bound - _rows_before(batch.sparkSession, path, batch_id)
+        spark = batch.sparkSession
+        before = _taken_before(spark, path, batch_id)
+        left = bound - before
         if left <= 0:
             return
         if batch.count() > left:
             batch = mark_smallest(batch, key, "_taken", n=left, seed=seed).where("_taken").drop("_taken")
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        out = f"{path}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(out)
+        taken = before + spark.read.schema(batch.schema).parquet(out).count()  # from the files' footers
+        spark.range(1).select(F.lit(taken).alias("taken")).write.mode("overwrite").json(_record(path, batch_id))
 
     return (
         stream.writeStream.foreachBatch(take)
@@ -128,11 +135,26 @@ def stream_dataset(
     )
 
 
-def _rows_before(spark: SparkSession, path: str, batch_id: int) -> int:
+def _record(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}-taken/{batch_id}"
+
+
+def _taken_before(spark: SparkSession, path: str, batch_id: int) -> int:
+    """Rows that earlier batches took, from the record of the last of them.
+
+    A batch without a record was started after the bound was reached, or before records were kept; then
+    the output is counted.
+    """
+    if batch_id == 0:
+        return 0
+    try:
+        return spark.read.schema("taken BIGINT").json(_record(path, batch_id - 1)).first().taken
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
     try:
-        written = spark.read.parquet(path)
+        return spark.read.parquet(path).where(F.col("batch") < batch_id).count()
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return 0
         raise
-    return written.where(F.col("batch") < batch_id).count()
