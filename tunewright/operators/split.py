@@ -38,8 +38,7 @@ def mark_smallest(
 
     A count per coarse hash bucket (at most 262,144 rows, whatever the table's size) finds the bucket
     the cut falls in; only that bucket's keys are ranked, and the cut comes to the driver as one row.
-    Only where it falls among copies of a key are these numbered, task by task from the tasks' counts;
-    `df` must then be read the same way twice, as a table is.
+    Only where it falls among copies of a key are these numbered, by ranges that are written once.
     """
     bucket = F.expr(f"h div {BUCKETS // COARSE_BUCKETS}")
     hashed = df.select(draw32(seed, F.col(key)).alias("h"), F.col(key).alias("k"))
@@ -76,12 +75,8 @@ def mark_smallest(
     if last.left >= last.c:
         return df.withColumn(name, F.coalesce(own <= end, F.lit(False)))
     tied = F.coalesce(own == end, F.lit(False))
-    placed = df.where(tied).withColumn("_task", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-    counts = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))  # a row a task
-    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    number = F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    copies = placed.join(starts, "_task").select(*df.columns, (number < last.left).alias(name))
+    numbered = with_position(df.where(tied), [], key, "_number")
+    copies = numbered.select(*df.columns, (F.col("_number") <= last.left).alias(name))
     return df.where(~tied).withColumn(name, F.coalesce(own < end, F.lit(False))).unionByName(copies)
 
 
