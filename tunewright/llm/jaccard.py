@@ -40,8 +40,8 @@ ROUNDS = 2
 #: Documents of an n-gram that are paired with each other; of more, each is paired with a leader.
 FEW = 6
 #: A member is near its leader up to so many percent of similarity below the threshold, and the
-#: distances of two that link differ by one minus the threshold at most. With low thresholds, none below.
-NEAR, NEAR_FROM = 8, 90
+#: distances of two that link differ by one minus the threshold at most.
+NEAR = 8
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 
@@ -239,6 +239,11 @@ def _sketch_fits(percent: int):
     return run
 
 
+def few(ids: DataFrame) -> DataFrame:
+    """A narrow table, to be broadcast where it is small enough; its rows are counted."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def _similar(percent: int) -> str:
     return f"100 * both >= {percent} * (size_a + size_b - both)"
 
@@ -303,13 +308,17 @@ class Join:
         self.signed = staged(
             documents.select("id", "text").mapInArrow(
                 _signatures(counts, n, percent), "id long, size long, digest binary, prefix array<long>, bins binary"
-            ),
+            ).withColumn("row", F.monotonically_increasing_id()),
             "signatures",
         )
-        #: every id with the id that stands for its set
-        self.classes = self.signed.groupBy("digest").agg(F.min("id").alias("rep"))
-        reps = self.classes.select(F.col("rep").alias("id"))
-        self.reps = staged(self.signed.where("size > 0").join(reps, "id", "left_semi").drop("digest").dropDuplicates(["id"]), "reps")
+        #: every set with the id that stands for it
+        named = F.when(F.col("id").isNotNull(), F.struct("id", "row"))
+        first = self.signed.groupBy("digest").agg(F.min(named).alias("first"))
+        self.classes = staged(first.select("digest", F.col("first.id").alias("rep"), F.col("first.row").alias("row")), "classes")
+        # what stands for no set: found over narrow rows, and few beside all rows
+        others = staged(self.signed.select("row").join(self.classes.select("row"), "row", "left_anti"), "others")
+        self.reps = staged(self.signed.where("size > 0 AND id IS NOT NULL").join(few(others), "row", "left_anti").drop("digest", "row"), "reps")
+        release(others)
         self.sketches = self.reps.select("id", "size", "bins")
         self.postings = self.reps.select("id", "size", F.posexplode("prefix").alias("pos", "gram"))
 
@@ -333,10 +342,8 @@ class Join:
 
     def _side_by_side(self, dealt: DataFrame, compare, schema: str) -> DataFrame:
         """The sets of dealt pairs, made from the texts, through `compare`."""
-        if dealt.count() <= BROADCAST_ROWS:
-            dealt = F.broadcast(dealt)  # else the texts of all documents are shuffled to meet it
         return (
-            self.documents.join(dealt, "id")
+            self.documents.join(few(dealt), "id")  # if it is not few, the texts of all documents are shuffled to meet it
             .select("lead", "salt", "id", "text")
             .mapInArrow(_set_rows(self.n), "lead long, salt long, id long, grams binary")
             .repartition("lead", "salt")
@@ -356,12 +363,12 @@ class Join:
     def links(self) -> DataFrame:
         """Pairs (a, b) of representatives with enough overlap, such that all linked ones are connected."""
         percent = self.percent
-        near = percent - (NEAR if percent >= NEAR_FROM else 0)
+        near = percent - NEAR
         far = near - (100 - percent)
         shared = [self._shared(self.postings)]
-        few = shared[0].where(f"n <= {FEW}").select("gram", "id", "size", "pos")
+        rare = shared[0].where(f"n <= {FEW}").select("gram", "id", "size", "pos")
         pairs = (
-            few.alias("x").join(few.alias("y"), F.expr("x.gram = y.gram AND x.id < y.id")).where(_may_link(percent))
+            rare.alias("x").join(rare.alias("y"), F.expr("x.gram = y.gram AND x.id < y.id")).where(_may_link(percent))
             .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         )
         linked, close = [self.verify(pairs, percent).where(_similar(percent)).select("a", "b")], []
@@ -477,5 +484,7 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", n: i
     Rows of a null key, and rows without words, stay. Where a key is repeated, all its rows stay or go.
     """
     classes = staged(jaccard_classes(documents, key, text, n, percent), "classes")
-    gone = classes.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
+    gone = staged(classes.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct(), "gone")
+    release(classes)
+    gone = few(gone)
     return documents.join(gone, documents[key] == gone["_gone"], "left_anti")
