@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -31,6 +32,44 @@ def test_broken_pages_have_no_text_and_do_not_fail(page):
     assert html_text.main_text(page, tree) in ("", "&#", "<")
 
 
+LONG = "The river runs past the old mill and the people of the town walk there in the evening, while children play near the bridge. " * 2
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ('<div class="overflow-hidden">', "</div>"), ('<div class="content with-sidebar">', "</div>"), ('<div id="main-content" data-hidden-on="x">', "</div>"),
+        ('<div class="has-ads no-comments">', "</div>"),
+    ],
+)
+def test_names_of_the_surroundings_do_not_hide_an_article(before, after):
+    tree = html_text.grow(html_text.LABELLED)
+    page = f"<body><nav><a href=/>Home</a></nav>{before}<article><p>{LONG}</p></article>{after}</body>"
+    assert html_text.main_text(page, tree) == LONG.strip()
+
+
+def test_names_of_places_in_a_text_and_parts_of_a_page():
+    tree = html_text.grow(html_text.LABELLED)
+    page = f"""<article><header class="entry-header"><h1>Of rivers</h1></header><p>{LONG}</p>
+        <section id="related-work"><h2 id="search-methods">Search</h2><p>{LONG}</p></section>
+        <section id="related-posts"><p>{LONG} x</p></section><div id="comments-list"><p>{LONG} y</p></div>
+        <p hidden>{LONG} z</p><p style="display: none">{LONG} w</p><p aria-hidden=true>{LONG} v</p></article>"""
+    got = html_text.main_text(page, tree)
+    assert got == "\n\n".join(["Of rivers", LONG.strip(), "Search", LONG.strip()])
+    assert html_text.main_text(f"<article><p title='a>{LONG}</p></article>", tree) in ("", LONG.strip())  # an odd quote
+
+
+def test_end_tags_of_nothing_cost_nothing():
+    started = time.time()
+    assert len(html_text.blocks("<b>" * 20_000 + "</i>" * 20_000 + "x")) == 1
+    assert time.time() - started < 2
+
+
+@pytest.mark.parametrize("text, want", [("½ ² ① Ⅷ 12", ""), ("x² Ⅷa", "xa"), ("ÉTÉ", "été")])
+def test_numerals_are_no_letters(text, want):
+    assert "".join(language.bare(w) for w in text.split()) == want
+
+
 def test_extract_keeps_rows(spark):
     pages = spark.createDataFrame(
         [(1, "u", None, 5), (None, None, "<article><p>x" + " y" * 100_000 + "</article>", 5), (1, "u", "", 5)],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pandas as pd
@@ -25,20 +26,28 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements of which the content is not the article's.
 OUTER = frozenset("nav aside footer form menu dialog fieldset".split())
 #: Words in class and id names: of the page around an article, and of the article.
-OUTER_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|foot|gdpr|header|masthead|menu|modal|"
+_OUTER_WORDS = (
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disqus|footer|foot|gdpr|header|masthead|menu|modal|"
     r"nav\w*|newsletter|notices?|pagination|popup|promo\w*|recommend\w*|related|respond|replies|share|sharing|sidebar|side|skip|"
-    r"social|sponsor\w*|subscribe|tags?|toolbar|widget|topbar|login|signup|search)(?:$|[\s_-]|\d)",
+    r"social|sponsor\w*|subscribe|tags?|toolbar|widget|topbar|login|signup|search)"
+)
+OUTER_NAME = re.compile(rf"(?:^|[\s_-]){_OUTER_WORDS}(?:$|[\s_-]|\d)", re.I)
+#: An id names a place in the text as well ("related-work"), so one that says a part of the page says nothing else but what form it has.
+OUTER_ID = re.compile(
+    rf"(?:(?:site|page|main|top|bottom|left|right|post|article|global|primary)[_-])*{_OUTER_WORDS}"
+    r"(?:[_-]?(?:area|articles?|bar|block|box|container|content|field|form|inner|links?|list|menu|notice|panel|posts?|section|stories|thread|widget|wrap\w*|\d+))*",
     re.I,
 )
+#: Class names that say what surrounds an element, not what it is.
+_BESIDE = re.compile(r"(?:has|with|without|no|is|js|hide)[_-]\S+", re.I)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
     r"|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)",
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|$)",
     re.S | re.I,
 )
-_NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTES = re.compile(r"([^\s=\"'/>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 
 
 @dataclass
@@ -57,6 +66,22 @@ class Block:
         return self.link_words / self.words if self.words else 0.0
 
 
+def _said(name: str, rest: str, article: bool) -> tuple[bool, bool]:
+    """Whether an element's names say that it is of the page around an article, and whether it is not shown."""
+    named = hidden = False
+    for attribute, *values in _ATTRIBUTES.findall(rest):
+        attribute, value = attribute.lower(), "".join(values)
+        if attribute == "hidden" or (attribute == "aria-hidden" and value.lower() == "true") or (attribute == "style" and _NO_DISPLAY.search(value)):
+            hidden = True
+        elif name in ("body", "html", "h1", "h2", "h3", "h4", "h5", "h6"):
+            continue  # a heading is named after what it heads
+        elif attribute == "id":
+            named |= bool(OUTER_ID.fullmatch(value.strip())) and not (name == "header" and article)
+        elif attribute in ("class", "role", "aria-label") and not (name == "header" and article):
+            named |= bool(OUTER_NAME.search(_BESIDE.sub(" ", value)))
+    return named, hidden
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order. Elements left open at the end of the page are closed there."""
     out: list[Block] = []
@@ -73,6 +98,7 @@ def blocks(page: str) -> list[Block]:
             _, outer, article, heading, _ = stack[-1]
             out.append(Block(text, len(text.split()), links, article, outer, heading))
 
+    opened: Counter[str] = Counter()  # so that an end tag of nothing costs nothing
     at = 0
     for token in _TOKEN.finditer(page):
         if token.start() > at:
@@ -87,8 +113,11 @@ def blocks(page: str) -> list[Block]:
         if name in BLOCKS:
             flush()
         if token["close"]:
+            if not opened[name]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == name:
+                    opened.subtract(x[0] for x in stack[depth:])
                     del stack[depth:]
                     break
                 if stack[depth][0] in ("article", "main", "body") and name not in BLOCKS:
@@ -98,14 +127,15 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and stack[-1][0] == name:
             stack.pop()
+            opened[name] -= 1
         _, outer, article, heading, link = stack[-1]
-        rest = token["rest"]
-        said = " ".join(filter(None, (x for m in _NAMES.findall(rest) for x in m)))
+        named, hidden = _said(name, token["rest"], article)
         if name in ("article", "main"):
-            named = bool(said and OUTER_NAME.search(said))
             outer, article = (outer + 1 if named else (0 if not article else outer)), article or not named
-        elif name in OUTER or (name == "header" and not article) or (said and name not in ("body", "html") and OUTER_NAME.search(said)) or _HIDDEN.search(rest):
+            outer += hidden
+        elif name in OUTER or (name == "header" and not article) or named or hidden:
             outer += 1
+        opened[name] += 1
         stack.append((name, outer, article, heading or name in ("h1", "h2", "h3", "h4", "h5", "h6"), link or name == "a"))
     if at < len(page):
         parts.append((page[at:], stack[-1][4]))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,8 +36,6 @@ SCRIPT_STARTS = [
 _STARTS = np.array([start for start, _ in SCRIPT_STARTS])
 SCRIPTS = sorted({name for _, name in SCRIPT_STARTS})
 _SCRIPT_OF = np.array([SCRIPTS.index(name) for _, name in SCRIPT_STARTS])
-_NO_LETTER = re.compile(r"[\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +69,8 @@ def scripts(words: list[str]) -> np.ndarray:
 
 
 def bare(word: str) -> str:
-    return _NO_LETTER.sub("", word).lower()
+    """The letters of a word in lower case; numerals such as a half or a Roman six are none."""
+    return (word if word.isalpha() else "".join(filter(str.isalpha, word))).lower()
 
 
 @dataclass
