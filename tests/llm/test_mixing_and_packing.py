@@ -134,7 +134,11 @@ def _odd_texts(n, seed):
 
 def test_ids_are_the_library_s():
     known, encode = Tokenizer.from_file(WORD_BPE), packing.Encoder(WORD_BPE)
-    texts = _odd_texts(3000, 1) + ["x" * 5000, None, ""]
+    rnd = random.Random(9)
+    ascii_ = "".join(map(chr, range(32, 127))) + "''sstreveld  "
+    letters = ascii_ + "".join(map(chr, [*range(0xA0, 0x180), *range(0x370, 0x3FF), *range(0x400, 0x460)])) + "éäÖßœĲŁĳſΣσςИйЁ" * 9 + "\u0301\u0308"
+    texts = _odd_texts(3000, 1) + ["x" * 5000, None, ""] + ["".join(rnd.choices(ascii_, k=rnd.randint(0, 80))) for _ in range(3000)]
+    texts += ["".join(rnd.choices(letters, k=rnd.randint(0, 60))) for _ in range(6000)] + [c + "a" for c in letters] + list(letters)
     for at in range(0, len(texts), 500):
         for text, ids in zip(texts[at : at + 500], encode(texts[at : at + 500])):
             assert np.frombuffer(ids, "<u4").tolist() == known.encode(text or "", add_special_tokens=False).ids, repr(text)[:90]

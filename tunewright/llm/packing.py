@@ -10,11 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunewright.llm.common import prepare
+from tunewright.llm.bpe_count import byte_symbols
+from tunewright.llm.common import Memo, prepare
 
 #: Window lengths from short to long; powers of two, so that a full window of any tier needs no padding.
 TIERS = (256, 512, 1024, 2048)
@@ -31,6 +33,11 @@ LONG_RUN = 64
 #: What only Python takes for white space; a text with it is split at blanks and line ends alone.
 _ODD = re.compile("[\x1c-\x1f]")
 _SPACES = re.compile(r"[ \t\n\r]+")
+#: The vocabulary's pattern of what is merged apart, and the same for lower-case ASCII without white space.
+_LETTER_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Runs of printable ASCII and of Latin, Greek and Cyrillic letters that have one lower case and are composed as they stand.
+_PLAIN = re.compile(r"[!-~\u00C0-\u012F\u0132-\u017E\u0391-\u03A1\u03A4-\u03A9\u03B1-\u03C1\u03C3-\u03C9\u0400-\u045F]+").fullmatch
 
 
 def _plain(text: str) -> str:
@@ -42,7 +49,8 @@ class Encoder:
     """Token ids of texts as little-endian 32-bit bytes, the ids of each run between spaces remembered.
 
     For a vocabulary of lower-case text whose pre-tokenizer drops white space and never joins what it separates, the ids
-    of a text are those of its runs one after the other. New runs are encoded many at a time, as one
+    of a text are those of its runs one after the other. A new run of plain letters is taken apart by the
+    vocabulary's pattern, and its parts are remembered too; others are encoded many at a time, as one
     text, and told apart by where their tokens start.
     """
 
@@ -58,8 +66,21 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.runs: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.parts = Memo(self._part, CACHED_RUNS)
+        self.merge, self.symbols = self.tokenizer.model.tokenize, dict(enumerate(byte_symbols()))
+
+    def _plain_run(self, run: str) -> bytes:
+        """Ids of a plain run: those of its parts, which the model alone can tell."""
+        run = run.lower()
+        return b"".join(map(self.parts.__getitem__, (_PARTS if run.isascii() else _LETTER_PARTS).findall(run)))
+
+    def _part(self, part: str) -> bytes:
+        return np.array([t.id for t in self.merge(part.encode().decode("latin-1").translate(self.symbols))], "<u4").tobytes()
 
     def _learn(self, new: list[str]) -> None:
+        plain = [run for run in new if _PLAIN(run) and "<|" not in run]
+        self.runs.update(zip(plain, map(self._plain_run, plain)))
+        new = list(set(new).difference(plain)) if len(plain) < len(new) else []
         for at in range(0, len(new), RUNS_AT_ONCE):
             some = new[at : at + RUNS_AT_ONCE]
             said = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
