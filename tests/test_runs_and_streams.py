@@ -306,6 +306,20 @@ def test_a_source_comes_back(spark, tmp_path):
     assert final == {"1": "ACTIVE", "2": "INACTIVE", "9": "ACTIVE", None: "ACTIVE"}
 
 
+def test_liveness_deals_sources_to_buckets(spark, tmp_path):
+    """Many sources share a few calls of the state store, and few buckets give what many give."""
+    folder = str(tmp_path / "in")
+    for rows in ([(i, i) for i in range(500)], [(i, 5000 + i) for i in range(250, 750)], [(i, 200 + i) for i in range(100)] + [(None, 5600)]):
+        _events(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+    expected = spark.createDataFrame([(i,) for i in [*range(0, 1500, 3), None]], "user_id BIGINT")
+    few, many = ([tuple(r) for r in _liveness(spark, folder, tmp_path, expected, buckets=n).collect()] for n in (3, 4096))
+    assert sorted(few, key=str) == sorted(many, key=str)
+    assert sorted(int(s) for s, _, status in few if status == "MISSING" and s) == list(range(750, 1500, 3))
+    final = {r.source: r.status for r in liveness.latest_status(spark.createDataFrame(few, "source STRING, last_ts TIMESTAMP, status STRING")).collect()}
+    assert final[None] == "ACTIVE" and len(final) == 750 + 250 + 1
+    assert {s for s, status in final.items() if status == "ACTIVE" and s} == {str(i) for i in range(250, 750)}
+
+
 def test_final_flush_goes_on_where_the_last_one_ended(spark, event_folders, tmp_path):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     for _ in range(2):

@@ -1,4 +1,4 @@
-"""Liveness of sources in a stream: silence is noticed by an event-time timer per source."""
+"""Liveness of sources in a stream: silence is noticed by an event-time timer per bucket of sources."""
 
 from __future__ import annotations
 
@@ -14,6 +14,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tunewright.constants import LIVE_SECONDS
 
 REPORT = "source STRING, last_us BIGINT, status STRING"
+#: Groups that sources are dealt to; each has a timer and its part of the state.
+BUCKETS = 4096
 
 
 def newest_per_source(stream: DataFrame, source: str, ts: str = "ts") -> DataFrame:
@@ -43,10 +45,11 @@ def newest_per_source(stream: DataFrame, source: str, ts: str = "ts") -> DataFra
 
 
 class Silence(StatefulProcessor):
-    """Keeps a source's newest time and a timer for when its silence has lasted too long.
+    """Keeps the newest time of every live source of a bucket, and a timer for the first of them to fall silent.
 
-    An expected source has a timer from the start, that tells that it is missing unless it is heard
-    before. A source that fell silent, or was told missing, keeps no state.
+    An expected source has no time until it is heard; the first timer tells that it is missing. A
+    source that fell silent, or was told missing, keeps no state. Sources of a bucket are told apart
+    here, as a call of the state store for each of them would cost far more than all else.
     """
 
     def __init__(self, limit: int):
@@ -54,67 +57,107 @@ class Silence(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "last_us BIGINT")
+        self.blocks = handle.getListState("sources", "block BINARY")
 
     def _due(self, last: int) -> int:
         return last // 1000 + self.limit_ms
 
-    def _stop(self) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+    def _wakes(self, last: int | None) -> int:
+        return 1 if last is None else self._due(last) + 1
+
+    def _known(self) -> dict[str | None, int | None]:
+        """Newest time by source; None if it is expected and not heard yet."""
+        known = {}
+        for (block,) in self.blocks.get():
+            with pa.ipc.open_stream(block) as reader:
+                rows = reader.read_all()
+            known.update(zip(rows["source"].to_pylist(), rows["last_us"].to_pylist()))
+        return known
+
+    def _block(self, known: dict[str | None, int | None]) -> tuple[bytes]:
+        rows = pa.table([pa.array(known, pa.string()), pa.array(known.values(), pa.int64())], ["source", "last_us"])
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, rows.schema) as writer:
+            writer.write_table(rows)
+        return (out.getvalue().to_pybytes(),)
+
+    def _keep(self, known: dict[str | None, int | None]) -> None:
+        if known:
+            self.blocks.put([self._block(known)])
+            self.handle.registerTimer(min(map(self._wakes, known.values())))
+        else:
+            self.blocks.clear()
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.handle.registerTimer(1)
+        expected = initialState["source"].astype(object)
+        if len(expected):  # a block for each part of a large bucket
+            self.blocks.appendValue(self._block(dict.fromkeys(expected.where(expected.notna(), None))))
+            self.handle.registerTimer(1)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        heard = max(int(batch["last_us"].max()) for batch in rows)
-        known = self.last.get()[0] if self.last.exists() else None
-        if known is not None and heard <= known:
-            return
-        self._stop()
+        newest: dict[str | None, int] = {}
+        for batch in rows:
+            sources = batch["source"].astype(object)
+            for source, last in zip(sources.where(sources.notna(), None), batch["last_us"].tolist()):
+                newest[source] = max(last, newest.get(source, last))
         watermark = timerValues.getCurrentWatermarkInMs()
-        if known is not None and self._due(known) < watermark:
-            yield self._row(key, known, "INACTIVE")  # it was silent, and comes back before its timer is looked at
-        if self._due(heard) < watermark:
-            self.last.clear()
-            yield self._row(key, heard, "INACTIVE")
-            return
-        self.last.update((heard,))
-        self.handle.registerTimer(self._due(heard) + 1)
-        yield self._row(key, heard, "ACTIVE")
+        known, reports = self._known(), []
+        for source, heard in newest.items():
+            last = known.get(source)
+            if last is not None and heard <= last:
+                continue
+            if last is not None and self._due(last) < watermark:
+                reports.append((source, last, "INACTIVE"))  # it was silent, and comes back before its timer is looked at
+            if self._due(heard) < watermark:
+                known.pop(source, None)
+                reports.append((source, heard, "INACTIVE"))
+            else:
+                known[source] = heard
+                reports.append((source, heard, "ACTIVE"))
+        if reports:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self._keep(known)
+            yield self._rows(reports)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.last.exists():
-            yield self._row(key, None, "MISSING")
-            return
-        last = self.last.get()[0]
-        self.last.clear()
-        yield self._row(key, last, "INACTIVE")
+        watermark = timerValues.getCurrentWatermarkInMs()
+        known = self._known()
+        silent = {source: last for source, last in known.items() if self._wakes(last) <= watermark}
+        self._keep({source: last for source, last in known.items() if source not in silent})
+        if silent:
+            yield self._rows([(source, last, "MISSING" if last is None else "INACTIVE") for source, last in silent.items()])
 
-    def _row(self, key, last: int | None, status: str) -> pd.DataFrame:
-        return pd.DataFrame({"source": [key[0]], "last_us": pd.array([last], "Int64"), "status": [status]})
+    def _rows(self, reports: list[tuple[str | None, int | None, str]]) -> pd.DataFrame:
+        sources, lasts, statuses = zip(*reports)
+        return pd.DataFrame({"source": pd.Series(sources, dtype=object), "last_us": pd.array(lasts, "Int64"), "status": statuses})
 
     def close(self) -> None:
         pass
 
 
 def liveness_stream(
-    stream: DataFrame, source: str, expected: DataFrame | None = None, limit: int = LIVE_SECONDS, delay: str = "0 seconds"
+    stream: DataFrame, source: str, expected: DataFrame | None = None, limit: int = LIVE_SECONDS, delay: str = "0 seconds",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """A row whenever a source is heard from with a newer time (ACTIVE), and when it falls silent (INACTIVE).
 
     A source is silent once the newest time of all, less `delay`, passes its last row by more than
     `limit` seconds. Rows may come in any order: those of a source that is long silent by then are
     reported INACTIVE at once. `expected` is a table with the column `source`; what it lists and no row has named
-    yet is MISSING. State is a number per live source. Start the stream with RocksDB as state store.
+    yet is MISSING. State is a name and a number per live source, kept and rewritten by bucket of the hash of
+    the source: of more than some hundred million sources take more `buckets`, as many from a stream's
+    start to its end. Start the stream with RocksDB as state store.
     """
+    bucket = F.pmod(F.xxhash64("source"), F.lit(buckets)).alias("bucket")
     expected_sources = None
     if expected is not None:
-        expected_sources = expected.select(F.col(source).cast("string").alias("source")).distinct().groupBy("source")
+        expected_sources = expected.select(F.col(source).cast("string").alias("source")).distinct().select(bucket, "source").groupBy("bucket")
     tracked = (
         newest_per_source(stream, source)
+        .select(bucket, "source", "last_us", "clock")
         .withWatermark("clock", delay)
-        .groupBy("source")
+        .groupBy("bucket")
         .transformWithStateInPandas(Silence(limit), REPORT, "Append", "EventTime", expected_sources)
     )
     return tracked.select("source", F.timestamp_micros("last_us").alias("last_ts"), "status")
