@@ -147,6 +147,21 @@ def test_ids_are_the_library_s():
         packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def test_new_runs_are_taken_apart_where_they_are_met(monkeypatch):
+    """No pass over the runs of all texts comes first; odd, long and repeated runs, and turned-over caches, change no id."""
+    monkeypatch.setattr(packing, "CACHED_RUNS", 20)
+    library, encode = Tokenizer.from_file(WORD_BPE), packing.Encoder(WORD_BPE)
+    draw = random.Random(5)
+    words = ["Éclair,", "don't", "it's!!", "x" * 70, "ñ" * 70 + "1", "数据", "数" * 80, "a<|endoftext|>b", "É", "12ab", "İstanbul", "×2", "naïve's", "ΑΣ"]
+    texts = ["", None, *(" ".join(draw.choices(words + [f"w{i}" for i in range(60)], k=draw.randrange(1, 40))) for _ in range(120))]
+    for at in range(0, len(texts), 8):
+        some = texts[at : at + 8]
+        want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in some]
+        assert encode(some) == want
+    assert not any(len(run) > packing.LONG_RUN for run in [*encode.runs, *encode.older])
+    assert encode.runs["Unmet,"] == np.array(library.encode("Unmet,", add_special_tokens=False).ids, "<u4").tobytes()
+
+
 @pytest.mark.parametrize("count", [0, 1, 300])
 def test_every_id_is_in_one_piece_of_a_gapless_window(docs, count):
     known = Tokenizer.from_file(WORD_BPE)

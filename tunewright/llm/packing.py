@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -45,6 +46,21 @@ def _plain(text: str) -> str:
     return text.lower() if text.isascii() and "<|" not in text else text
 
 
+class Runs(dict):
+    """Ids of runs; those of a new one are what `new` gives, or nothing for now if that is None."""
+
+    def __init__(self, new):
+        super().__init__()
+        self.new = new
+
+    def __missing__(self, run: str) -> bytes:
+        ids = self.new(run)
+        if ids is None:
+            return b""
+        self[run] = ids
+        return ids
+
+
 class Encoder:
     """Token ids of texts as little-endian 32-bit bytes, the ids of each run between spaces remembered.
 
@@ -64,23 +80,33 @@ class Encoder:
         if steps != ["NFC", "Replace", "Lowercase"] or cuts[0].get("type") != "Split" or cuts[0].get("behavior") != "Removed" or said.get("post_processor"):
             raise ValueError(f"{path} does not lower-case texts and drop white space")
         self.tokenizer = Tokenizer.from_file(path)
-        self.runs: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.runs, self.older = Runs(self._new), {}
         self.parts = Memo(self._part, CACHED_RUNS)
         self.merge, self.symbols = self.tokenizer.model.tokenize, dict(enumerate(byte_symbols()))
-
-    def _plain_run(self, run: str) -> bytes:
-        """Ids of a plain run: those of its parts, which the model alone can tell."""
+        #: runs of the texts at hand: those to encode as one text, and those to forget
+        self.odd: list[str] = []
+        self.long: list[str] = []
+
+    def _new(self, run: str) -> bytes | None:
+        """Ids of a run that is not remembered: those of its parts if it is plain, which the model alone can tell."""
+        if len(run) > LONG_RUN:
+            self.long.append(run)
+        elif (ids := self.older.get(run)) is not None:
+            return ids
+        if not _PLAIN(run) or "<|" in run:
+            self.odd.append(run)
+            return None
         run = run.lower()
+        if run.isalpha():
+            return self.parts[run]
         return b"".join(map(self.parts.__getitem__, (_PARTS if run.isascii() else _LETTER_PARTS).findall(run)))
 
     def _part(self, part: str) -> bytes:
-        return np.array([t.id for t in self.merge(part.encode().decode("latin-1").translate(self.symbols))], "<u4").tobytes()
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.symbols)
+        ids = [token.id for token in self.merge(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, new: list[str]) -> None:
-        plain = [run for run in new if _PLAIN(run) and "<|" not in run]
-        self.runs.update(zip(plain, map(self._plain_run, plain)))
-        new = list(set(new).difference(plain)) if len(plain) < len(new) else []
         for at in range(0, len(new), RUNS_AT_ONCE):
             some = new[at : at + RUNS_AT_ONCE]
             said = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
@@ -93,15 +119,20 @@ class Encoder:
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = [list(filter(None, _SPACES.split(t))) if t and _ODD.search(t) else _plain(t or "").split() for t in texts]
         if len(self.runs) > CACHED_RUNS:
-            self.older, self.runs = self.runs, {}
-        wanted = set().union(*split).difference(self.runs)
-        kept = wanted.intersection(self.older)
-        self.runs.update((run, self.older[run]) for run in kept)
-        self._learn(list(wanted - kept))
-        ids = [b"".join(map(self.runs.__getitem__, runs)) for runs in split]
-        for run in wanted:
-            if len(run) > LONG_RUN:
-                del self.runs[run]
+            self.older, self.runs = self.runs, Runs(self._new)
+        self.odd, self.long = [], []
+        ids, unfinished = [], []
+        for i, runs in enumerate(split):
+            known = len(self.odd)
+            ids.append(b"".join(map(self.runs.__getitem__, runs)))
+            if len(self.odd) > known:
+                unfinished.append(i)
+        if unfinished:
+            self._learn(list(dict.fromkeys(self.odd)))
+            for i in unfinished:
+                ids[i] = b"".join(map(self.runs.__getitem__, split[i]))
+        for run in self.long:
+            self.runs.pop(run, None)
         return ids
 
 
