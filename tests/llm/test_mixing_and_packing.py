@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tunewright.llm import mixing, packing
+from tunewright.llm import common, mixing, packing, quality
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -162,6 +162,17 @@ def test_new_runs_are_taken_apart_where_they_are_met(monkeypatch):
     assert encode.runs["Unmet,"] == np.array(library.encode("Unmet,", add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_a_worker_forgets_caches_of_other_operators():
+    packing.encoder(WORD_BPE)(["some words"])
+    quality.features("some words")
+    common.serve("packing")
+    common.serve("jaccard")
+    assert not packing._ENCODERS and not quality.WORDS
+    quality.features("some words")
+    common.serve("jaccard")
+    assert len(quality.WORDS) == 2  # only a turn empties them
+
+
 @pytest.mark.parametrize("count", [0, 1, 300])
 def test_every_id_is_in_one_piece_of_a_gapless_window(docs, count):
     known = Tokenizer.from_file(WORD_BPE)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tunewright.session import fresh_dir, ship_package
@@ -74,6 +76,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_KEPT: list[dict] = []
+_SERVED = [""]
+
+
+def kept(cache: dict) -> dict:
+    """A cache of the module, which a worker process keeps from task to task of one operator."""
+    _KEPT.append(cache)
+    return cache
+
+
+def serve(operator: str) -> None:
+    """What a task's Python starts with: a worker that turns to another operator forgets what it kept for the last.
+
+    Workers live on from query to query, so caches of one would else count against the memory of all that follow.
+    """
+    if _SERVED[0] != operator:
+        _SERVED[0] = operator
+        for cache in _KEPT:
+            cache.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 class Memo(dict):
     """A cache of `make(key)` that starts anew when it holds `limit` keys."""
 

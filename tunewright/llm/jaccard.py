@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunewright.llm.common import prepare, release, staged
+from tunewright.llm.common import prepare, release, serve, staged
 from tunewright.llm.components import components
 
 #: Pairs of one leader that are verified together.
@@ -47,7 +47,7 @@ SLOTS = 1 << SLOT_BITS
 
 
 #: Bytes hashed at once.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -160,6 +160,7 @@ def slot_counts(documents: DataFrame, text: str, n: int) -> np.ndarray:
     """Documents per hash slot of their n-grams, over all documents; 2^18 numbers whatever the input."""
 
     def count(batches):
+        serve("jaccard")
         sums = np.zeros(SLOTS, np.int64)
         for batch in batches:
             found = [grams >> np.uint64(64 - SLOT_BITS) for grams in shingles(_bytes(batch.column(0)), n)]
@@ -180,6 +181,7 @@ def _signatures(counts: np.ndarray, n: int, percent: int):
     """Batches of (key, text) to (key, size, digest, prefix n-grams in rare-first order, bins)."""
 
     def run(batches):
+        serve("jaccard")
         for batch in batches:
             sizes, digests, prefixes, bins = [], [], [], []
             for found in shingles(_bytes(batch.column(1)), n):
@@ -224,6 +226,7 @@ def _sketch_fits(percent: int):
     """Suffix filter of pairs (a, b, size_a, size_b, sketches): sets differ at least by what their counts differ."""
 
     def run(batches):
+        serve("jaccard")
         for batch in batches:
             size_a, size_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             apart = np.zeros(batch.num_rows, np.int64)
@@ -252,6 +255,7 @@ def _set_rows(n: int):
     """Batches of (lead, salt, id, text) with the n-gram set of the text, as bytes of sorted 64-bit hashes."""
 
     def run(batches):
+        serve("jaccard")
         for batch in batches:
             sets = [found.tobytes() for found in shingles(_bytes(batch.column(3)), n)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], ["lead", "salt", "id", "grams"])
@@ -261,6 +265,7 @@ def _set_rows(n: int):
 
 def _compared(batches):
     """Rows sorted by (lead, salt), the lead's own set first, to (lead, id, set of the lead, set of the id)."""
+    serve("jaccard")
     group, lead_set, last = None, None, None
     for batch in batches:
         out = []

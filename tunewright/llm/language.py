@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunewright.llm.common import prepare
+from tunewright.llm.common import prepare, serve
 
 UNKNOWN = "und"
 #: At most about so many texts of each language fit the model (chosen by hash, all rows alike).
@@ -232,6 +232,7 @@ def fit(counts: dict[str, np.ndarray], used: dict[str, np.ndarray], switch: floa
 
 def _count(batches):
     """Per language, n-gram counts (keys from 0) and words by script (keys below 0) of some texts."""
+    serve("language")
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         for lang, text in zip(batch["_lang"], batch["_text"]):
@@ -283,6 +284,7 @@ def language_column(model: Model, text: str = "text"):
 
     @F.pandas_udf("lang string, score double")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        serve("language")
         use = Model(*parts)
         for texts in batches:
             yield pd.DataFrame(use.predict(texts.tolist()), columns=["lang", "score"])
@@ -297,6 +299,7 @@ def label_spans(documents: DataFrame, model: Model, key: str = "doc_id", text: s
 
     @F.pandas_udf("array<struct<start:int,n_words:int,lang:string>>")
     def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        serve("language")
         use = Model(*parts)
         for texts in batches:
             yield pd.Series(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunewright.llm.bpe_count import byte_symbols
-from tunewright.llm.common import Memo, prepare
+from tunewright.llm.common import Memo, kept, prepare, serve
 
 #: Window lengths from short to long; powers of two, so that a full window of any tier needs no padding.
 TIERS = (256, 512, 1024, 2048)
@@ -136,7 +136,7 @@ class Encoder:
         return ids
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = kept({})
 
 
 def encoder(path: str) -> Encoder:
@@ -302,6 +302,7 @@ def pack_documents(
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        serve("packing")
         encode, packer = encoder(tokenizer), Packer(tiers)
         first = TaskContext.get().partitionId() << 40
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunewright.llm.common import Memo, prepare
+from tunewright.llm.common import Memo, kept, prepare, serve
 
 BITS = 18
 SIZE = 1 << BITS
@@ -40,7 +40,7 @@ def _ids(word: str) -> int:
     return zlib.crc32(word.lower().encode()) << 20 | max(shape, REPEAT + 1)
 
 
-WORDS = Memo(_ids)
+WORDS = kept(Memo(_ids))
 
 
 def features(text: str | None) -> np.ndarray:
@@ -170,6 +170,7 @@ def train(
 
 
 def _feature_rows(batches):
+    serve("quality")
     for batch in batches:
         found = [features(text).astype(np.int32) for text in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["key", "label", "found"])
@@ -181,6 +182,7 @@ def score_column(model: Model, text: str = "text"):
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        serve("quality")
         use = Model(weights, slope, offset)
         return pd.Series([use.score(t) for t in texts], dtype="float64")
 
