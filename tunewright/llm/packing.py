@@ -27,7 +27,7 @@ STEP_TOKENS = 32 * 2048
 BUFFER_TOKENS = 4_000_000
 END_ID = 1
 #: Runs between spaces that an encoder remembers, twice over, and that it encodes at once.
-CACHED_RUNS = 300_000
+CACHED_RUNS = 200_000
 RUNS_AT_ONCE = 20_000
 #: Longer runs are forgotten at once.
 LONG_RUN = 64
