@@ -8,10 +8,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tunewright.llm import centroids, spelling, word_table
+from tunewright.session import setting
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -143,6 +145,49 @@ def test_documents_are_not_shuffled(docs, plan):
     assert not for_documents and "Bucketed: true" in text
 
 
+def test_a_chunk_sorts_its_distinct_ids_and_not_all_tokens(docs, monkeypatch):
+    def counted(key):
+        def run(documents, other):
+            n = documents.num_rows
+            return pa.table({key: documents.column("key"), "n_tokens": [other.num_rows] * n, "ids": pa.nulls(n, pa.list_(pa.int32())), "decoded": pa.nulls(n, pa.string())})
+
+        return run
+
+    words = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" * 2 for c in ("lst", "rnd", "nkt", "xqz")]
+    texts = [" ".join(f"{w}{v}" for v in words) for w in words[:20]]
+    known = Tokenizer.from_file(BYTE_BPE)
+    distinct = {i for t in texts for i in known.encode(t, add_special_tokens=False).ids}
+    tokens = sum(len(known.encode(w, add_special_tokens=False).ids) for w in {w for t in texts for w in word_table.Vocabulary(BYTE_BPE).words(t)})
+    monkeypatch.setattr(word_table, "_joined", counted)
+    most = max(r.n_tokens for r in word_table.round_trip(docs(list(enumerate(texts))).coalesce(1), BYTE_BPE).collect())
+    assert 0 < most <= len(distinct) < tokens / 10
+
+
+def test_words_go_to_a_bounded_number_of_slots(spark, docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(word_table, "bucketed", lambda df, *rest: seen.append(df) or df)
+    with setting(spark, "spark.sql.shuffle.partitions", "5000"):
+        word_table.round_trip(docs([(1, " ".join(f"w{i}" for i in range(6000)))]).coalesce(1), BYTE_BPE)
+    (coded,) = seen
+    assert 100 < coded.where("slot IS NOT NULL").count() <= 512
+
+
+def test_more_slots_than_words_and_fewer_partitions(spark, docs, monkeypatch):
+    monkeypatch.setattr(word_table, "SLOTS", 3)
+    texts = ["one two three", "", "four one", None, "ÿ þ\x00\x7f <|endoftext|>"]
+    got = {r.doc_id: (r.ids, r.decoded) for r in word_table.round_trip(docs(list(enumerate(texts))), BYTE_BPE).collect()}
+    known = Tokenizer.from_file(BYTE_BPE)
+    assert got == {k: (known.encode(t or "", add_special_tokens=False).ids, t or "") for k, t in enumerate(texts)}
+
+
+def test_packed_words_and_sizes_come_back():
+    words = ["a", "ÿ", " þ", "\x00", "\u07ff\uffff", "🙂" * 70_000, "\n\n"]
+    assert word_table._unpacked(word_table._packed(words)) == words
+    sizes = [0, 1, 255, 256, 65_536, 70_000]
+    assert word_table._unsized(word_table._sizes([range(n) for n in sizes])).tolist() == sizes
+    assert word_table._unsized(word_table._sizes([])).tolist() == []
+
+
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         word_table.Vocabulary(public_tokenizers.path("word_bpe_49k.json"))

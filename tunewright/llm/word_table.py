@@ -20,6 +20,8 @@ from tunewright.llm.common import Memo, bucketed, prepare
 #: A chunk of documents shares one list of words; it ends with so many letters or distinct words.
 CHUNK_CHARS = 8_000_000
 CHUNK_WORDS = 1 << 20
+#: Words are dealt to so many slots at most: a chunk's words of a slot are a row, and small ones compress badly.
+SLOTS = 512
 #: Rows of one output batch.
 ROWS = 1000
 #: Words of up to so many letters whose ids a task remembers.
@@ -106,19 +108,23 @@ def _unplaned(planes: bytes) -> np.ndarray:
     return low | middle << 8 | high << 16
 
 
-def _packed(words: list[str]) -> tuple[bytes, bytes]:
-    """Words as their compressed bytes one after the other, and their sizes."""
-    each = [w.encode() for w in words]
-    return zlib.compress(b"".join(each), 1), _sizes(each)
+def _packed(words: list[str]) -> bytes:
+    """One word or more as their compressed bytes, with a byte between them that UTF-8 does not have."""
+    return zlib.compress(b"\xff".join(w.encode() for w in words), 1)
+
+
+def _unpacked(words: bytes) -> list[str]:
+    return [w.decode() for w in zlib.decompress(words).split(b"\xff")]
 
 
 def _sizes(each: list) -> bytes:
-    return zlib.compress(np.fromiter(map(len, each), "<u4", len(each)).tobytes(), 1)
+    """Lengths as planes of bytes, compressed."""
+    return zlib.compress(np.fromiter(map(len, each), "<u4", len(each)).view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
-def _unpacked(words: bytes, sizes: bytes) -> list[str]:
-    whole, ends = zlib.decompress(words), np.cumsum(np.frombuffer(zlib.decompress(sizes), "<u4")).tolist()
-    return [whole[a:b].decode() for a, b in zip([0, *ends], ends)]
+def _unsized(sizes: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(sizes), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 class Chunk:
@@ -155,7 +161,7 @@ class Chunk:
         self.codes.clear()
         for at in range(0, len(codes), ROWS):
             some = codes[at : at + ROWS]
-            none = [pa.nulls(len(some), fields.field(i).type) for i in range(3, 7)]
+            none = [pa.nulls(len(some), fields.field(i).type) for i in range(3, 6)]
             keys = pa.concat_arrays(self.keys[at : at + ROWS])
             yield pa.RecordBatch.from_arrays([pa.array([self.number] * len(some), pa.int64()), keys, pa.array(some, pa.binary()), *none], schema=fields)
         rows = []
@@ -164,20 +170,20 @@ class Chunk:
             if len(mine):
                 starts = np.concatenate([[0], np.flatnonzero(np.diff(mine) != 1) + 1])
                 runs = np.stack([mine[starts], np.diff([*starts, len(mine)])]).astype("<u4")
-                rows.append((self.number, int(slot[order[mine[0]]]), runs.tobytes(), *_packed([known[i] for i in order[mine].tolist()])))
-        columns = list(zip(*rows)) or [()] * 5
-        first, *rest = [pa.array(c, fields.field(i).type) for c, i in zip(columns, (0, 3, 4, 5, 6))]
+                rows.append((self.number, int(slot[order[mine[0]]]), runs.tobytes(), _packed([known[i] for i in order[mine].tolist()])))
+        columns = list(zip(*rows)) or [()] * 4
+        first, *rest = [pa.array(c, fields.field(i).type) for c, i in zip(columns, (0, 3, 4, 5))]
         none = [pa.nulls(len(rows), fields.field(i).type) for i in (1, 2)]
         yield pa.RecordBatch.from_arrays([first, *none, *rest], schema=fields)
 
 
 def _coded(tokenizer: str, key_type: pa.DataType, slots: int):
-    """Batches of (key, text) to rows of documents (chunk, key, codes) and of words (chunk, slot, runs, words, sizes).
+    """Batches of (key, text) to rows of documents (chunk, key, codes) and of words (chunk, slot, runs, words).
 
     Chunks are numbered within the task, so a task run again writes the same.
     """
-    kinds = (pa.int64(), key_type, pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    fields = pa.schema(list(zip(["chunk", "key", "codes", "slot", "runs", "words", "sizes"], kinds)))
+    kinds = (pa.int64(), key_type, pa.binary(), pa.int32(), pa.binary(), pa.binary())
+    fields = pa.schema(list(zip(["chunk", "key", "codes", "slot", "runs", "words"], kinds)))
 
     def run(batches):
         split = vocabulary(tokenizer).words
@@ -195,7 +201,7 @@ def _coded(tokenizer: str, key_type: pa.DataType, slots: int):
 
 
 def _encoded(tokenizer: str):
-    """Rows (chunk, runs, words, sizes) of one slot to (chunk, runs, lengths, ids): ids one after the other, less 32,768.
+    """Rows (chunk, runs, words) of one slot to (chunk, runs, lengths, ids): ids one after the other, less 32,768.
 
     All rows that hold a word are in one partition, so it is encoded once; again only where more
     words than a `Memo` holds came since.
@@ -205,8 +211,8 @@ def _encoded(tokenizer: str):
         known = Memo(vocabulary(tokenizer).ids, KNOWN_WORDS)
         for batch in batches:
             lengths, ids = [], []
-            for words, sizes in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                each = [known[w] if len(w) <= LONG_WORD else known.make(w) for w in _unpacked(words, sizes)]
+            for words in batch.column(2).to_pylist():
+                each = [known[w] if len(w) <= LONG_WORD else known.make(w) for w in _unpacked(words)]
                 lengths.append(_sizes(each))
                 ids.append((np.fromiter(chain.from_iterable(each), np.int64) - LOWEST).astype(np.int16))
             yield pa.RecordBatch.from_arrays(
@@ -227,24 +233,25 @@ def _spelled(pieces_in_order: pa.BinaryArray, starts: np.ndarray, ends: np.ndarr
 
 
 def _joined(key: str):
-    """Documents of a chunk and the tokens of its words, with their pieces, to (key, n_tokens, ids, decoded)."""
-
-    def run(documents: pa.Table, tokens: pa.Table) -> pa.Table:
-        part, pos = tokens.column("part").to_numpy(), tokens.column("pos").to_numpy()
-        order = np.lexsort((pos, part))
-        flat = tokens.column("token").to_numpy()[order]
-        # a part's first token brings the numbers of its words and how many tokens each has
-        heads = np.flatnonzero(pos == 0)
-        heads = pa.array(heads[np.argsort(part[heads])])
-        runs = [np.frombuffer(x, "<u4").reshape(2, -1).T.tolist() for x in tokens.column("runs").take(heads).to_pylist()]
-        number = np.concatenate([np.zeros(0, np.int64), *(np.arange(a, a + n) for each in runs for a, n in each)])
-        sizes = [np.frombuffer(zlib.decompress(x), "<u4") for x in tokens.column("lengths").take(heads).to_pylist()]
-        size = np.concatenate([np.zeros(0, "<u4"), *sizes]).astype(np.int64)
+    """Documents of a chunk, and the pieces of the ids in it, to (key, n_tokens, ids, decoded).
+
+    One of the ids brings the chunk's parts: numbers of words, how many tokens each has, their ids.
+    """
+
+    def run(documents: pa.Table, used: pa.Table) -> pa.Table:
+        parts = used.column("parts").drop_null().combine_chunks().flatten()
+        runs, lengths, ids = parts.flatten()
+        flat = ids.flatten().to_numpy().astype(np.int32) + LOWEST
+        spans = [np.frombuffer(x, "<u4").reshape(2, -1).T.tolist() for x in runs.to_pylist()]
+        number = np.concatenate([np.zeros(0, np.int64), *(np.arange(a, a + n) for each in spans for a, n in each)])
+        size = np.concatenate([np.zeros(0, "<u4"), *map(_unsized, lengths.to_pylist())]).astype(np.int64)
         ends = np.cumsum(size)
         starts, counts = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
         starts[number], counts[number] = ends - size, size
-        said = _spelled(tokens.column("piece").combine_chunks().take(pa.array(order)), starts, starts + counts)
-        del tokens, order, part, pos
+        place = np.zeros(1 << 16, np.int32)
+        place[used.column("token").to_numpy()] = np.arange(used.num_rows)
+        said = _spelled(used.column("piece").combine_chunks().take(pa.array(place[flat])), starts, starts + counts)
+        del used, parts, runs, lengths, ids
         pa.default_memory_pool().release_unused()
         codes = [_unplaned(planes) for planes in documents.column("codes").to_pylist()]
         totals = np.array([counts[c].sum() for c in codes], np.int64)
@@ -275,8 +282,9 @@ def round_trip(documents: DataFrame, tokenizer: str, key: str = "doc_id", text:
     tokenizer: path of a byte-level vocabulary of at most 65,536 ids, which workers open. Texts are
     split into words in one pass, which writes them as numbers within a chunk of documents, and each
     chunk's distinct words. These are dealt by a hash, so that a distinct word is encoded in one place; its
-    ids go back to the chunks, meet their pieces in a join with the vocabulary, and documents by
-    position. Documents are neither shuffled nor read twice: they are written in files by chunk.
+    ids go back to the chunks and meet documents by position; the distinct ids of a chunk, never more than
+    the vocabulary has, meet their pieces in a join with it. Documents are neither shuffled nor read twice:
+    they are written in files by chunk.
 
     A null text is like the empty one, which has no tokens and decodes to itself. Repeated rows give
     repeated rows; null keys are like others; an empty table gives an empty one; extra columns are not read.
@@ -286,20 +294,18 @@ def round_trip(documents: DataFrame, tokenizer: str, key: str = "doc_id", text:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
     coded = rows.mapInArrow(
-        _coded(tokenizer, _arrow_type(rows), buckets),
-        f"chunk long, key {kind.simpleString()}, codes binary, slot int, runs binary, words binary, sizes binary",
+        _coded(tokenizer, _arrow_type(rows), min(buckets, SLOTS)),
+        f"chunk long, key {kind.simpleString()}, codes binary, slot int, runs binary, words binary",
     )
     coded = bucketed(coded, "codes", "chunk", buckets)
-    words = coded.where("slot IS NOT NULL").select("slot", "chunk", "runs", "words", "sizes").repartition("slot").drop("slot")
+    words = coded.where("slot IS NOT NULL").select("slot", "chunk", "runs", "words").repartition("slot").drop("slot")
     ids = words.mapInArrow(_encoded(tokenizer), "chunk long, runs binary, lengths binary, ids array<smallint>").repartition(buckets, "chunk")
-    numbered = ids.withColumn("part", F.monotonically_increasing_id())
-    part = numbered.select("chunk", "runs", "lengths", "part", F.posexplode("ids").alias("pos", "token"))
-    first = F.col("pos") == 0
-    tokens = part.select(
-        "chunk", "part", "pos", (F.col("token").cast("int") + LOWEST).alias("token"),
-        F.when(first, F.col("runs")).alias("runs"), F.when(first, F.col("lengths")).alias("lengths"),
+    # a chunk is bounded, so are its parts; they come with the first of its ids, and only these few rows are sorted by chunk
+    whole = ids.groupBy("chunk").agg(F.collect_list(F.struct("runs", "lengths", "ids")).alias("parts"))
+    used = whole.select("chunk", "parts", F.posexplode(F.array_distinct(F.flatten("parts.ids"))).alias("pos", "token")).select(
+        "chunk", (F.col("token").cast("int") + LOWEST).alias("token"), F.when(F.col("pos") == 0, F.col("parts")).alias("parts")
     )
-    named = tokens.join(F.broadcast(pieces(spark, tokenizer).withColumnRenamed("id", "token")), "token")
+    named = used.join(F.broadcast(pieces(spark, tokenizer).withColumnRenamed("id", "token")), "token")
     texts = coded.where("codes IS NOT NULL").select("chunk", "key", "codes")
     return (
         texts.groupBy("chunk").cogroup(named.groupBy("chunk"))
